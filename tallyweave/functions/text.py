@@ -20,7 +20,7 @@ def path_depth(parent_ids: Column) -> Column:
 
 def id_list(ids: Column) -> Column:
     """A comma list as an array of trimmed, non-empty ids."""
-    return F.filter(F.transform(F.split(ids, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(ids, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def sub_type(type_: Column) -> Column:

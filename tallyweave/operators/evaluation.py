@@ -153,7 +153,7 @@ def sync_features(docs: DataFrame, evaluation: DataFrame, key: str, nest: str |
 def sync_user_query(user_query: DataFrame, evaluation: DataFrame) -> DataFrame:
     """Non-empty featured results copied to the user's query rows, ready, revision raised."""
     keys = ["userKey", "category", "subType", "field"]
-    text = F.coalesce(F.col("text"), F.col("score").cast("string"))
+    text = F.coalesce(F.col("text"), F.col("score").cast("double").cast("string"))
     new = (
         _featured(evaluation)
         .where(~blank(F.col("category")) & ~blank(F.col("type")) & ~blank(text))

@@ -42,7 +42,7 @@ def _evaluated_type(evaluation: DataFrame | None):
 def _fields(p: Column, e: Column) -> list[Column]:
     evaluated = e.isNotNull()
     return [
-        F.when(evaluated, e["score"].cast("string")).otherwise(p["value"]).alias("var"),
+        F.when(evaluated, e["score"].cast("double").cast("string")).otherwise(p["value"]).alias("var"),
         p["value"].alias("value"),
         F.when(evaluated, e["score"]).otherwise(p["score"]).alias("score"),
         p["rank"].alias("rank"),
