@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.upsert import update_from
 
+LOCAL_NODES = 20_000
+
 
 def _sum_of(weight: str, score: str, like: DataFrame) -> Column:
     return F.sum(F.col(weight) * F.col(score)).cast(like.schema["score"].dataType).alias("score")
@@ -29,53 +33,87 @@ def measure_by_property(
     rules = mapping.select(*by, "dimension", F.col("weight").alias("__w"))
     sums = scored.join(rules, by).groupBy(key, "dimension").agg(_sum_of("__w", "score", measure))
     mapped_by = ([key] if key in mapping.columns else []) + ["dimension"]
-    leaf = mapping.select(*mapped_by).distinct().withColumn("__leaf", F.lit(True))
+    leaf = mapping.select(*mapped_by).distinct().withColumn("__hit", F.lit(True))
     joined = (
         measure.withColumnRenamed("score", "__old")
         .join(sums, [key, "dimension"], "left")
         .join(leaf, mapped_by, "left")
     )
-    return _leaf_result(measure, joined)
+    return _scored(measure, joined)
 
 
-def _leaf_result(target: DataFrame, joined: DataFrame) -> DataFrame:
-    is_leaf = F.col("__leaf").isNotNull()
+def _scored(target: DataFrame, joined: DataFrame) -> DataFrame:
+    hit = F.col("__hit").isNotNull()
     columns = {
-        "score": F.when(is_leaf, F.col("score")).otherwise(F.col("__old")).alias("score"),
-        "status": F.when(is_leaf, F.lit("ready")).otherwise(F.col("status")).alias("status"),
+        "score": F.when(hit, F.col("score")).otherwise(F.col("__old")).alias("score"),
+        "status": F.when(hit, F.lit("ready")).otherwise(F.col("status")).alias("status"),
     }
     return joined.select(*[columns.get(c, F.col(c)) for c in target.columns])
 
 
-def weight_closure(tree: DataFrame, leaf_ids: DataFrame) -> DataFrame:
-    """(ancestor, node, weight) for a configured tree, weights multiplied along the path.
+def tree_paths(
+    tree: DataFrame, leaf_ids: DataFrame, local_nodes: int = LOCAL_NODES
+) -> tuple[DataFrame, DataFrame]:
+    """Paths (node, ancestor, weight) of the leaves and ids of the inner nodes of a configured tree.
 
-    ``tree`` is (id, parent_id, weight).  A node with scores of its own is a leaf even
-    when it has children, so nothing is carried through it.  The recursion runs over
-    the configuration only; Spark ends it with an error at its level and row limits.
+    ``tree`` is (id, parent_id, weight); weights are multiplied along the path.  A node
+    with scores of its own is a leaf even when it has children, so nothing is carried
+    through it.  A tree of up to ``local_nodes`` nodes is read by the driver, which
+    proves its size, and its paths are broadcast; a larger one is climbed by joins.
     """
-    nodes = tree.select("id", "parent_id", F.col("weight").alias("w"))
-    own = leaf_ids.toDF("id").distinct()
-    inner = nodes.join(own, "id", "left_anti")
-    product = "decimal(20,12)" if dict(nodes.dtypes)["w"].startswith("decimal") else "double"
-    return tree.sparkSession.sql(
-        f"""
-        WITH RECURSIVE closure(ancestor, node, weight) AS (
-            SELECT n.parent_id, n.id, CAST(n.w AS {product})
-            FROM {{nodes}} n JOIN {{inner}} i ON n.parent_id = i.id
-            UNION ALL
-            SELECT i.parent_id, c.node, CAST(c.weight * i.w AS {product})
-            FROM closure c JOIN {{inner}} i ON c.ancestor = i.id JOIN {{inner}} p ON i.parent_id = p.id
-        )
-        SELECT ancestor, node, weight FROM closure
-        """,
-        nodes=nodes,
-        inner=inner,
+    own = leaf_ids.toDF("id").distinct().withColumn("leaf", F.lit(True))
+    nodes = tree.select("id", "parent_id", F.col("weight").alias("w")).join(own, "id", "left")
+    rows = nodes.limit(local_nodes + 1).collect()
+    if len(rows) > local_nodes:
+        return _climb(nodes)
+    parents = {r["id"]: (r["parent_id"], r["w"]) for r in rows}
+    inner = {r["id"] for r in rows if not r["leaf"]}
+    paths = []
+    for r in rows:
+        if not r["leaf"] or r["w"] is None:
+            continue
+        up, weight, passed = r["parent_id"], r["w"], set()
+        while up in inner:
+            if up in passed:
+                raise ValueError(f"the tree runs in a circle at {up}")
+            passed.add(up)
+            paths.append((r["id"], up, weight))
+            up, own_weight = parents[up]
+            if own_weight is None:
+                break
+            weight = weight * own_weight
+    spark, product = tree.sparkSession, _product_type(nodes)
+    exact = [(n, a, round(w, 12) if isinstance(w, decimal.Decimal) else w) for n, a, w in paths]
+    local = spark.createDataFrame(exact, f"node string, ancestor string, weight {product}")
+    ids = spark.createDataFrame([(i,) for i in sorted(inner)], "id string")
+    return F.broadcast(local), F.broadcast(ids)
+
+
+def _product_type(nodes: DataFrame) -> str:
+    return "decimal(20,12)" if dict(nodes.dtypes)["w"].startswith("decimal") else "double"
+
+
+def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The paths by one join per level, until no path goes higher."""
+    product = _product_type(nodes)
+    inner = nodes.where(F.col("leaf").isNull()).select(
+        F.col("id").alias("ancestor"), F.col("parent_id").alias("up"), F.col("w").alias("own")
     )
+    start = nodes.where(F.col("leaf")).select(
+        F.col("id").alias("node"), F.col("parent_id").alias("ancestor"), F.col("w").cast(product).alias("weight")
+    )
+    level = start.join(inner, "ancestor")
+    paths = level.select("node", "ancestor", "weight")
+    while not level.isEmpty():
+        level = level.select(
+            "node", F.col("up").alias("ancestor"), (F.col("weight") * F.col("own")).cast(product).alias("weight")
+        ).join(inner, "ancestor")
+        paths = paths.union(level.select("node", "ancestor", "weight"))
+    return paths.where(F.col("weight").isNotNull()), inner.select(F.col("ancestor").alias("id"))
 
 
 def roll_up(
-    rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: DataFrame
+    rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: DataFrame, local_nodes: int = LOCAL_NODES
 ) -> DataFrame:
     """Score of the inner nodes: weighted sum over children, deepest level first.
 
@@ -83,21 +121,17 @@ def roll_up(
     every ancestor.  Unscored children add nothing; a node with no scored leaf below
     becomes ready with a null score.
     """
-    own = leaf_ids.toDF(node).distinct()
-    closure = weight_closure(tree, leaf_ids).select(
-        F.col("node").alias(node), "ancestor", F.col("weight").alias("__w")
-    )
-    # leaf ids are matched on the configuration side, so the rows meet one small table
-    carried = closure.join(own, node, "left_semi")
+    paths, inner = tree_paths(tree, leaf_ids, local_nodes)
+    carried = paths.select(F.col("node").alias(node), "ancestor", F.col("weight").alias("__w"))
     scored = rows.where(F.col("score").isNotNull()).select(key, node, "score")
     sums = (
         scored.join(carried, node)
         .groupBy(key, F.col("ancestor").alias(node))
         .agg(_sum_of("__w", "score", rows))
     )
-    inner = tree.select(F.col("id").alias(node)).join(own, node, "left_anti").withColumn("__leaf", F.lit(True))
-    joined = rows.withColumnRenamed("score", "__old").join(sums, [key, node], "left").join(inner, node, "left")
-    return _leaf_result(rows, joined)
+    flags = inner.select(F.col("id").alias(node), F.lit(True).alias("__hit"))
+    joined = rows.withColumnRenamed("score", "__old").join(sums, [key, node], "left").join(flags, node, "left")
+    return _scored(rows, joined)
 
 
 def measure_by_dimension(measure: DataFrame, dims: DataFrame, dim_measures: DataFrame, key: str) -> DataFrame:
