@@ -53,15 +53,15 @@ def needed(names: list[str]) -> list[str]:
     return order
 
 
-def with_views(names: list[str], select: str, recursive: bool = False) -> str:
+def with_views(names: list[str], select: str) -> str:
     """Oracle SQL: the views in front of a select."""
     parts = [f"{n} AS ({VIEWS[n].sql(DUCK)})" for n in needed(names)]
-    head = "WITH RECURSIVE " if recursive else "WITH "
     body = select.strip()
+    if not parts:
+        return body
     if body.upper().startswith("WITH "):
-        parts_text = ",\n".join(parts)
-        return f"{head}{parts_text},\n{body[5:]}"
-    return f"{head}{',\n'.join(parts)}\n{body}"
+        return f"WITH {', '.join(parts)},\n{body[5:]}"
+    return f"WITH {', '.join(parts)}\n{body}"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -288,6 +288,16 @@ view(
 )
 view("event_docs", "events", "SELECT CAST(event_id AS STRING) AS _key, props AS doc FROM events")
 
+view("user_event_docs", "events", "SELECT CAST(user_id AS STRING) AS userKey, props AS doc FROM events")
+view(
+    "order_payments",
+    "orders",
+    """SELECT CAST(o_custkey AS STRING) AS beneficiary, CASE WHEN o_orderstatus = 'P' THEN 'i1' ELSE 'i9' END AS scheme_item_id,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS amount_profit, CAST(o_orderdate AS TIMESTAMP) AS create_date,
+       CASE WHEN o_orderstatus = 'F' THEN 'locked' ELSE 'cleared' END AS status_clear, 'pending' AS status_settle
+    FROM orders""",
+)
+
 
 def _unpivot(table: str, keep: str, pairs: list[tuple[str, str]]) -> Callable[[str], str]:
     def text(dialect: str) -> str:

@@ -27,13 +27,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, views: str = "", sql: str | None = None, recursive: bool = False):
+def query(name: str, views: str = "", sql: str | None = None):
     """Register a query over ``Tables``, with its oracle over the named views."""
 
     def add(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = fixtures.with_views(views.split(), sql, recursive)
+            ORACLES[name] = fixtures.with_views(views.split(), sql)
         return build
 
     return add

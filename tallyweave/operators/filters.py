@@ -100,7 +100,7 @@ def function_score(
     functions = F.concat(
         F.coalesce(F.transform("personaDecay", lambda x: F.to_json(x)), none),
         F.coalesce(F.transform("costDecay", lambda x: F.to_json(x)), none),
-        F.array(F.to_json(script_score_function()[0])),
+        F.array(F.to_json(script_score_function())),
     )
     lists = F.concat_ws(
         ",",
