@@ -347,18 +347,30 @@ view(
 
 # --- item configuration ----------------------------------------------------------------------------------
 
+_CATEGORIES = [
+    ("c1", "STANDARD", "m1", "o1,o2,o3", "t1"),
+    ("c2", "MEDIUM", "m2,m4,m5", "", "t2"),
+    ("c3", "PROMO", None, "o4", "t1"),
+    ("c4", "LARGE", "m3,m9", "o2", "t2"),
+    ("c5", "SMALL", "", None, "t1"),
+    ("c6", "CLEARANCE", "m1", "o1", "t2"),
+]
 values(
     "category_tree",
     "id STRING; name STRING; motivation_ids STRING; occasion_ids STRING; tree STRING",
-    [
-        ("c1", "STANDARD", "m1", "o1,o2,o3", "t1"),
-        ("c2", "MEDIUM", "m2,m4,m5", "", "t2"),
-        ("c3", "PROMO", None, "o4", "t1"),
-        ("c4", "LARGE", "m3,m9", "o2", "t2"),
-        ("c5", "SMALL", "", None, "t1"),
-        ("c6", "CLEARANCE", "m1", "o1", "t2"),
-    ],
+    _CATEGORIES,
 )
+
+
+def per_category(nodes: list[tuple], row: Callable[[str, tuple], tuple]) -> list[tuple]:
+    """The rows of each category's own copy of its tree; ids carry the category in front."""
+    return [row(c, n[1:]) for c, *_, tree in _CATEGORIES for n in nodes if n[0] == tree]
+
+
+def _inside(category: str, node: str) -> str:
+    return node if node == "0" else f"{category}-{node}"
+
+
 view("mod_item_category", "category_tree", "SELECT id, name, motivation_ids, occasion_ids FROM category_tree")
 _TREE = [
     ("t1", "r", "0", "0,", "1"),
@@ -388,81 +400,63 @@ _TREE_MAP = [
     ("t2", "a", "price.sale", "0.15"),
     ("t2", "b", "brand", "0.45"),
 ]
-values("tree_nodes", "tree STRING; node STRING; parent STRING; ids STRING; weight DECIMAL(6,3)", _TREE)
-values("tree_map", "tree STRING; node STRING; property STRING; weight DECIMAL(6,3)", _TREE_MAP)
-view(
+values(
     "mod_item_dimension",
-    "category_tree tree_nodes",
-    """SELECT c.id || '-' || t.node AS id, CASE WHEN t.parent = '0' THEN '0' ELSE c.id || '-' || t.parent END AS parent_id,
-       t.ids AS parent_ids, t.weight, c.id AS category
-    FROM category_tree c JOIN tree_nodes t ON c.tree = t.tree""",
+    "id STRING; parent_id STRING; parent_ids STRING; weight DECIMAL(6,3); category STRING",
+    per_category(_TREE, lambda c, n: (_inside(c, n[0]), _inside(c, n[1]), n[2], n[3], c)),
 )
-view(
+values(
     "int_item_dimension_measure",
-    "category_tree tree_map",
-    """SELECT c.id || '-' || t.node AS dimension_id, c.id || '-m-' || t.property AS measure_id, t.weight, c.id AS category
-    FROM category_tree c JOIN tree_map t ON c.tree = t.tree""",
+    "dimension_id STRING; measure_id STRING; weight DECIMAL(6,3); category STRING",
+    per_category(_TREE_MAP, lambda c, n: (_inside(c, n[0]), f"{c}-m-{n[1]}", n[2], c)),
 )
-values("measured", "property STRING; one INT", [(p, 1) for p, _ in ITEM_PAIRS if p not in ("props.0.k", "tagging")])
-view(
+values(
     "mod_measure",
-    "category_tree measured",
-    """SELECT c.id || '-m-' || m.property AS id, m.property, c.id AS category
-    FROM (SELECT id, 1 AS one FROM category_tree) c JOIN measured m ON c.one = m.one""",
+    "id STRING; property STRING; category STRING",
+    [(f"{c}-m-{p}", p, c) for c, *_ in _CATEGORIES for p, _ in ITEM_PAIRS if p not in ("props.0.k", "tagging")],
 )
 ITEM_SCRIPT = "CASE WHEN p['price.sale'].score > 0.5 THEN concat('high ', p['brand'].value) ELSE 'low' END"
 ITEM_STYLE = "concat(p['title'].value, '/', p['props.0.v'].value)"
+_EVAL_NODES = [
+    ("t1", "perf", "0", "0,", "1", "perform", None),
+    ("t1", "ea", "perf", "0,perf,", "0.4", "a", None),
+    ("t1", "eb", "perf", "0,perf,", "0.35", "B", None),
+    ("t1", "ec", "perf", "0,perf,", "0.25", "c", None),
+    ("t1", "cost", "0", "0,", "1", "cost", None),
+    ("t1", "ex", "cost", "0,cost,", "0.6", "x", None),
+    ("t1", "ey", "cost", "0,cost,", "0.4", "y", None),
+    ("t1", "con", "0", "0,", "1", "constraint", ITEM_SCRIPT),
+    ("t1", "sat", "0", "0,", "1", "satisify", None),
+    ("t1", "sat2", "0", "0", "1", "satisfy", None),
+    ("t1", "ctx", "0", "0,", "1", "context", None),
+    ("t1", "ign", "0", "0,", "1", "ignore", None),
+    ("t1", "sty", "0", "0,", "1", "style", ITEM_STYLE),
+    ("t2", "perf", "0", "0,", "1", "perform", None),
+    ("t2", "ea", "perf", "0,perf,", "1", "a", None),
+    ("t2", "con", "0", "0,", "1", "constraint", ITEM_SCRIPT),
+    ("t2", "sat", "0", "0,", "1", "satisify", None),
+    ("t2", "ctx", "0", "0,", "1", "context", None),
+    ("t2", "dnc", "0", "0,", "1", "do-not-care", None),
+]
+_EVAL_MAP = [
+    ("t1", "ea", "a", "0.5"),
+    ("t1", "ea", "b", "0.5"),
+    ("t1", "eb", "r", "0.8"),
+    ("t1", "ec", "c", "1"),
+    ("t1", "ex", "a1", "0.9"),
+    ("t1", "ey", "b2", "0.7"),
+    ("t1", "con", "r", "1"),
+    ("t2", "ea", "r", "0.65"),
+]
 values(
-    "eval_nodes",
-    "tree STRING; node STRING; parent STRING; ids STRING; weight DECIMAL(6,3); type STRING; script STRING",
-    [
-        ("t1", "perf", "0", "0,", "1", "perform", None),
-        ("t1", "ea", "perf", "0,perf,", "0.4", "a", None),
-        ("t1", "eb", "perf", "0,perf,", "0.35", "B", None),
-        ("t1", "ec", "perf", "0,perf,", "0.25", "c", None),
-        ("t1", "cost", "0", "0,", "1", "cost", None),
-        ("t1", "ex", "cost", "0,cost,", "0.6", "x", None),
-        ("t1", "ey", "cost", "0,cost,", "0.4", "y", None),
-        ("t1", "con", "0", "0,", "1", "constraint", ITEM_SCRIPT),
-        ("t1", "sat", "0", "0,", "1", "satisify", None),
-        ("t1", "sat2", "0", "0", "1", "satisfy", None),
-        ("t1", "ctx", "0", "0,", "1", "context", None),
-        ("t1", "ign", "0", "0,", "1", "ignore", None),
-        ("t1", "sty", "0", "0,", "1", "style", ITEM_STYLE),
-        ("t2", "perf", "0", "0,", "1", "perform", None),
-        ("t2", "ea", "perf", "0,perf,", "1", "a", None),
-        ("t2", "con", "0", "0,", "1", "constraint", ITEM_SCRIPT),
-        ("t2", "sat", "0", "0,", "1", "satisify", None),
-        ("t2", "ctx", "0", "0,", "1", "context", None),
-        ("t2", "dnc", "0", "0,", "1", "do-not-care", None),
-    ],
-)
-values(
-    "eval_map",
-    "tree STRING; node STRING; dim STRING; weight DECIMAL(6,3)",
-    [
-        ("t1", "ea", "a", "0.5"),
-        ("t1", "ea", "b", "0.5"),
-        ("t1", "eb", "r", "0.8"),
-        ("t1", "ec", "c", "1"),
-        ("t1", "ex", "a1", "0.9"),
-        ("t1", "ey", "b2", "0.7"),
-        ("t1", "con", "r", "1"),
-        ("t2", "ea", "r", "0.65"),
-    ],
-)
-view(
     "mod_item_evaluation",
-    "category_tree eval_nodes",
-    """SELECT c.id || '-' || t.node AS id, CASE WHEN t.parent = '0' THEN '0' ELSE c.id || '-' || t.parent END AS parent_id,
-       t.ids AS parent_ids, t.weight, t.type, t.script, c.id AS category
-    FROM category_tree c JOIN eval_nodes t ON c.tree = t.tree""",
+    "id STRING; parent_id STRING; parent_ids STRING; weight DECIMAL(6,3); type STRING; script STRING; category STRING",
+    per_category(_EVAL_NODES, lambda c, n: (_inside(c, n[0]), _inside(c, n[1]), *n[2:], c)),
 )
-view(
+values(
     "int_item_evaluation_dimension",
-    "category_tree eval_map",
-    """SELECT c.id || '-' || t.node AS evaluation_id, c.id || '-' || t.dim AS dimension_id, t.weight, c.id AS category
-    FROM category_tree c JOIN eval_map t ON c.tree = t.tree""",
+    "evaluation_id STRING; dimension_id STRING; weight DECIMAL(6,3); category STRING",
+    per_category(_EVAL_MAP, lambda c, n: (_inside(c, n[0]), _inside(c, n[1]), n[2], c)),
 )
 values(
     "mod_motivation",
@@ -607,7 +601,7 @@ view(
 )
 view(
     "item_measure",
-    "part category_tree mod_item_dimension tree_map",
+    "part category_tree mod_item_dimension int_item_dimension_measure",
     """SELECT CAST(p.p_partkey AS STRING) AS itemKey, d.parent_id AS parent, d.id AS dimension, d.weight,
        CASE WHEN l.dimension IS NOT NULL AND mod(p.p_partkey + length(d.id), 5) <> 0
             THEN CAST(mod(p.p_partkey * 7 + length(d.parent_ids) + ascii(substr(d.id, 4, 1)), 97)
@@ -617,7 +611,7 @@ view(
        1 AS revision
     FROM part p JOIN category_tree c ON c.name = p.p_type
     JOIN mod_item_dimension d ON d.category = c.id
-    LEFT JOIN (SELECT DISTINCT c2.id || '-' || t.node AS dimension FROM category_tree c2 JOIN tree_map t ON c2.tree = t.tree) l
+    LEFT JOIN (SELECT DISTINCT dimension_id AS dimension FROM int_item_dimension_measure) l
       ON l.dimension = d.id""",
 )
 view("customer_8", "customer", numbered("customer", 8))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import CUTOFF
 from suite.registry import Tables, query
 from tallyweave.operators import money
+from tallyweave.sources.tables import stage
 from tallyweave.plans.money import clear_pending_orders, settle_cleared
 
 def cutoff() -> Column:
@@ -162,13 +163,18 @@ def _marked(state: str) -> str:
        create_date, update_date FROM mod_clearing"""
 
 
+def settled_groups(rows: DataFrame, t: Tables) -> DataFrame:
+    return money.settlement_summary(rows, t["mod_profit_share_item"], cutoff())
+
+
 @query("mark_settling", "mod_clearing", _marked("settling"))
 def _(t: Tables) -> DataFrame:
-    return money.mark_settling(clearing(t), summary(t), t["mod_profit_share_item"], cutoff())
+    rows = stage(clearing(t), "clearing")
+    return money.mark_settling(rows, settled_groups(rows, t), t["mod_profit_share_item"], cutoff())
 
 
 @query("mark_settled", "mod_clearing", _marked("settled"))
 def _(t: Tables) -> DataFrame:
-    items, groups = t["mod_profit_share_item"], summary(t)
-    taken = money.mark_settling(clearing(t), groups, items, cutoff())
-    return money.mark_settled(taken, groups, items, cutoff())
+    rows, items = stage(clearing(t), "clearing"), t["mod_profit_share_item"]
+    groups = stage(settled_groups(rows, t), "settlement-groups")
+    return money.mark_settled(money.mark_settling(rows, groups, items, cutoff()), groups, items, cutoff())

@@ -4,6 +4,9 @@ Everything stays in the JVM and in one narrow stage: a document is parsed once t
 variant and opened level by level.  The first levels are generator steps; what is
 nested deeper is opened row by row with higher-order functions, so no depth is cut
 off and ordinary documents never pay for it.  The same plan runs on a stream.
+
+The expressions are written as SQL text: lambdas nest more readably there, and a
+text is parsed by the JVM in one go.
 """
 
 from __future__ import annotations
@@ -15,73 +18,68 @@ FAST_LEVELS = 4
 _LIST_TEXT_LEVELS = 3
 
 
-def _is_object(v: Column) -> Column:
+def _is_object(v: str) -> str:
     """A cast to a struct without fields succeeds for objects only and reads no value."""
-    return v.try_cast("struct<>").isNotNull()
+    return f"(try_cast({v} AS struct<>) IS NOT NULL)"
 
 
-def _is_container(v: Column) -> Column:
+def _is_container(v: str) -> str:
     """Objects, and arrays whose first element is an object, are opened."""
-    return _is_object(v) | F.try_variant_get(v, "$[0]", "struct<>").isNotNull()
+    return f"({_is_object(v)} OR try_variant_get({v}, '$[0]', 'struct<>') IS NOT NULL)"
 
 
-def value_text(v: Column, kind: Column, levels: int = _LIST_TEXT_LEVELS) -> Column:
+def _value_text(v: str, kind: str, level: int = 0) -> str:
     """Text of a value that is not opened: lists as ``[a, b]``, null as ``null``.
 
     ``kind`` is the value's ``schema_of_variant``.  Fractions are printed as the
     double they are (``1.0``, ``2.5``).
     """
-    text = F.when(kind == "STRING", v.cast("string")).when(
-        kind.startswith("DECIMAL"), v.cast("double").cast("string")
-    )
-    if levels:
-
-        def inner(e: Column) -> Column:
-            return value_text(e, F.schema_of_variant(e), levels - 1)
+    nested = ""
+    if level < _LIST_TEXT_LEVELS:
+        e = f"e{level}"
+        element = _value_text(e, f"schema_of_variant({e})", level + 1)
+        field = _value_text(f"{e}.value", f"schema_of_variant({e}.value)", level + 1)
+        nested = f"""
+            WHEN {kind} LIKE 'ARRAY%' THEN
+              concat('[', array_join(transform(try_cast({v} AS array<variant>), {e} -> {element}), ', '), ']')
+            WHEN {kind} LIKE 'OBJECT%' THEN
+              concat('{{', array_join(transform(map_entries(try_cast({v} AS map<string,variant>)),
+                                                {e} -> concat({e}.key, '=', {field})), ', '), '}}')"""
+    return f"""coalesce(CASE WHEN {kind} = 'STRING' THEN CAST({v} AS string)
+            WHEN {kind} LIKE 'DECIMAL%' THEN CAST(CAST({v} AS double) AS string){nested}
+            ELSE CAST({v} AS string) END, 'null')"""
 
-        elements = F.transform(v.try_cast("array<variant>"), inner)
-        fields = F.transform(
-            F.map_entries(v.try_cast("map<string,variant>")),
-            lambda e: F.concat(e["key"], F.lit("="), inner(e["value"])),
-        )
-        text = text.when(
-            kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(elements, ", "), F.lit("]"))
-        ).when(kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(fields, ", "), F.lit("}")))
-    return F.coalesce(text.otherwise(v.cast("string")), F.lit("null"))
 
+def value_text(v: str, kind: str) -> Column:
+    return F.expr(_value_text(v, kind))
 
-def _child_path(path: Column, name: Column) -> Column:
-    return F.when(F.trim(path) == "", name).otherwise(F.concat(path, F.lit("."), name))
 
+def _child_path(path: str, name: str) -> str:
+    return f"CASE WHEN trim({path}) = '' THEN {name} ELSE concat({path}, '.', {name}) END"
 
-def _node(path: Column, v: Column, opened: Column) -> Column:
-    return F.struct(path.alias("path"), v.alias("v"), F.coalesce(opened, F.lit(False)).alias("open"))
 
+def _node(path: str, v: str, opened: str) -> str:
+    return f"named_struct('path', {path}, 'v', {v}, 'open', {opened})"
 
-def _open_all(nodes: Column, steps: Column, children) -> Column:
-    """Open the nodes up to ``steps`` times; closed nodes are passed on."""
 
-    def step(acc: Column, _: Column) -> Column:
-        opened = F.flatten(F.transform(acc, lambda n: F.when(n["open"], children(n)).otherwise(F.array(n))))
-        return F.when(F.exists(acc, lambda n: n["open"]), opened).otherwise(acc)
+def _open_all(nodes: str, steps: str, children: str) -> str:
+    """Open the nodes up to ``steps`` times; ``children`` is the list of the children of ``n``."""
+    return f"""aggregate(
+        CASE WHEN {steps} > 0 THEN sequence(1, {steps}) ELSE CAST(array() AS array<int>) END,
+        {nodes},
+        (acc, i) -> CASE WHEN exists(acc, n -> n.open)
+            THEN flatten(transform(acc, n -> CASE WHEN n.open THEN {children} ELSE array(n) END)) ELSE acc END)"""
 
-    return F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), nodes, step)
 
+def _count(text: str, char: str) -> str:
+    return f"(length({text}) - length(replace({text}, '{char}', '')))"
 
-def _count(text: Column, char: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
-
-def _indexed_children(n: Column) -> Column:
-    fields = F.transform(
-        F.map_entries(n["v"].try_cast("map<string,variant>")),
-        lambda e: _node(_child_path(n["path"], e["key"]), e["value"], _is_container(e["value"])),
-    )
-    elements = F.transform(
-        n["v"].try_cast("array<variant>"),
-        lambda e, i: _node(_child_path(n["path"], i.cast("string")), e, _is_container(e)),
-    )
-    return F.coalesce(fields, elements)
+_INDEXED_CHILDREN = f"""coalesce(
+    transform(map_entries(try_cast(n.v AS map<string,variant>)),
+              e -> {_node(_child_path("n.path", "e.key"), "e.value", _is_container("e.value"))}),
+    transform(try_cast(n.v AS array<variant>),
+              (e, i) -> {_node(_child_path("n.path", "CAST(i AS string)"), "e", _is_container("e"))}))"""
 
 
 def flatten_documents(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") -> DataFrame:
@@ -92,52 +90,46 @@ def flatten_documents(docs: DataFrame, key_cols: list[str], doc_col: str = "doc"
     """
     tvf = docs.sparkSession.tvf
     nodes = docs.select(*key_cols, F.lit("").alias("__path"), F.parse_json(F.col(doc_col)).alias("__v"))
+    held = F.expr(f"CASE WHEN {_is_container('__v')} THEN __v END")
+    path = F.expr(
+        f"CASE WHEN pos IS NULL THEN __path ELSE {_child_path('__path', 'coalesce(key, CAST(pos AS string))')} END"
+    ).alias("__path")
+    value = F.expr("CASE WHEN pos IS NULL THEN __v ELSE value END").alias("__v")
+    keys = [F.col(k) for k in key_cols]
     for _ in range(FAST_LEVELS):
-        held = F.when(_is_container(F.col("__v")), F.col("__v"))
-        parts = tvf.variant_explode_outer(held.outer())
-        leaf = F.col("pos").isNull()
-        name = F.coalesce(F.col("key"), F.col("pos").cast("string"))
-        nodes = nodes.lateralJoin(parts).select(
-            *key_cols,
-            F.when(leaf, F.col("__path")).otherwise(_child_path(F.col("__path"), name)).alias("__path"),
-            F.when(leaf, F.col("__v")).otherwise(F.col("value")).alias("__v"),
-        )
-    v = F.col("__v")
-    text = F.to_json(v)
+        nodes = nodes.lateralJoin(tvf.variant_explode_outer(held.outer())).select(*keys, path, value)
+    still = _is_container("__v")
+    text = "to_json(__v)"
     deep = _open_all(
-        F.array(_node(F.col("__path"), v, F.lit(True))),
-        (_count(text, "{") + _count(text, "[")).cast("int"),
-        _indexed_children,
+        f"array({_node('__path', '__v', 'true')})", f"{_count(text, '{')} + {_count(text, '[')}", _INDEXED_CHILDREN
+    )
+    spread = nodes.select(
+        *keys, "__path", "__v", F.explode_outer(F.expr(f"CASE WHEN {still} THEN {deep} END")).alias("__n")
     )
-    still = _is_container(v)
-    spread = nodes.select(*key_cols, "__path", "__v", F.explode_outer(F.when(still, deep)).alias("__n"))
-    leaves = spread.where(F.col("__n").isNotNull() | ~still).select(
-        *key_cols,
-        F.coalesce("__n.path", "__path").alias("property"),
-        F.coalesce("__n.v", "__v").alias("__v"),
+    leaves = spread.where(f"__n IS NOT NULL OR NOT {still}").select(
+        *keys, F.coalesce("__n.path", "__path").alias("property"), F.coalesce("__n.v", "__v").alias("__v")
     )
     kinds = leaves.withColumn("__kind", F.schema_of_variant("__v"))
-    return kinds.select("property", value_text(F.col("__v"), F.col("__kind")).alias("value"), *key_cols)
+    return kinds.select("property", value_text("__v", "__kind").alias("value"), *keys)
 
 
-def _embedded(v: Column) -> Column:
+def _embedded(v: str) -> str:
     """A text value that holds a JSON object or array, parsed; anything else as it is."""
-    text = v.try_cast("string")
-    inner = F.when(text.rlike(r"^\s*[\{\[]") & ~v.try_cast("array<variant>").isNotNull(), F.try_parse_json(text))
-    return F.coalesce(F.when(_is_container(inner), inner), v)
+    text = f"try_cast({v} AS string)"
+    holds = f"({text} RLIKE '^\\\\s*[{{\\\\[]' AND try_cast({v} AS array<variant>) IS NULL)"
+    return f"""CASE WHEN {holds} THEN
+        coalesce(filter(array(try_parse_json({text})), j -> {_is_container('j')})[0], {v}) ELSE {v} END"""
 
 
-def _merged_children(n: Column) -> Column:
-    def node(path: Column, v: Column) -> Column:
-        opened = F.transform(F.array(_embedded(v)), lambda e: _node(path, e, _is_container(e)))
-        return F.when(_is_object(v), _node(path, v, F.lit(True))).otherwise(opened[0])
+def _merged_node(path: str, v: str) -> str:
+    opened = f"transform(array({_embedded(v)}), w -> {_node(path, 'w', _is_container('w'))})[0]"
+    return f"CASE WHEN {_is_object(v)} THEN {_node(path, v, 'true')} ELSE {opened} END"
 
-    fields = F.transform(
-        F.map_entries(n["v"].try_cast("map<string,variant>")),
-        lambda e: node(_child_path(n["path"], e["key"]), e["value"]),
-    )
-    elements = F.transform(n["v"].try_cast("array<variant>"), lambda e: node(n["path"], e))
-    return F.coalesce(fields, elements)
+
+_MERGED_CHILDREN = f"""coalesce(
+    transform(map_entries(try_cast(n.v AS map<string,variant>)),
+              e -> {_merged_node(_child_path("n.path", "e.key"), "e.value")}),
+    transform(try_cast(n.v AS array<variant>), e -> {_merged_node("n.path", "e")}))"""
 
 
 def flatten_merge(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") -> DataFrame:
@@ -146,27 +138,18 @@ def flatten_merge(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") ->
     Array elements share one path and the last value of a path wins; text that holds
     JSON is parsed again; nulls stay null.
     """
-    doc = F.col(doc_col)
-    root = F.array(_node(F.lit(""), F.parse_json(doc), F.lit(True)))
-    near = docs.select(*key_cols, doc, F.explode(F.array(_open_all(root, F.lit(FAST_LEVELS), _merged_children))).alias("__n"))
-    nested = F.exists("__n", lambda n: n["open"])
+    near = _open_all(f"array({_node("''", f'parse_json({doc_col})', 'true')})", str(FAST_LEVELS), _MERGED_CHILDREN)
+    opened = docs.select(*key_cols, doc_col, F.explode(F.array(F.expr(near))).alias("__n"))
     # every opened level has at least one brace of its own in the text
-    full = _open_all(F.col("__n"), F.when(nested, _count(doc, "{")).otherwise(F.lit(0)).cast("int"), _merged_children)
-    ordered = F.array_sort(
-        F.transform(
-            full,
-            lambda n, i: F.struct(
-                n["path"].alias("path"),
-                i.alias("at"),
-                F.when(~F.is_variant_null(n["v"]), value_text(n["v"], F.schema_of_variant(n["v"]))).alias("value"),
-            ),
-        )
-    )
+    more = f"CASE WHEN exists(__n, x -> x.open) THEN {_count(doc_col, '{')} ELSE 0 END"
+    full = _open_all("__n", more, _MERGED_CHILDREN)
+    text = _value_text("n.v", "schema_of_variant(n.v)")
+    ordered = f"""array_sort(transform({full}, (n, i) -> named_struct('path', n.path, 'at', i,
+        'value', CASE WHEN NOT is_variant_null(n.v) THEN {text} END)))"""
     # the generator keeps the sorted array from being computed once per use below
-    rows = near.select(*key_cols, F.explode(F.array(ordered)).alias("__s"))
-    following = F.concat(F.slice("__s", 2, F.greatest(F.size("__s"), F.lit(1))), F.array(F.lit(None).cast("struct<path:string,at:int,value:string>")))
-    paired = F.zip_with("__s", following, lambda a, b: F.struct(a.alias("row"), b.alias("next")))
-    last = F.filter(paired, lambda x: x["next"].isNull() | (x["next"]["path"] != x["row"]["path"]))
-    return rows.select(*key_cols, F.explode(last).alias("__x")).select(
+    rows = opened.select(*key_cols, F.explode(F.array(F.expr(ordered))).alias("__s"))
+    last = """filter(zip_with(__s, slice(__s, 2, greatest(size(__s), 1)), (a, b) -> named_struct('row', a, 'next', b)),
+        x -> x.next IS NULL OR x.next.path <> x.row.path)"""
+    return rows.select(*key_cols, F.explode(F.expr(last)).alias("__x")).select(
         F.col("__x.row.path").alias("property"), F.col("__x.row.value").alias("value"), *key_cols
     )

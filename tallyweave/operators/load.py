@@ -33,7 +33,7 @@ def property_rows(target: DataFrame, flat: DataFrame, keys: list[str]) -> DataFr
 
 def label_candidates(target: DataFrame, flat: DataFrame, keys: list[str]) -> DataFrame:
     """Put the distinct values into the labelling table as pending rows."""
-    new = flat.select(*keys).distinct().withColumn("status", F.lit("pending")).withColumn("revision", F.lit(1))
+    new = flat.select(*keys).withColumn("status", F.lit("pending")).withColumn("revision", F.lit(1))
     return insert_ignore(target, new, keys)
 
 

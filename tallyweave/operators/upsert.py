@@ -1,7 +1,9 @@
 """Keyed inserts and updates as new snapshots of a table.
 
-The target may be far larger than the change.  Where the change is small Spark
-broadcasts it (by measured size) and the target is scanned but not shuffled.
+The target may be far larger than the change.  Inserts first bring the change to one
+row per key and write it down: it is computed once although it is read several
+times, and its real size is known.  Where it is small Spark broadcasts it, and the
+target is scanned but not shuffled.
 """
 
 from __future__ import annotations
@@ -9,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.sources.tables import stage
+
 
 def one_row_per_key(rows: DataFrame, keys: list[str], count_as: str | None = None) -> DataFrame:
     """Keep the smallest row of each key, so reruns agree; optionally count the rows.
@@ -29,7 +33,7 @@ def one_row_per_key(rows: DataFrame, keys: list[str], count_as: str | None = Non
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Add the new rows whose key is not in the target yet; existing rows stay."""
-    fresh = one_row_per_key(new, keys)
+    fresh = stage(one_row_per_key(new, keys), "insert")
     return target.unionByName(absent_from(fresh, target, keys), allowMissingColumns=True)
 
 
@@ -47,7 +51,7 @@ def insert_or_bump_revision(
     target: DataFrame, new: DataFrame, keys: list[str], first_revision: int = 1
 ) -> DataFrame:
     """Insert new keys; each further arrival of a key adds 1 to its revision."""
-    counted = one_row_per_key(new.drop("revision"), keys, count_as="__n")
+    counted = stage(one_row_per_key(new.drop("revision"), keys, count_as="__n"), "upsert")
     seen = counted.select(*keys, F.col("__n").cast("int").alias("__n"))
     bumped = target.join(seen, keys, "left").select(
         *[

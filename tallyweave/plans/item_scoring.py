@@ -17,6 +17,7 @@ from tallyweave.operators.scoring import (
     measure_by_property,
 )
 from tallyweave.schemas import SCORE
+from tallyweave.sources.tables import stage
 
 KEY = "itemKey"
 
@@ -84,9 +85,14 @@ def item_evaluations(
 
 
 def scored_items(docs: DataFrame, labels: DataFrame, conf: dict[str, DataFrame]) -> DataFrame:
-    """Documents to evaluations in one plan."""
-    properties = item_properties(docs, labels, conf)
-    return item_evaluations(docs, properties, item_measures(docs, properties, conf), conf)
+    """Documents to evaluations.
+
+    Property rows feed the measures and the scripts, and measures are read by several
+    evaluations, so both are written once in between.
+    """
+    properties = stage(item_properties(docs, labels, conf), "item-properties")
+    measures = stage(item_measures(docs, properties, conf), "item-measures")
+    return item_evaluations(docs, properties, measures, conf)
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame, conf: dict[str, DataFrame]) -> DataFrame:

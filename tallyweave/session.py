@@ -26,6 +26,8 @@ def build_session(app: str = "tallyweave", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # plans are built from many small expressions: do not record a stack for each
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for name, value in settings.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweave.schemas import table_schema
+from tallyweave.session import shared_folder
 
 
 def read_table(
@@ -50,3 +51,15 @@ def write_table(
         raise ValueError("name a folder or JDBC options")
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a step of a chain to the shared folder and go on from the files.
+
+    For steps that several later steps read: they are computed once, and a lost
+    executor costs no more than the step at hand.  Columns not needed later are not
+    read back.  The folder is left to the life cycle of ``spark.checkpoint.dir``.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
