@@ -118,7 +118,7 @@ def _embedded(v: str) -> str:
     text = f"try_cast({v} AS string)"
     holds = f"({text} RLIKE '^\\\\s*[{{\\\\[]' AND try_cast({v} AS array<variant>) IS NULL)"
     return f"""CASE WHEN {holds} THEN
-        coalesce(filter(array(try_parse_json({text})), j -> {_is_container('j')})[0], {v}) ELSE {v} END"""
+        coalesce(get(filter(array(try_parse_json({text})), j -> {_is_container('j')}), 0), {v}) ELSE {v} END"""
 
 
 def _merged_node(path: str, v: str) -> str:
