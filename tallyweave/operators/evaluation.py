@@ -77,10 +77,12 @@ def evaluate_script(
     """
     scripted = evals.where(route(F.col("type"), twin) == "script")
     scripts = read_scripts(scripted, "id", "script")
-    profile = entity_profile(property_, None, key, variables_of(scripts.values())).drop("owned")
+    profile = entity_profile(property_, None, key, variables_of(scripts.values()))
+    owners = property_.select(key).distinct().withColumn("__owned", F.lit(True))
     of_script = route(F.col("type"), twin) == "script"
     result = F.when(of_script, script_text(F.col("evaluation"), scripts))
-    joined = evaluation.join(profile, key, "left").withColumn("__text", F.when(F.col("p").isNotNull(), result))
+    known = owners.join(profile, key, "left")
+    joined = evaluation.join(known, key, "left").withColumn("__text", F.when(F.col("__owned"), result))
     found = F.col("__text").isNotNull()
     columns = {
         "text": F.coalesce("__text", "text").alias("text"),

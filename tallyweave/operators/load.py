@@ -26,15 +26,19 @@ EVALUATION_PRIORITY = {
 }
 
 
+def _first() -> dict[str, Column]:
+    """State of a row that has just been put in."""
+    return {"status": F.lit("pending"), "revision": F.lit(1)}
+
+
 def property_rows(target: DataFrame, flat: DataFrame, keys: list[str]) -> DataFrame:
     """Put flattened rows into the property table; a repeated row bumps its revision."""
-    return insert_or_bump_revision(target, flat.select(*keys).withColumn("status", F.lit("pending")), keys)
+    return insert_or_bump_revision(target, flat.select(*keys), keys, {"status": F.lit("pending")})
 
 
 def label_candidates(target: DataFrame, flat: DataFrame, keys: list[str]) -> DataFrame:
     """Put the distinct values into the labelling table as pending rows."""
-    new = flat.select(*keys).withColumn("status", F.lit("pending")).withColumn("revision", F.lit(1))
-    return insert_ignore(target, new, keys)
+    return insert_ignore(target, flat.select(*keys), keys, _first())
 
 
 def _with_config(entities: DataFrame, config: DataFrame, key: str, categories: DataFrame | None) -> DataFrame:
@@ -186,11 +190,10 @@ def persona_tasks(target: DataFrame, users: DataFrame, personas: DataFrame) -> D
     ids = personas.select(
         F.col("hierarchy_id").alias("hierarchyId"), F.col("phase_id").alias("phaseId"), F.col("id").alias("personaId")
     )
-    new = pair_every(users.select("userKey"), ids, "userKey").withColumn("status", F.lit("pending"))
-    return insert_or_bump_revision(target, new, PERSONA_KEYS)
+    new = pair_every(users.select("userKey"), ids, "userKey")
+    return insert_or_bump_revision(target, new, PERSONA_KEYS, {"status": F.lit("pending")})
 
 
 def filter_tasks(target: DataFrame, users: DataFrame) -> DataFrame:
     """One pending filter row per new user."""
-    new = users.select("userKey").withColumn("status", F.lit("pending")).withColumn("revision", F.lit(1))
-    return insert_ignore(target, new, ["userKey"])
+    return insert_ignore(target, users.select("userKey"), ["userKey"], _first())

@@ -23,7 +23,7 @@ def score_personas(
     """
     scripts = {col: read_scripts(conf, "id", script_col) for col, (conf, script_col, _) in configs.items()}
     names = variables_of(s for by_id in scripts.values() for s in by_id.values())
-    profile = entity_profile(property_, evaluation, "userKey", names).drop("owned")
+    profile = entity_profile(property_, evaluation, "userKey", names)
     joined = user_persona.join(profile, "userKey", "left")
     scores = {
         col: F.coalesce(text_to_score(script_text(F.col(id_col), scripts[col])), F.col(col)).alias(col)

@@ -53,19 +53,17 @@ def _fields(p: Column, e: Column) -> list[Column]:
 def entity_profile(
     property_: DataFrame, evaluation: DataFrame | None, key: str, names: list[str]
 ) -> DataFrame:
-    """(key, p): the named variables of each entity as a map.
+    """(key, p): the named variables of each entity as a map, for entities that have any.
 
-    Only the variables that scripts read are kept, each as one running maximum, so an
-    entity with any number of rows takes a bounded state and the shuffle carries one
-    combined row per entity and input task.
+    Only the variables that scripts read are kept: the filter on names reaches the
+    scan, and each is one running maximum, so an entity with any number of rows takes
+    a bounded state and the shuffle carries one combined row per entity and task.
     """
-    # An entity counts as profiled by its properties; evaluations only add variables.
-    rows = property_.select(
+    rows = property_.where(F.col("property").isin(names)).select(
         key,
         F.col("property").alias("name"),
         F.struct("value", "score", "rank").alias("__p"),
         F.lit(None).cast(_evaluated_type(evaluation)).alias("__e"),
-        F.lit(True).alias("__owned"),
     )
     if evaluation is not None:
         rows = rows.unionByName(
@@ -74,18 +72,14 @@ def entity_profile(
                 F.col("type").alias("name"),
                 F.lit(None).cast(rows.schema["__p"].dataType).alias("__p"),
                 F.struct("score", "text").alias("__e"),
-                F.lit(False).alias("__owned"),
             )
         )
-    aggs = [F.max("__owned").alias("owned")]
+    aggs, entries = [F.count(F.lit(1)).alias("n")], []
     for i, name in enumerate(names):
         aggs.append(F.max(F.when(F.col("name") == name, F.col("__p"))).alias(f"p{i}"))
         aggs.append(F.max(F.when(F.col("name") == name, F.col("__e"))).alias(f"e{i}"))
-    grouped = rows.groupBy(key).agg(*aggs)
-    entries = []
-    for i, name in enumerate(names):
         p, e = F.col(f"p{i}"), F.col(f"e{i}")
         known = p.isNotNull() | e.isNotNull()
         entries += [F.lit(name), F.when(known, F.struct(*_fields(p, e)).cast(VARIABLE_TYPE))]
-    variables = F.create_map(*entries) if entries else F.create_map().cast(f"map<string,{VARIABLE_TYPE}>")
-    return grouped.select(key, "owned", variables.alias(VARIABLES))
+    variables = F.create_map(*entries).cast(f"map<string,{VARIABLE_TYPE}>")
+    return rows.groupBy(key).agg(*aggs).select(key, variables.alias(VARIABLES))

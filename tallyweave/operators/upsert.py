@@ -31,10 +31,16 @@ def one_row_per_key(rows: DataFrame, keys: list[str], count_as: str | None = Non
     return kept.select(*columns, *([count_as] if count_as else []))
 
 
-def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the new rows whose key is not in the target yet; existing rows stay."""
+def insert_ignore(
+    target: DataFrame, new: DataFrame, keys: list[str], defaults: dict[str, Column] | None = None
+) -> DataFrame:
+    """Add the new rows whose key is not in the target yet; existing rows stay.
+
+    ``defaults`` are columns all added rows have in common.
+    """
     fresh = stage(one_row_per_key(new, keys), "insert")
-    return target.unionByName(absent_from(fresh, target, keys), allowMissingColumns=True)
+    added = absent_from(fresh, target, keys).withColumns(defaults or {})
+    return target.unionByName(added, allowMissingColumns=True)
 
 
 def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,9 +54,16 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
 
 
 def insert_or_bump_revision(
-    target: DataFrame, new: DataFrame, keys: list[str], first_revision: int = 1
+    target: DataFrame,
+    new: DataFrame,
+    keys: list[str],
+    defaults: dict[str, Column] | None = None,
+    first_revision: int = 1,
 ) -> DataFrame:
-    """Insert new keys; each further arrival of a key adds 1 to its revision."""
+    """Insert new keys; each further arrival of a key adds 1 to its revision.
+
+    ``defaults`` are columns all added rows have in common.
+    """
     counted = stage(one_row_per_key(new.drop("revision"), keys, count_as="__n"), "upsert")
     seen = counted.select(*keys, F.col("__n").cast("int").alias("__n"))
     bumped = target.join(seen, keys, "left").select(
@@ -62,6 +75,7 @@ def insert_or_bump_revision(
     added = (
         absent_from(counted, target, keys)
         .withColumn("revision", (F.col("__n") + F.lit(first_revision - 1)).cast("int"))
+        .withColumns(defaults or {})
         .drop("__n")
     )
     return bumped.unionByName(added, allowMissingColumns=True)

@@ -26,6 +26,11 @@ def build_session(app: str = "tallyweave", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # stream state may outgrow executor memory: keep it on disk, checkpoint only its changes
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         # plans are built from many small expressions: do not record a stack for each
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
