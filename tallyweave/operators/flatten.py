@@ -143,9 +143,9 @@ def flatten_merge(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") ->
     # every opened level has at least one brace of its own in the text
     more = f"CASE WHEN exists(__n, x -> x.open) THEN {_count(doc_col, '{')} ELSE 0 END"
     full = _open_all("__n", more, _MERGED_CHILDREN)
-    text = _value_text("n.v", "schema_of_variant(n.v)")
-    ordered = f"""array_sort(transform({full}, (n, i) -> named_struct('path', n.path, 'at', i,
-        'value', CASE WHEN NOT is_variant_null(n.v) THEN {text} END)))"""
+    kinds = f"transform({full}, n -> named_struct('path', n.path, 'v', n.v, 'kind', schema_of_variant(n.v)))"
+    ordered = f"""array_sort(transform({kinds}, (n, i) -> named_struct('path', n.path, 'at', i,
+        'value', CASE WHEN n.kind <> 'VOID' THEN {_value_text("n.v", "n.kind")} END)))"""
     # the generator keeps the sorted array from being computed once per use below
     rows = opened.select(*key_cols, F.explode(F.array(F.expr(ordered))).alias("__s"))
     last = """filter(zip_with(__s, slice(__s, 2, greatest(size(__s), 1)), (a, b) -> named_struct('row', a, 'next', b)),
