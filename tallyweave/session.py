@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,8 +41,7 @@ def build_session(app: str = "tallyweave", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    The local temporary folder is used only where the session names none, as in
-    tests on one machine.
+    A session that names none has its warehouse, which driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "tallyweave")
+    root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/steps"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
