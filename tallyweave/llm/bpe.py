@@ -287,7 +287,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", *
         outputs = {k: k for k in ("n_tokens", "ids_sha256", "decoded_sha256")}
     types = {
         "ids": "binary",
-        "n_tokens": "bigint",
+        "n_tokens": "long",
         "ids_sha256": "string",
         "decoded": "string",
         "decoded_sha256": "string",

@@ -6,8 +6,11 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyweave.llm import licences, secrets
 from tallyweave.llm.bpe import encode_documents
+from tallyweave.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +41,68 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return encode_documents(docs, vocabulary()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def _secrets_sql() -> str:
+    parts, order = [], 0
+    for order, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""SELECT text, {order} AS ord, '{rule.kind}' AS kind, {rule.least} AS least,
+            string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}', 0) AS hits,
+            regexp_extract_all(text, '{pattern}', {rule.group}) AS groups
+          FROM blobs WHERE regexp_matches(text, '{pattern}')""")
+    return f"""WITH blobs AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+    found AS ({" UNION ALL ".join(parts)}),
+    each AS (SELECT text, ord, kind, least, unnest(range(1, len(hits) + 1)) AS i, gaps, hits, groups FROM found),
+    placed AS (SELECT text, ord, kind, length(groups[i]) >= least AS ok, length(hits[i]) AS n,
+        sum(length(gaps[i]) + length(hits[i])) OVER (PARTITION BY text, ord ORDER BY i) AS stop FROM each),
+    spans AS (SELECT text, ord, kind, CAST(stop - n AS BIGINT) AS start,
+        kind || ':' || CAST(stop - n AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM placed WHERE ok),
+    per_text AS (SELECT text, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex,
+        coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (ord < {len(secrets.BASE)}), '') AS base,
+        string_agg(span, ',' ORDER BY start, ord) AS spans FROM spans GROUP BY text)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents d LEFT JOIN per_text p ON p.text = coalesce(d.text, '')"""
+
+
+@query("op6_secrets", _secrets_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ledger = secrets.extend_ledger(docs, shared_folder(spark, "secret-ledger"))
+    found = secrets.findings(docs, ledger)
+    base = F.filter("spans", lambda s: s["ord"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("spans"), rule.kind).alias(f"n_{rule.kind}") for rule in secrets.BASE],
+        F.sha2(secrets.spelled(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def _licences_sql() -> str:
+    known = " ".join(
+        f"WHEN '{sentence}' THEN '{i}'" for sentence, i in licences.sentence_ids().items()
+    )
+    rules = ", ".join(
+        f"CASE WHEN contains(line, '{run}') THEN '{name}' END" for name, run in licences.rule_texts()
+    )
+    return rf"""WITH spaced AS (SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')),
+        '[.!?;:]+([	- ]|\z)', chr(10), 'g'), '[^\pL\pN
+]+', ' ', 'g') AS t FROM documents),
+    lists AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(10)), lambda s: trim(s)), lambda s: s <> '') AS s
+      FROM spaced),
+    ids AS (SELECT doc_id, s, list_transform(s, lambda x: CASE x {known} ELSE '0' END) AS ids FROM lists),
+    lines AS (SELECT doc_id, len(s) AS n, len(list_filter(ids, lambda i: i <> '0')) AS k,
+      regexp_replace(regexp_replace(',' || array_to_string(list_transform(ids, lambda i: i || ','), ','), '(,0,)+', ',0,', 'g'),
+        ',,', ',', 'g') AS line FROM ids)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_sentences, CAST(k AS BIGINT) AS n_known, line AS sentence_ids,
+      array_to_string(list_sort(list_distinct(list_filter([{rules}], lambda x: x IS NOT NULL))), ',') AS licences
+    FROM lines"""
+
+
+@query("op8_licences", _licences_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return licences.scan_licences(docs).drop("text")
