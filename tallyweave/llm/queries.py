@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import licences, secrets
+from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets
 from tallyweave.llm.bpe import encode_documents
+from tallyweave.llm.decontaminate import decontaminate
+from tallyweave.llm.substrings import remove_repeats
+from tallyweave.llm.suffixes import remove_repeated_bytes
 from tallyweave.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +33,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """The content of an installed public vocabulary file."""
     import public_tokenizers
@@ -37,12 +44,47 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+@query("op1_substrings")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return remove_repeats(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return encode_documents(docs, vocabulary()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query("op3_suffixes")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return remove_repeated_bytes(docs, with_text=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = line_crf.train(docs, labels(spark, sf_dir).withColumnRenamed("quality", "label"))
+    return line_crf.judge(docs, model).drop("text")
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _secrets_sql() -> str:
     parts, order = [], 0
     for order, rule in enumerate(secrets.RULES):
@@ -89,7 +131,8 @@ def _licences_sql() -> str:
         f"CASE WHEN contains(line, '{run}') THEN '{name}' END" for name, run in licences.rule_texts()
     )
     return rf"""WITH spaced AS (SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')),
-        '[.!?;:]+([	- ]|\z)', chr(10), 'g'), '[^\pL\pN
+        '[.!?;:]+([	-
+ ]|\z)', chr(10), 'g'), '[^\pL\pN
 ]+', ' ', 'g') AS t FROM documents),
     lists AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(10)), lambda s: trim(s)), lambda s: s <> '') AS s
       FROM spaced),
@@ -106,3 +149,29 @@ def _licences_sql() -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return licences.scan_licences(docs).drop("text")
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+@query("op9_compression")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    learned = labels(spark, sf_dir).where(~held_out()).withColumnRenamed("quality", "label")
+    model = compression.fit(docs, learned)
+    scored = compression.score_documents(docs, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op10_cross_entropy")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: texts labelled good and not toxic; background: all texts."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    marks = labels(spark, sf_dir).groupBy("doc_id").agg(
+        (F.bool_and(F.coalesce(F.col("quality") == 1, F.lit(False)) & F.coalesce(F.col("toxic") == 0, F.lit(False)))).alias("good")
+    )
+    marked = docs.join(marks, "doc_id", "left")
+    return ngram_lm.score_documents(marked, F.col("good")).drop("text", "good")
