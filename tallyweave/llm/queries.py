@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets
 from tallyweave.llm.bpe import encode_documents
 from tallyweave.llm.decontaminate import decontaminate
+from tallyweave.llm.near_dups import near_duplicates
 from tallyweave.llm.substrings import remove_repeats
 from tallyweave.llm.suffixes import remove_repeated_bytes
 from tallyweave.session import shared_folder
@@ -123,6 +124,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def _licences_sql() -> str:
     known = " ".join(
         f"WHEN '{sentence}' THEN '{i}'" for sentence, i in licences.sentence_ids().items()
