@@ -1,27 +1,70 @@
-"""A filtering pipeline over ``documents``: each stage is written and read again by the next."""
+"""A filtering pipeline over ``documents``: each stage is written and read again by the next.
+
+Quality rules drop what they reject; of each group of near duplicates one document stays;
+documents that hold a window of a benchmark item go; secrets are cut out of the texts; the
+last stage adds token ids.  All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyweave.llm import line_crf, secrets
 from tallyweave.llm.bpe import encode_documents
-from tallyweave.llm.queries import vocabulary
+from tallyweave.llm.decontaminate import decontaminate
+from tallyweave.llm.near_dups import near_duplicates
+from tallyweave.llm.queries import labels, vocabulary
 from tallyweave.session import shared_folder
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose base rules hold and whose words stand mostly in content lines."""
+    model = line_crf.train(docs, labels(spark, sf_dir).withColumnRenamed("quality", "label"))
+    return line_crf.judge(docs, model).where("kept").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document that names its component, once; documents without an id or an equal stay.
+
+    A row without doc_id cannot name a component and goes.
+    """
+    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, benchmark).where("n_hit = 0").select(*docs.columns)
+
+
+def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mark and its length set anew."""
+    found = secrets.findings(docs, secrets.extend_ledger(docs, shared_folder(spark, "secret-ledger")))
+    cut = found.withColumn("clean", secrets.redact(F.col("text"), F.col("spans")))
+    # in a step of its own: the new text must not stand in for the old one above
+    size = F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("clean").cast("long"))
+    return cut.withColumn("n_chars", size).drop("text").withColumnRenamed("clean", "text").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and their decoded text's digest."""
-    return encode_documents(docs, vocabulary(), ids="ids", n_tokens="n_tokens", decoded_sha256="decoded_sha256")
+    """Token ids of every document that is left, and the digests of ids and decoded text."""
+    names = ("ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    return encode_documents(docs, vocabulary(), **{n: n for n in names})
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("near_dedup", near_dedup),
+    ("decontaminate", drop_contaminated),
+    ("secrets", cut_secrets),
     ("bpe", encode),
 ]
 
+# A model, exact set similarity and byte-pair merges are beyond SQL: tests hold run() against brute force.
 ORACLE_SQL: str | None = None
 
 

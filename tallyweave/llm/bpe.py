@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
+
 # Fixed values of the vocabulary file's normaliser and word pattern.
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -295,12 +297,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", *
     unknown = set(outputs) - set(types)
     if unknown:
         raise ValueError(f"no such output: {sorted(unknown)}")
-    taken = {name.lower() for name in outputs.values()}
-    kept = [c for c in docs.columns if c.lower() not in taken]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__text"))
-    schema = source.select(*[F.col(f"`{c}`") for c in kept]).schema
-    for kind, name in outputs.items():
-        schema = schema.add(name, types[kind])
+    source, inner, kept = carried(docs, text_col, outputs.values())
+    schema = source.select(*inner).schema
+    for kind in outputs:
+        schema = schema.add(kind, types[kind])
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +325,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", *
             arrow = {"ids": pa.binary(), "n_tokens": pa.int64()}
             columns = [pa.array(made[k], arrow.get(k, pa.string())) for k in outputs]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns], names=[*kept, *outputs.values()]
+                [*batch.columns[:-1], *columns], names=[*inner, *outputs]
             )
 
-    return source.mapInArrow(work, schema)
+    out = source.mapInArrow(work, schema)
+    return out.select(*restored(inner, kept), *[F.col(kind).alias(name) for kind, name in outputs.items()])

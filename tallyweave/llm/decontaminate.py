@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.words import NOT_ALNUM, U64, Words, as_long, chunks, texts, window_hash
 from tallyweave.session import shared_folder
 
@@ -236,12 +237,8 @@ def decontaminate(
     prefixes(windows, token_counts(docs, tokens, text_col)).write.parquet(f"{path}/prefixes")
     listed = spark.read.parquet(f"{path}/prefixes")
 
-    kept = [c for c in docs.columns if c.lower() not in NAMES]
-    inner = [f"c{i}" for i in range(len(kept))]
-    source = docs.select(
-        *[F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)], F.col(f"`{text_col}`").alias("__text")
-    )
-    schema = source.drop("__text").schema
+    source, inner, kept = carried(docs, text_col, NAMES)
+    schema = source.select(*inner).schema
     for field in spark.createDataFrame([], _CANDIDATES).schema:
         schema = schema.add(field)
     shared = spark.sparkContext.broadcast(bit_table(listed.select("token").distinct()))
@@ -266,7 +263,7 @@ def decontaminate(
     joined_spans = hits.mapInArrow(_hits, "blob string, n_hit long, items array<string>")
     out = posted.drop("posts").join(joined_spans, "blob", "left")
     return out.select(
-        *[F.col(i).alias(c) for i, c in zip(inner, kept)],
+        *restored(inner, kept),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

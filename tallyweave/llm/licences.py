@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
+
 # Sentences of published licences and of the notices that name them.
 MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -101,16 +103,17 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     known = F.create_map(*[F.lit(x) for pair in sentence_ids().items() for x in pair])
     names = ("n_sentences", "n_known", "sentence_ids", "licences")
-    base = docs.drop(*names).withColumn("__s", sentences(F.col(f"`{text_col}`")))
-    ids = base.withColumn(
-        "__ids", F.transform("__s", lambda s: F.coalesce(F.try_element_at(known, s), F.lit(0)).cast("string"))
+    source, inner, kept = carried(docs, text_col, names)
+    ids = source.withColumn("s", sentences(F.col("text"))).withColumn(
+        "ids", F.transform("s", lambda s: F.coalesce(F.try_element_at(known, s), F.lit(0)).cast("string"))
     )
-    line = ids.withColumn("__line", F.regexp_replace(F.when(F.size("__ids") > 0, F.concat(F.lit(","), F.array_join("__ids", ","), F.lit(","))).otherwise(F.lit(",")), r"(,0)+(?=,)", ",0"))
-    hits = [F.when(F.contains("__line", F.lit(run)), F.lit(name)) for name, run in rule_texts()]
-    return (
-        line.withColumn("n_sentences", F.size("__s").cast("long"))
-        .withColumn("n_known", F.size(F.filter("__ids", lambda i: i != "0")).cast("long"))
-        .withColumn("sentence_ids", F.col("__line"))
-        .withColumn("licences", F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))), ","))
-        .drop("__s", "__ids", "__line")
+    spelled = F.when(F.size("ids") > 0, F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))).otherwise(F.lit(","))
+    line = ids.withColumn("line", F.regexp_replace(spelled, r"(,0)+(?=,)", ",0"))
+    hits = [F.when(F.contains("line", F.lit(run)), F.lit(name)) for name, run in rule_texts()]
+    return line.select(
+        *restored(inner, kept),
+        F.size("s").cast("long").alias("n_sentences"),
+        F.size(F.filter("ids", lambda i: i != "0")).cast("long").alias("n_known"),
+        F.col("line").alias("sentence_ids"),
+        F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))), ",").alias("licences"),
     )

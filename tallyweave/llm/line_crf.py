@@ -21,8 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.samples import labelled_sample
 from tallyweave.llm.words import (
     U64,
@@ -148,7 +148,8 @@ class Page:
         self.n_dup_lines = np.bincount(row[again], minlength=len(offsets) - 1)
         size = np.maximum(end - start, 1)
         share = {}
-        for name, kind in (("symbol", SYMBOLS), ("bar", _BAR), ("bang", _BANG), ("digit", _DIGIT), ("upper", _UPPER), ("letter", _LETTER)):
+        kinds = {"symbol": SYMBOLS, "bar": _BAR, "bang": _BANG, "digit": _DIGIT, "upper": _UPPER, "letter": _LETTER}
+        for name, kind in kinds.items():
             running = _running(kind[data])
             share[name] = running[end] - running[start]
         repeated = _running(self.repeated)
@@ -285,9 +286,8 @@ NAMES = (
 
 def judge(docs: DataFrame, model: Crf, share: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs`` with the base counts, ``content_share`` and ``kept``; columns of those names are replaced."""
-    kept = [c for c in docs.columns if c.lower() not in NAMES]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__text"))
-    schema = source.drop("__text").schema
+    source, inner, kept = carried(docs, text_col, NAMES)
+    schema = source.select(*inner).schema
     for name in NAMES[:5]:
         schema = schema.add(name, "long")
     schema = schema.add("base_failed", "boolean").add("content_share", "double").add("kept", "boolean")
@@ -304,9 +304,9 @@ def judge(docs: DataFrame, model: Crf, share: float = 0.5, text_col: str = "text
                 pa.array(np.concatenate(c) if c else np.zeros(0)).cast(t)
                 for c, t in zip(made, [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()])
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*kept, *NAMES])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*inner, *NAMES])
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(work, schema).select(*restored(inner, kept), *NAMES)
 
 
 def measure(data: np.ndarray, offsets: np.ndarray, model: Crf, share: float) -> list[np.ndarray]:

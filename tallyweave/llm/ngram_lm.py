@@ -24,6 +24,7 @@ uniform prior; the scores are still defined.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.words import chunks, texts
 from tallyweave.session import shared_folder
 
@@ -164,19 +166,14 @@ def score_documents(
 NAMES = ("n_tokens", "target_loss", "background_loss", "score")
 
 
-def _source(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
-    kept = [c for c in docs.columns if c.lower() not in NAMES]
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__text")), kept
-
-
 def _score_local(docs: DataFrame, table: DataFrame, text_col: str, order: int) -> DataFrame:
     found = table.toArrow()
     keys = found.column("gram").to_numpy().astype(np.uint32)
     sort = np.argsort(keys)
     values = [found.column(f"{k}_loss").to_numpy().astype(np.float32)[sort] for k in ("target", "background")]
     shared = docs.sparkSession.sparkContext.broadcast((keys[sort], *values))
-    source, kept = _source(docs, text_col)
-    schema = source.drop("__text").schema.add("n_tokens", "long")
+    source, inner, kept = carried(docs, text_col, NAMES)
+    schema = source.select(*inner).schema.add("n_tokens", "long")
     for name in NAMES[1:]:
         schema = schema.add(name, "double")
 
@@ -201,10 +198,10 @@ def _score_local(docs: DataFrame, table: DataFrame, text_col: str, order: int) -
                     pa.array(means[1]),
                     pa.array(means[0] - means[1]),
                 ],
-                names=[*kept, *NAMES],
+                names=[*inner, *NAMES],
             )
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(work, schema).select(*restored(inner, kept), *NAMES)
 
 
 def _score_joined(docs: DataFrame, table: DataFrame, text_col: str, order: int) -> DataFrame:
@@ -212,8 +209,6 @@ def _score_joined(docs: DataFrame, table: DataFrame, text_col: str, order: int)
     own = docs.select(F.col(f"`{text_col}`").alias("text")).where(F.octet_length("text") > 0)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         for batch in batches:
             for value in batch.column(0):
                 text = value.as_py().encode()
@@ -237,13 +232,13 @@ def _score_joined(docs: DataFrame, table: DataFrame, text_col: str, order: int)
             F.sum(F.col("n") * F.col("background_loss")).alias("b"),
         )
     )
-    source, kept = _source(docs, text_col)
-    keyed = source.withColumn("blob", F.sha2(F.coalesce("__text", F.lit("")).cast("binary"), 256)).drop("__text")
+    source, inner, kept = carried(docs, text_col, NAMES)
+    keyed = source.select(*inner, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("blob"))
     joined = keyed.join(sums.select("blob", *[F.col(c).alias(f"__{c}") for c in ("n_tokens", "t", "b")]), "blob", "left")
     n = F.coalesce(F.col("__n_tokens"), F.lit(0))
     mean = {c: F.coalesce(F.col(f"__{c}") / F.col("__n_tokens"), F.lit(0.0)) for c in ("t", "b")}
     return joined.select(
-        *[F.col(f"`{c}`") for c in kept],
+        *restored(inner, kept),
         n.alias("n_tokens"),
         mean["t"].alias("target_loss"),
         mean["b"].alias("background_loss"),

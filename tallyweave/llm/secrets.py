@@ -21,6 +21,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
+
 
 class Rule(NamedTuple):
     """A kind of secret: its pattern, the group whose length counts, and the least length."""
@@ -132,11 +134,13 @@ def findings(docs: DataFrame, ledger: DataFrame, text_col: str = "text", version
     fraction of them; the join drops no row.
     """
     found = ledger.where((F.col("rule_version") == version) & (F.size("spans") > 0)).select(
-        F.col("blob").alias("__blob"), F.col("spans").alias("__spans")
+        "blob", F.col("spans").alias("found")
+    )
+    source, inner, kept = carried(docs, text_col, ["spans"])
+    joined = source.select(*inner, blob_id(F.col("text")).alias("blob")).join(found, "blob", "left")
+    return joined.select(
+        *restored(inner, kept), F.coalesce("found", F.array().cast(f"array<{_SPAN}>")).alias("spans")
     )
-    keyed = docs.drop("spans").withColumn("__blob", blob_id(F.col(f"`{text_col}`")))
-    joined = keyed.join(found, "__blob", "left")
-    return joined.withColumn("spans", F.coalesce("__spans", F.array().cast(f"array<{_SPAN}>"))).drop("__blob", "__spans")
 
 
 def spelled(spans: Column) -> Column:
@@ -152,3 +156,21 @@ def spelled(spans: Column) -> Column:
 
 def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def redact(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
+    """The text with every stretch of its spans replaced by one mark; overlapping spans are one stretch."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(state: Column, span: Column) -> Column:
+        apart = (span["start"] > state["at"]) | (F.size(state["parts"]) == 0)
+        gap = F.array(F.substring(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mark))
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(apart, F.concat(state["parts"], gap)).otherwise(state["parts"]).alias("parts"),
+        )
+
+    def close(state: Column) -> Column:
+        return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, close))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.repeats import anchors, estimated_repeated, repeated_cells, sketch_bits, text_bytes
 from tallyweave.llm.words import U64, Words, as_long, chunks, covered, texts, window_hash
 
@@ -120,15 +121,10 @@ def remove_repeats(
         .agg(F.collect_list("at").alias("once"))
     )
 
-    kept = [c for c in docs.columns if c.lower() not in NAMES]
-    inner = [f"c{i}" for i in range(len(kept))]
+    carry, inner, kept = carried(docs, text_col, NAMES)
     outputs = [n for n in NAMES if with_text or n != "kept_text"]
-    source = docs.select(
-        *[F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)],
-        F.col(f"`{text_col}`").alias("__text"),
-        F.xxhash64(f"`{text_col}`").alias("name"),
-    ).join(once, "name", "left")
-    source = source.select(*inner, "__text", "once")
+    source = carry.withColumn("name", F.xxhash64("text")).join(once, "name", "left")
+    source = source.select(*inner, "text", "once")
     schema = source.select(*inner).schema
     for name in outputs:
         schema = schema.add(name, "long" if name.startswith("n_") else "string")
@@ -168,4 +164,4 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(inner)], *columns], names=[*inner, *outputs])
 
     out = source.mapInArrow(removed, schema)
-    return out.select(*[F.col(i).alias(c) for i, c in zip(inner, kept)], *outputs)
+    return out.select(*restored(inner, kept), *outputs)
