@@ -5,12 +5,14 @@ is cut into blocks, each block is compressed with either dictionary, and the dif
 the two summed sizes over their sum says which dictionary knows the text better; blocks
 keep the dictionaries' influence alike in short and long texts, and all blocks count.  A logistic
 curve, fitted on labelled texts that neither dictionary has seen, turns the difference into
-a score between 0 and 1.
+a score between 0 and 1.  The curve also sees how far the better dictionary shrinks the text
+(endless repetition shrinks to nothing with either) and how short the text is, as the
+difference says little about a few words.
 
 Fitting takes a bounded sample (``FitLimits``) of the labelled rows: those of least hash, half
 for the dictionaries, half for the curve.  Scoring covers every row where it is read, without
-a shuffle.  Nulls are empty texts; an empty text has difference 0 and so the curve's value
-there.  Without labels of both classes no score can be learned and every score is 0.5.
+a shuffle.  Nulls are empty texts; an empty text has difference 0 and is as short as
+can be, which gives it the curve's value there.  Without labels of both classes no score can be learned and every score is 0.5.
 Several labels of one document each count; a label without document, or without value, none.
 """
 
@@ -26,9 +28,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.samples import labelled_sample
 
-BLOCK_BYTES = 4096
+BLOCK_BYTES = 2048
 _LEVEL = 3
 
 
@@ -48,11 +51,12 @@ class FitLimits:
 class CompressionModel:
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    #: of the columns of ``_Pair.measure``, and the offset
+    weights: tuple[float, ...]
 
-    def scores(self, differences: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * differences + self.offset, -40, 40)))
+    def scores(self, measured: np.ndarray) -> np.ndarray:
+        sums = measured @ np.array(self.weights[:-1]) + self.weights[-1]
+        return 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
 
 
 class _Pair:
@@ -68,32 +72,33 @@ class _Pair:
             dictionary.precompute_compress(level=_LEVEL)
             self.both.append(zstandard.ZstdCompressor(compression_params=params, dict_data=dictionary))
 
-    def difference(self, text: bytes) -> float:
-        """Above 0 where the good dictionary compresses better."""
+    def measure(self, text: bytes) -> tuple[float, float, float]:
+        """The difference, above 0 where the good dictionary compresses better; shrinkage; shortness."""
         good = bad = 0
         for at in range(0, len(text), BLOCK_BYTES):
             block = text[at : at + BLOCK_BYTES]
             good += len(self.both[0].compress(block))
             bad += len(self.both[1].compress(block))
-        return (bad - good) / (bad + good) if text else 0.0
+        if not text:
+            return 0.0, 0.0, 1.0
+        return (bad - good) / (bad + good), math.log(min(good, bad) / len(text)), 1 / (1 + len(text) / 64)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset by Newton's method with a small ridge; classes weigh the same."""
-    scale = float(np.std(x)) or 1.0
-    z = np.column_stack([x / scale, np.ones_like(x)])
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    w = np.zeros(2)
-    ridge = np.diag([0.05, 1e-6])
+def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, ...]:
+    """Weights of the columns of ``x`` and the offset, by Newton's method with a small ridge."""
+    scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
+    z = np.column_stack([x / scale, np.ones(len(x))])
+    w = np.zeros(z.shape[1])
+    ridge = np.diag([0.05] * x.shape[1] + [1e-6])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        gradient = z.T @ (weight * (p - y)) + ridge @ w
-        hessian = (z * (weight * p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(2)
+        gradient = z.T @ (p - y) + ridge @ w
+        hessian = (z * (p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if float(np.abs(step).max()) < 1e-8:
             break
-    return float(w[0] / scale), float(w[1])
+    return (*(w[:-1] / scale).tolist(), float(w[-1]))
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -117,33 +122,31 @@ def fit(
     sample = labelled_sample(docs, labels, limits.texts, limits.text_bytes, key, text_col, label_col)
     taken = {label: [t.encode() for t in found] for label, found in sample.items()}
     if not taken[0] or not taken[1]:
-        return CompressionModel(b" ", b" ", 0.0, 0.0)
+        return CompressionModel(b" ", b" ", (0.0, 0.0, 0.0, 0.0))
     good = _dictionary(taken[1][::2], limits.dictionary)
     bad = _dictionary(taken[0][::2], limits.dictionary)
     pair = _Pair(good, bad)
     rest = [(t, label) for label in (0, 1) for t in taken[label][1::2] or taken[label]]
-    x = np.array([pair.difference(t) for t, _ in rest])
+    x = np.array([pair.measure(t) for t, _ in rest])
     y = np.array([label for _, label in rest], float)
-    slope, offset = fit_logistic(x, y)
-    return CompressionModel(good, bad, max(slope, 0.0), offset)
+    return CompressionModel(good, bad, fit_logistic(x, y))
 
 
 def score_documents(docs: DataFrame, model: CompressionModel, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a score per row; a column of that name is replaced."""
-    kept = [c for c in docs.columns if c.lower() != name.lower()]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__text"))
-    schema = source.drop("__text").schema.add(name, "double")
+    source, inner, kept = carried(docs, text_col, [name])
+    schema = source.select(*inner).schema.add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         pair = _Pair(fitted.good, fitted.bad)
         for batch in batches:
-            found = [pair.difference(t.encode() if t else b"") for t in _each(batch.columns[-1])]
-            scores = fitted.scores(np.array(found, float))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*kept, name])
+            found = [pair.measure(t.encode() if t else b"") for t in _each(batch.columns[-1])]
+            scores = fitted.scores(np.array(found, float).reshape(-1, 3))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*inner, "score"])
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(work, schema).select(*restored(inner, kept), F.col("score").alias(name))
 
 
 def _each(column: pa.Array) -> Iterator[str | None]:
