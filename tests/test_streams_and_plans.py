@@ -1,11 +1,11 @@
 import pytest
 
-from __spark_entry__ import queries
+from suite import QUERIES
 from tallyweave.operators.flatten import flatten_documents
 from tallyweave.streaming import jobs
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = [n for n in queries() if n.startswith("stream_")]
+STREAMS = [n for n in QUERIES if n.startswith("stream_")]
 
 
 def test_upsert_stream_goes_on_from_its_checkpoint(spark, rows, tmp_path):
@@ -20,8 +20,8 @@ def test_upsert_stream_goes_on_from_its_checkpoint(spark, rows, tmp_path):
     assert rows(current, "property", "value", "revision") == [("a", "1", 3), ("b", "2", 1)]
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in STREAMS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMS])
 def test_plans_stay_in_the_jvm_and_cross_nothing(spark, name):
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
     for unwanted in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
