@@ -45,8 +45,8 @@ def anchors(grams: np.ndarray, valid: np.ndarray, span: int) -> tuple[np.ndarray
 
 
 def sketch_bits(items: int) -> int:
-    """Cells per row for about ``items`` counted anchors, sixteen for each."""
-    return int(min(max((16 * max(items, 1)).bit_length(), LEAST_BITS), MOST_BITS))
+    """Cells per row for about ``items`` counted anchors, four to eight for each."""
+    return int(min(max((4 * max(items, 1)).bit_length(), LEAST_BITS), MOST_BITS))
 
 
 def cells(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -30,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from tallyweave.llm.repeats import bit_table, cells, estimated_repeated, has_bit, repeated_cells, sketch_bits, text_bytes
+from tallyweave.llm.columns import carried, restored
+from tallyweave.llm.repeats import bit_table, cells, estimated_repeated, repeated_cells, sketch_bits, text_bytes
 from tallyweave.llm.words import U64, as_long, byte_prefix, fits, fixed_hash, mix, range_hash, sliding, texts
 from tallyweave.session import shared_folder
 
@@ -284,8 +286,8 @@ def remove_repeated_bytes(
     """``docs`` with n_bytes, n_removed, n_spans (long), kept_text (binary) and kept_sha256.
 
     Columns of those names are replaced.  ``with_text=False`` leaves out kept_text.  Texts are
-    read four times; the runs to be sorted and the anchors' counts are what is shuffled, and
-    texts meet their results once.
+    read four times, five where there are crowds; what is shuffled are the anchors' counts, the
+    runs to be sorted, and the texts that wait for their verdict.
     """
     if not 1 <= gram <= width:
         raise ValueError("a gram is a part of its string")
@@ -333,156 +335,189 @@ def remove_repeated_bytes(
     counted.write.parquet(f"{path}/mixed")
     mixed = spark.read.parquet(f"{path}/mixed")
 
+    # these tables hold a small part of the anchors; a false alarm sends a run the longer way
+    few = max(bits - 3, 10)
+
     def key_table(keys: DataFrame) -> np.ndarray:
         def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = batch.column(0).to_numpy().view(np.uint64)
-                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(cells(found, bits)))], names=["cell"])
+                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(cells(found, few)))], names=["cell"])
 
-        return bit_table(keys.select("key").mapInArrow(both, "cell long"), bits + 1)
+        return bit_table(keys.select("key").mapInArrow(both, "cell long"), few + 1)
 
     partly = spark.sparkContext.broadcast(key_table(mixed))
-    crowded = spark.sparkContext.broadcast(key_table(mixed.where(F.col("kinds") > crowd)))
+    crowds = mixed.where(F.col("kinds") > crowd)
+    crowded = spark.sparkContext.broadcast(key_table(crowds))
 
     def kinds(keys: np.ndarray) -> np.ndarray:
         """0: cannot repeat, 1: repeats as a whole, 2: to be sorted, 3: to be counted string by string."""
-        one, two = cells(keys, bits)
-
-        def listed(table: np.ndarray) -> np.ndarray:
-            return has_bit(table, one) & has_bit(table, two)
-
-        return np.where(
-            listed(sketch.value), np.where(listed(partly.value), np.where(listed(crowded.value), 3, 2), 1), 0
-        )
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several = estimated_repeated(crowded.value, keys, few)
+        some = np.where(estimated_repeated(partly.value, keys, few), np.where(several, 3, 2), 1)
+        return np.where(estimated_repeated(sketch.value, keys, bits), some, 0)
+
+    def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Runs, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each slice's bytes, runs, their kinds, rows in the slice, rows in the batch and shifts to places in texts."""
+        data, offsets = texts(batch.column(0))
+        for first, _, own, at in pieces(offsets, width):
+            part = data[at : at + own[-1]]
+            runs = Runs(part, own, width, gram)
+            row = np.searchsorted(own, runs.start, side="right") - 1
+            yield part, runs, kinds(runs.key), row, first + row, at - offsets[first + row]
+
+    def post_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(1).to_numpy(zero_copy_only=False)
-            data, offsets = texts(batch.column(0))
-            for first, _, own, at in pieces(offsets, width):
-                part = data[at : at + own[-1]]
-                runs = Runs(part, own, width, gram)
-                kind = kinds(runs.key)
-                row = np.searchsorted(own, runs.start, side="right") - 1
-                shift = at - offsets[first + row]  # from places in the slice to places in the text
+            for part, runs, kind, near, row, shift in slices(batch):
                 todo = np.flatnonzero(kind == 2)
-                todo = todo[runs.twins(row, todo)[1]]
-                if len(todo):
-                    raw, ends = part.tobytes(), runs.ends()
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            as_long(runs.key[todo]),
-                            pa.nulls(len(todo), pa.int64()),
-                            pa.array(names[first + row[todo]]),
-                            pa.array(runs.start[todo] + shift[todo]),
-                            pa.array(runs.count[todo].astype(np.int32)),
-                            pa.array(runs.distance[todo].astype(np.int32)),
-                            pa.array([raw[s:e] for s, e in zip(runs.start[todo].tolist(), ends[todo].tolist())]),
-                        ],
-                        names=_POSTED,
-                    )
+                todo = todo[runs.twins(near, todo)[1]]
+                raw, ends = part.tobytes(), runs.ends()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        as_long(runs.key[todo]),
+                        pa.array(names[row[todo]]),
+                        pa.array(runs.start[todo] + shift[todo]),
+                        pa.array(runs.count[todo].astype(np.int32)),
+                        pa.array(runs.distance[todo].astype(np.int32)),
+                        pa.array(
+                            [raw[s:e] for s, e in zip(runs.start[todo].tolist(), ends[todo].tolist())], pa.binary()
+                        ),
+                    ],
+                    names=["key", "name", "at", "n", "distance", "stretch"],
+                )
+
+    def post_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(1).to_numpy(zero_copy_only=False)
+            for part, runs, kind, _, row, shift in slices(batch):
                 many = np.flatnonzero(kind == 3)
-                if len(many):
-                    count = runs.count[many]
-                    owner = np.repeat(many, count)
-                    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                    start = runs.start[owner] + step
-                    low = range_hash(byte_prefix(part, 1), start, start + width, 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            as_long(range_hash(runs.prefix, start, start + width)),
-                            as_long(low),
-                            pa.array(names[first + row[owner]]),
-                            pa.array(start + shift[owner]),
-                            pa.nulls(len(start), pa.int32()),
-                            pa.nulls(len(start), pa.int32()),
-                            pa.nulls(len(start), pa.binary()),
-                        ],
-                        names=_POSTED,
-                    )
-
-    schema = "key long, low long, name long, at long, n int, distance int, stretch binary"
-    named.mapInArrow(post, schema).write.parquet(f"{path}/posted")
-    posted = spark.read.schema(schema).parquet(f"{path}/posted")
-    sorted_out = (
-        posted.where("stretch IS NOT NULL")
-        .select("key", "name", "at", "n", "distance", "stretch")
+                if not len(many):
+                    continue
+                count = runs.count[many]
+                owner = np.repeat(many, count)
+                start = runs.start[owner] + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        as_long(range_hash(runs.prefix, start, start + width)),
+                        as_long(range_hash(byte_prefix(part, 1), start, start + width, 1)),
+                        pa.array(names[row[owner]]),
+                        pa.array(start + shift[owner]),
+                    ],
+                    names=["high", "low", "name", "at"],
+                )
+
+    # a run goes to the task of its anchor and comes back as the stretches of it that repeat
+    verdicts = (
+        named.mapInArrow(post_runs, "key long, name long, at long, n int, distance int, stretch binary")
         .repartition("key")
         .sortWithinPartitions("key", "name", "at")
         .mapInArrow(_compare_runs(width), "name long, first long, last long")
         .select("name", F.lit(True).alias("again"), "first", "last")
     )
-    once = (
-        posted.where("stretch IS NULL")
-        .groupBy("key", "low")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"), F.min("at").alias("at"))
-        .where("n = 1")
-        .select("name", F.lit(False).alias("again"), F.col("at").alias("first"), F.col("at").alias("last"))
-    )
-    # a text's own results, copies of it having posted the same ones
-    verdicts = sorted_out.unionByName(once).groupBy("name").agg(F.collect_set(F.struct("again", "first", "last")).alias("v"))
+    if not crowds.isEmpty():
+        once = (
+            named.mapInArrow(post_strings, "high long, low long, name long, at long")
+            .groupBy("high", "low")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"), F.min("at").alias("at"))
+            .where("n = 1")
+            .select("name", F.lit(False).alias("again"), F.col("at").alias("first"), F.col("at").alias("last"))
+        )
+        verdicts = verdicts.unionByName(once)
+    # copies of a text have posted the same runs
+    by_text = verdicts.groupBy("name").agg(F.collect_set(F.struct("again", "first", "last")).alias("v"))
 
-    kept = [c for c in docs.columns if c.lower() not in NAMES]
-    inner = [f"c{i}" for i in range(len(kept))]
+    carry, inner, kept = carried(docs, text_col, NAMES)
     outputs = [n for n in NAMES if with_text or n != "kept_text"]
-    source = docs.select(
-        *[F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)],
-        F.col(f"`{text_col}`").alias("__text"),
-        F.xxhash64(f"`{text_col}`").alias("name"),
-    ).join(verdicts, "name", "left")
-    source = source.select(*inner, "__text", "v")
-    out_schema = source.select(*inner).schema
+    kinds_of = {"kept_text": "binary", "kept_sha256": "string"}
+    out_schema = carry.select(*inner).schema
     for name in outputs:
-        out_schema = out_schema.add(name, {"kept_text": "binary", "kept_sha256": "string"}.get(name, "long"))
-
-    def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out_schema = out_schema.add(name, kinds_of.get(name, "long"))
+    open_schema = carry.select(*inner).schema.add("name", "long").add("text", "string")
+    for name in ("firsts", "lasts"):
+        open_schema = open_schema.add(name, ArrayType(LongType()))
+    for name in outputs:
+        open_schema = open_schema.add(name, kinds_of.get(name, "long"))
+    arrow = {"kept_text": pa.binary(), "kept_sha256": pa.string()}
+
+    def result(raw: bytes, first: np.ndarray, last: np.ndarray) -> dict[str, object]:
+        """What is left of a text whose repeated strings start in [first, last] stretches."""
+        end, gone, spans, left = 0, 0, 0, []
+        for f, t in zip(first.tolist(), (last + width).tolist()):
+            if f > end or not spans:
+                left.append(raw[end:f])
+                spans += 1
+                gone += t - f
+            else:
+                gone += t - end
+            end = t
+        left.append(raw[end:])
+        text = b"".join(left)
+        return {
+            "n_bytes": len(raw),
+            "n_removed": gone,
+            "n_spans": spans,
+            "kept_text": text,
+            "kept_sha256": hashlib.sha256(text).hexdigest(),
+        }
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts none of whose runs were compared are done; the others keep their text for their verdict."""
+        k = len(inner)
         for batch in batches:
-            data, offsets = texts(batch.column(len(inner)))
-            verdict = batch.column(len(inner) + 1)
+            data, offsets = texts(batch.column(k))
             hit = np.zeros(len(data) + 1, bool)  # starts of repeated strings
-            for _, _, own, at in pieces(offsets, width):
+            waits = np.zeros(len(offsets) - 1, bool)
+            for first, _, own, at in pieces(offsets, width):
                 runs = Runs(data[at : at + own[-1]], own, width, gram)
                 kind = kinds(runs.key)
                 row = np.searchsorted(own, runs.start, side="right") - 1
-                partly_ = np.flatnonzero(kind == 2)
-                kind[partly_[runs.twins(row, partly_)[0]]] = 1
+                waits[first + row[kind >= 2]] = True
+                partial = np.flatnonzero(kind == 2)
+                kind[partial[runs.twins(row, partial)[0]]] = 1
                 whole = np.flatnonzero((kind == 1) | (kind == 3))
                 steps = np.zeros(int(own[-1]) + 1, np.int32)
                 steps[runs.start[whole]] += 1
                 np.add.at(steps, runs.start[whole] + runs.count[whole], -1)
                 hit[at : at + own[-1]] |= np.cumsum(steps[:-1]) > 0
-            made: dict[str, list] = {name: [] for name in outputs}
             raw = data.tobytes()
+            made: dict[str, list] = {name: [] for name in ("text", "firsts", "lasts", *outputs)}
             for r in range(len(offsets) - 1):
                 lo, hi = int(offsets[r]), int(offsets[r + 1])
-                starts = hit[lo:hi]
-                if verdict[r].is_valid:
-                    for v in verdict[r].as_py():
-                        starts[v["first"] : v["last"] + 1] = v["again"]
-                first, last = _intervals(starts)
-                text, end, gone, spans, left = raw[lo:hi], 0, 0, 0, []
-                for f, t in zip(first.tolist(), (last + width).tolist()):
-                    if f > end or not spans:
-                        left.append(text[end:f])
-                        spans += 1
-                        gone += t - f
-                    else:
-                        gone += t - end
-                    end = t
-                left.append(text[end:])
-                kept_text = b"".join(left)
-                made["n_bytes"].append(hi - lo)
-                made["n_removed"].append(gone)
-                made["n_spans"].append(spans)
-                made["kept_sha256"].append(hashlib.sha256(kept_text).hexdigest())
-                if with_text:
-                    made["kept_text"].append(kept_text)
-            types = {"kept_text": pa.binary(), "kept_sha256": pa.string()}
-            columns = [pa.array(made[n], types.get(n, pa.int64())) for n in outputs]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(inner)], *columns], names=[*inner, *outputs])
-
-    out = source.mapInArrow(removed, out_schema)
-    return out.select(*[F.col(i).alias(c) for i, c in zip(inner, kept)], *outputs)
-
-
-_POSTED = ["key", "low", "name", "at", "n", "distance", "stretch"]
+                first, last = _intervals(hit[lo:hi])
+                found = {} if waits[r] else result(raw[lo:hi], first, last)
+                made["text"].append(raw[lo:hi].decode() if waits[r] else None)
+                made["firsts"].append(first if waits[r] else None)
+                made["lasts"].append(last if waits[r] else None)
+                for name in outputs:
+                    made[name].append(found.get(name))
+            types = {"text": pa.string(), "firsts": pa.list_(pa.int64()), "lasts": pa.list_(pa.int64()), **arrow}
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:k], batch.column(k + 1), *[pa.array(v, types.get(n, pa.int64())) for n, v in made.items()]],
+                names=[*inner, "name", *made],
+            )
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(inner)
+        for batch in batches:
+            done = [batch.column(k + 3 + i).to_pylist() for i in range(len(outputs))]
+            text, firsts, lasts = batch.column(k), batch.column(k + 1), batch.column(k + 2)
+            verdict = batch.column(k + 3 + len(outputs))
+            for r in range(len(text)):
+                if not text[r].is_valid:
+                    continue
+                raw = text[r].as_py().encode()
+                steps = np.zeros(len(raw) + 1, np.int32)
+                np.add.at(steps, firsts[r].values.to_numpy(), 1)
+                np.add.at(steps, lasts[r].values.to_numpy() + 1, -1)
+                starts = np.cumsum(steps[:-1]) > 0
+                for v in verdict[r].as_py() or ():
+                    starts[v["first"] : v["last"] + 1] = v["again"]
+                found = result(raw, *_intervals(starts))
+                for column, name in zip(done, outputs):
+                    column[r] = found[name]
+            columns = [pa.array(v, arrow.get(n, pa.int64())) for n, v in zip(outputs, done)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], *columns], names=[*inner, *outputs])
+
+    opened = carry.withColumn("name", F.xxhash64("text")).mapInArrow(settle, open_schema)
+    judged = opened.join(by_text, "name", "left").select(*inner, "text", "firsts", "lasts", *outputs, "v")
+    return judged.mapInArrow(finish, out_schema).select(*restored(inner, kept), *outputs)
