@@ -1,8 +1,8 @@
 """Language-model scoring by cross-entropy difference.
 
 Two n-gram models of the same order share one vocabulary, the 256 bytes.  The background
-model counts the n-grams of all documents, the target model those of the documents marked
-as target.  A document's score is the mean over its bytes of the target model's loss less
+model counts the n-grams of all documents, the target model those of the target texts (of the
+same table or any other).  A document's score is the mean over its bytes of the target model's loss less
 the background model's loss: below 0 for texts that look more like the target.
 
 Every n-gram of every text is counted, whatever the corpus, and none is pruned: the counted
@@ -17,9 +17,8 @@ n-gram is needed for scoring.  The table of differences is sent to every task wh
 most ``broadcast_rows`` rows (12 bytes each); a larger one is joined with the documents'
 own n-gram counts by a shuffle, with the same result.
 
-Nulls are empty texts, and empty texts have no bytes and score 0.  Rows whose target flag is
-null count for the background only.  Without target texts both models are equal up to the
-uniform prior; the scores are still defined.
+Nulls are empty texts, and empty texts have no bytes and score 0.  Without target texts the target
+model is the uniform prior; the scores are still defined.  Repeated rows count each time.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.columns import carried, restored
@@ -53,48 +52,48 @@ def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.ndarr
     return out
 
 
-def count_grams(docs: DataFrame, target: Column, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(gram, background, target): how often each n-gram ends in all texts and in target texts."""
-    source = docs.select(F.col(f"`{text_col}`").alias("text"), F.coalesce(target, F.lit(False)).alias("target"))
+def count_grams(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """(gram, n): how often each n-gram ends in the texts, summed per task and chunk but not over all."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for batch in batches:
             data, offsets = texts(batch.column(0))
-            flags = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
             for first, last in chunks(offsets):
                 own = offsets[first : last + 1] - offsets[first]
                 found = grams(data[offsets[first] : offsets[last]], own, order)
-                marked = np.repeat(flags[first:last], np.diff(own))
-                keys, counts = np.unique(found, return_counts=True)
-                aimed = np.zeros(len(keys), np.int64)
-                some, n = np.unique(found[marked], return_counts=True)
-                aimed[np.searchsorted(keys, some)] = n
-                pending.append((keys, counts, aimed))
-                held += len(keys)
+                pending.append(np.unique(found, return_counts=True))
+                held += len(pending[-1][0])
                 if held > 1 << 21:
                     pending = [_summed(pending)]
                     if len(pending[0][0]) > 1 << 20:
                         yield _batch(pending.pop())
-                    held = sum(len(k) for k, _, _ in pending)
+                    held = sum(len(k) for k, _ in pending)
         if pending:
             yield _batch(_summed(pending))
 
-    counted = source.mapInArrow(work, "gram long, background long, target long")
-    return counted.groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    return docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(work, "gram long, n long")
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    sums = [np.bincount(where, np.concatenate([p[k] for p in parts]), len(keys)).astype(np.int64) for k in (1, 2)]
-    return keys, sums[0], sums[1]
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(where, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
 
-def _batch(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+def _batch(part: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(part[0].astype(np.int64)), pa.array(part[1].astype(np.int64)), pa.array(part[2])],
-        names=["gram", "background", "target"],
+        [pa.array(part[0].astype(np.int64)), pa.array(part[1].astype(np.int64))], names=["gram", "n"]
+    )
+
+
+def both_counts(docs: DataFrame, target: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """(gram, background, target) of every n-gram of either corpus."""
+    zero = F.lit(0).cast("long")
+    background = count_grams(docs, text_col, order).select("gram", F.col("n").alias("background"), zero.alias("target"))
+    aimed = count_grams(target, text_col, order).select("gram", zero.alias("background"), F.col("n").alias("target"))
+    return background.union(aimed).groupBy("gram").agg(
+        F.sum("background").alias("background"), F.sum("target").alias("target")
     )
 
 
@@ -140,12 +139,12 @@ def losses(counted: DataFrame, order: int = ORDER, strength: float = STRENGTH) -
 
 def score_documents(
     docs: DataFrame,
-    target: Column,
+    target: DataFrame,
     text_col: str = "text",
     order: int = ORDER,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``docs`` with n_tokens (long), target_loss, background_loss and score (mean nats per byte).
+    """``docs`` against the texts of ``target``: n_tokens (long), target_loss, background_loss and score (mean nats per byte).
 
     Columns of those names are replaced.  The table of losses is written to the shared folder
     once; its row count decides between broadcast and shuffle join.
@@ -155,7 +154,7 @@ def score_documents(
     spark = docs.sparkSession
     path = shared_folder(spark, "ngram-losses")
     counts = f"{path}/counts"
-    count_grams(docs, target, text_col, order).write.parquet(counts)
+    both_counts(docs, target, text_col, order).write.parquet(counts)
     losses(spark.read.parquet(counts), order).write.parquet(f"{path}/losses")
     table = spark.read.parquet(f"{path}/losses")
     if table.count() <= broadcast_rows:

@@ -174,10 +174,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_cross_entropy")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: texts labelled good and not toxic; background: all texts."""
+    """Target: texts labelled good and not toxic; background: all texts.
+
+    Labels grow with the documents, so their join is a shuffle at every size.
+    """
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    marks = labels(spark, sf_dir).groupBy("doc_id").agg(
-        (F.bool_and(F.coalesce(F.col("quality") == 1, F.lit(False)) & F.coalesce(F.col("toxic") == 0, F.lit(False)))).alias("good")
-    )
-    marked = docs.join(marks, "doc_id", "left")
-    return ngram_lm.score_documents(marked, F.col("good")).drop("text", "good")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    marks = labels(spark, sf_dir).groupBy("doc_id").agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("good"))
+    target = docs.join(marks.where("good").hint("merge"), "doc_id", "left_semi")
+    return ngram_lm.score_documents(docs, target).drop("text")

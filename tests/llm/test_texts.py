@@ -163,10 +163,10 @@ def test_classifier_without_labels(table, empty):
 
 @pytest.mark.parametrize("limit", [1 << 23, 0], ids=["broadcast", "joined"])
 def test_language_models(spark, limit):
-    rows = [(1, "abcabcabd", True), (2, "xyz é abc", False), (3, None, True), (4, "", False), (5, "abcabcabd", None)]
+    rows = [(1, "abcabcabd", True), (2, "xyz é abc", False), (3, None, True), (4, "", False), (5, "abcabcabd", False)]
     df = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    out = ngram_lm.score_documents(df, F.col("target"), broadcast_rows=limit)
-    loss = plain.gram_losses([(t, bool(k)) for _, t, k in rows])
+    out = ngram_lm.score_documents(df, df.where("target"), broadcast_rows=limit)
+    loss = plain.gram_losses([(t, k) for _, t, k in rows])
     for r in out.collect():
         n = len((r["text"] or "").encode())
         t, b = loss(r["text"])
@@ -182,7 +182,7 @@ def test_language_models(spark, limit):
         (lambda df: secrets.findings(df, secrets.extend_ledger(df, shared_folder(df.sparkSession, "ledger"))), ("spans",)),
         (licences.scan_licences, ()),
         (lambda df: compression.score_documents(df, compression.CompressionModel(b"some", b"other", (1.0, 0.0, 0.0, 0.0))), ("score",)),
-        (lambda df: ngram_lm.score_documents(df, F.col("doc_id") == 1), ("score",)),
+        (lambda df: ngram_lm.score_documents(df, df.where("doc_id = 1")), ("score",)),
     ],
     ids=["bpe", "quality", "secrets", "licences", "classifier", "language_model"],
 )
