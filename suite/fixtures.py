@@ -149,20 +149,18 @@ view(
             ELSE CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING) END AS parent_id
     FROM customer""",
 )
-values(
-    "default_scheme",
-    "id STRING; category STRING; platform STRING",
-    [("s1", "default", "p1"), ("s2", "default", "p2"), ("s3", "special", "p1"), ("s4", "default", "p3")],
-)
+# Every supplier is a scheme; the first ones stand for the platforms that orders come from.
 view(
     "mod_profit_share_scheme",
-    "default_scheme supplier",
-    """SELECT id, category, platform FROM default_scheme
-    UNION ALL
-    SELECT 'supplier-' || CAST(s_suppkey AS STRING), 'supplier', 'p1' FROM supplier""",
+    "supplier",
+    """SELECT 's' || CAST(s_suppkey AS STRING) AS id,
+       CASE WHEN s_suppkey = 3 OR mod(s_suppkey, 5) = 0 THEN 'special' ELSE 'default' END AS category,
+       CASE s_suppkey WHEN 2 THEN 'p2' WHEN 4 THEN 'p3' WHEN 1 THEN 'p1' WHEN 3 THEN 'p1'
+         ELSE 'shop-' || CAST(s_nationkey AS STRING) END AS platform
+    FROM supplier""",
 )
 values(
-    "mod_profit_share_item",
+    "order_rules",
     "id STRING; scheme_id STRING; beneficiary STRING; beneficiary_type STRING; share STRING",
     [
         ("i1", "s1", "broker", "person", "60"),
@@ -179,6 +177,16 @@ values(
         ("i12", "s3", "broker", "person", "99"),
     ],
 )
+# Other suppliers share with the broker by their balance.
+view(
+    "mod_profit_share_item",
+    "order_rules supplier",
+    """SELECT id, scheme_id, beneficiary, beneficiary_type, share FROM order_rules
+    UNION ALL
+    SELECT 'j' || CAST(s_suppkey AS STRING), 's' || CAST(s_suppkey AS STRING), 'broker', 'person',
+       CAST(CAST(mod(CAST(floor(abs(s_acctbal)) AS BIGINT), 90) AS BIGINT) AS STRING)
+    FROM supplier WHERE s_suppkey > 4""",
+)
 view(
     "mod_clearing",
     "mod_order mod_trace_code mod_broker mod_profit_share_scheme mod_profit_share_item",
@@ -225,16 +233,20 @@ view(
     ) x""",
 )
 CUTOFF = "2001-01-01"
+# Payable clearing rows by person, day and kind of share.
 view(
     "settlement_groups",
     "mod_clearing mod_profit_share_item",
-    f"""SELECT a.beneficiary, CAST(a.create_date AS DATE) AS date, b.beneficiary AS type,
-       min(a.scheme_item_id) AS scheme_item_id, count(DISTINCT a.scheme_item_id) AS scheme_items,
-       CAST(sum(a.amount_profit) AS DECIMAL(28,2)) AS amount
-    FROM mod_clearing a LEFT JOIN mod_profit_share_item b ON b.id = a.scheme_item_id
-    WHERE a.status_clear = 'cleared' AND a.status_settle = 'pending'
-      AND a.create_date < CAST('{CUTOFF}' AS TIMESTAMP)
-    GROUP BY a.beneficiary, CAST(a.create_date AS DATE), b.beneficiary""",
+    f"""SELECT beneficiary, date, type, min(scheme_item_id) AS scheme_item_id, count(*) AS scheme_items,
+       CAST(sum(amount) AS DECIMAL(28,2)) AS amount
+    FROM (
+      SELECT c.beneficiary, CAST(c.create_date AS DATE) AS date, c.scheme_item_id, sum(c.amount_profit) AS amount
+      FROM mod_clearing c
+      WHERE c.create_date < CAST('{CUTOFF}' AS TIMESTAMP) AND c.status_settle = 'pending' AND c.status_clear = 'cleared'
+      GROUP BY c.beneficiary, CAST(c.create_date AS DATE), c.scheme_item_id
+    ) by_item
+    LEFT JOIN (SELECT id AS rule, beneficiary AS type FROM mod_profit_share_item) kinds ON rule = scheme_item_id
+    GROUP BY beneficiary, date, type""",
 )
 # Settlements that exist already: every broker has settled some of its days once, some twice.
 view(

@@ -68,21 +68,23 @@ def _(t: Tables) -> DataFrame:
     return jobs.current_properties(t.spark, keys, path)
 
 
-# Days are final once the watermark, two days behind the latest row, has passed their end.
+# One batch settles all payable rows: nothing earlier, so every voucher is its day's first.
 @query(
     "stream_settle",
-    "mod_profit_share_item",
-    """WITH paid AS (SELECT CAST(o_custkey AS VARCHAR) AS beneficiary, CAST(o_orderdate AS DATE) AS date,
-         CASE WHEN o_orderstatus = 'P' THEN 'i1' ELSE 'i9' END AS item, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
-         o_orderdate AS paid_at FROM orders WHERE o_orderstatus <> 'F')
-    SELECT p.beneficiary, p.date, i.beneficiary AS type, CAST(sum(p.amount) AS DECIMAL(28,2)) AS amount
-    FROM paid p LEFT JOIN mod_profit_share_item i ON i.id = p.item
-    WHERE p.date + INTERVAL 1 DAY <= (SELECT max(paid_at) FROM paid) - INTERVAL 2 DAY
-    GROUP BY p.beneficiary, p.date, i.beneficiary""",
+    "order_payments mod_profit_share_item",
+    f"""WITH paid AS (SELECT beneficiary AS broker_id, CAST(CAST(create_date AS DATE) AS VARCHAR) AS day,
+         scheme_item_id AS item, amount_profit FROM order_payments WHERE status_clear = 'cleared'),
+    sums AS (SELECT broker_id, day || '-' || kinds.beneficiary AS voucher, kinds.beneficiary AS type,
+         sum(amount_profit) AS amount
+      FROM paid JOIN mod_profit_share_item kinds ON kinds.id = paid.item GROUP BY broker_id, day, kinds.beneficiary)
+    SELECT md5(broker_id || '-' || voucher) AS id, broker_id, voucher, type, CAST(amount AS DECIMAL(28,2)) AS amount,
+      'settled' AS status, CAST('{fixtures.CUTOFF}' AS TIMESTAMP) AS create_date,
+      CAST('{fixtures.CUTOFF}' AS TIMESTAMP) AS update_date FROM sums""",
 )
 def _(t: Tables) -> DataFrame:
     path, checkpoint = _paths(t, "settle")
+    now = F.lit(fixtures.CUTOFF).cast("timestamp")
     jobs.stream_settle(
-        stream(t, "orders", "order_payments"), t["mod_profit_share_item"], path, checkpoint
+        stream(t, "orders", "order_payments"), t["mod_profit_share_item"], path, checkpoint, as_of=now
     ).awaitTermination()
-    return t.spark.read.parquet(path)
+    return jobs.earlier_settlements(t.spark, path)

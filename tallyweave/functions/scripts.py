@@ -18,9 +18,17 @@ VARIABLES = "p"
 VARIABLE_TYPE = "struct<var:string,value:string,score:double,rank:int,text:string>"
 MAX_SCRIPTS = 5000
 _CASE_BRANCHES = 100
-_NAME = re.compile(r"\bp\s*\[\s*'((?:[^']|'')*)'\s*\]")
-_QUOTED = re.compile(r"'(?:[^']|'')*'")
-_SUBQUERY = re.compile(r"\b(select|from)\b", re.IGNORECASE)
+_TEXT = r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\""""
+# p['x'], p["x"], p.x, p.`x`, element_at(p, 'x')
+_ACCESS = re.compile(
+    rf"""\bp\s*\[\s*(?P<bracket>{_TEXT})\s*\]
+       | \b(?:try_)?element_at\s*\(\s*p\s*,\s*(?P<call>{_TEXT})\s*\)
+       | \bp\s*\.\s*(?:`(?P<tick>(?:[^`]|``)+)`|(?P<dot>\w+))""",
+    re.IGNORECASE | re.VERBOSE,
+)
+_QUOTED = re.compile(_TEXT)
+_BARE = re.compile(r"\bp\b", re.IGNORECASE)
+_SUBQUERY = re.compile(r"\b(select|values|table)\b", re.IGNORECASE)
 
 
 def read_scripts(config: DataFrame, id_col: str, script_col: str, limit: int = MAX_SCRIPTS) -> dict[str, str]:
@@ -41,22 +49,40 @@ def read_scripts(config: DataFrame, id_col: str, script_col: str, limit: int = M
 
 
 def check_scripts(frame: DataFrame, scripts: Iterable[str]) -> None:
-    """Reject whatever is not a scalar expression over ``p``.
+    """Reject whatever is not a scalar, deterministic expression over named variables.
 
-    Analysis of a filter refuses aggregates, windows and generators; subqueries are
-    refused by their keywords outside quotes.
+    Analysis of a join condition refuses aggregates, windows, generators and whatever may
+    differ from run to run, which calls into other code count as; subqueries are refused by
+    their keywords outside quotes, variables with a computed name by ``variables_of``.
     """
     scripts = list(scripts)
     for script in scripts:
         if _SUBQUERY.search(_QUOTED.sub("''", script)):
             raise ValueError(f"a script must be a scalar expression: {script}")
-    probe = frame.sparkSession.createDataFrame([], f"{VARIABLES} map<string,{VARIABLE_TYPE}>")
-    probe.where(F.greatest(F.lit(""), F.lit(""), *[F.expr(s).cast("string") for s in scripts]) == "").schema
+    variables_of(scripts)
+    spark = frame.sparkSession
+    probe = spark.createDataFrame([], f"{VARIABLES} map<string,{VARIABLE_TYPE}>")
+    results = F.greatest(F.lit(""), F.lit(""), *[F.expr(s).cast("string") for s in scripts])
+    probe.join(spark.createDataFrame([], "other int"), results == "").schema
 
 
 def variables_of(scripts: Iterable[str]) -> list[str]:
-    """Names of the variables that any of the scripts reads."""
-    found = {name.replace("''", "'") for script in scripts for name in _NAME.findall(script)}
+    """Names of the variables that the scripts read, however the name is spelled.
+
+    A variable is read by a literal name; ``p`` in any other place is an error, as what it
+    would read cannot be known beforehand.
+    """
+    found: set[str] = set()
+    for script in scripts:
+        for m in _ACCESS.finditer(script):
+            quoted = m["bracket"] or m["call"]
+            if quoted:
+                mark = quoted[0]
+                found.add(re.sub(r"\\(.)", r"\1", quoted[1:-1].replace(mark * 2, mark)))
+            else:
+                found.add(m["tick"].replace("``", "`") if m["tick"] else m["dot"])
+        if _BARE.search(_QUOTED.sub("''", _ACCESS.sub("NULL", script))):
+            raise ValueError(f"a script must read variables by literal names: {script}")
     return sorted(found)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scripts import read_scripts, script_text, variables_of
+from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, script_text, variables_of
 from tallyweave.functions.text import blank, field_name, id_list, sub_type
 from tallyweave.operators.persona import best_persona
 from tallyweave.operators.profile import entity_profile
@@ -69,14 +69,14 @@ def evaluate_tags(
 
 
 def evaluate_script(
-    evaluation: DataFrame, property_: DataFrame, key: str, evals: DataFrame, twin: str
+    evaluation: DataFrame, property_: DataFrame, key: str, evals: DataFrame, twin: str, limit: int = MAX_SCRIPTS
 ) -> DataFrame:
     """Text of the script types: the configured expression over the entity's properties.
 
     Entities without properties and scripts without a result leave the row as it is.
     """
     scripted = evals.where(route(F.col("type"), twin) == "script")
-    scripts = read_scripts(scripted, "id", "script")
+    scripts = read_scripts(scripted, "id", "script", limit)
     profile = entity_profile(property_, None, key, variables_of(scripts.values()))
     owners = property_.select(key).distinct().withColumn("__owned", F.lit(True))
     of_script = route(F.col("type"), twin) == "script"

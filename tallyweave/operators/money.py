@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import blank, digest
-from tallyweave.operators.upsert import update_from
 from tallyweave.schemas import MONEY, SHARE
 
 # Fixed values.
@@ -164,21 +163,28 @@ def share_out(shares: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def mark_cleared(orders: DataFrame, taken: DataFrame, rules: DataFrame) -> DataFrame:
-    """Taken orders become ``cleared`` when their platform has a rule and they have a broker."""
-    ruled = attributed_orders(taken).join(rules.select("platform").distinct(), "platform", "left_semi")
-    done = ruled.select("id").distinct().withColumn("status", F.lit("cleared"))
-    return update_from(mark_clearing(orders), done, ["id"], ["status"])
+def mark_cleared(orders: DataFrame, trace: DataFrame, rules: DataFrame) -> DataFrame:
+    """The order table after clearing: taken orders with a broker and a rule are ``cleared``, others ``clearing``.
 
+    Only pending orders meet the lookups; all others pass by without a shuffle.
+    """
+    pending = F.coalesce(F.col("status") == "pending", F.lit(False))
+    owned = attributed_orders(trace).select(F.col("code").alias("trace_code"), "platform").distinct()
+    ruled = rules.select("platform").distinct()
+    done = owned.join(ruled, "platform", "left_semi").withColumn("__done", F.lit(True))
+    taken = orders.where(pending).join(done, ["trace_code", "platform"], "left")
+    state = F.when(F.col("__done"), F.lit("cleared")).otherwise(F.lit("clearing")).alias("status")
+    moved = taken.select(*[state if c == "status" else F.col(c) for c in orders.columns])
+    return orders.where(~pending).unionByName(moved)
 
-def _payable(clearing: DataFrame, cutoff: Column, state: str) -> Column:
-    return (
-        (F.col("status_clear") == "cleared") & (F.col("status_settle") == state) & (F.col("create_date") < cutoff)
-    )
 
+def _payable(clearing: DataFrame, cutoff: Column | None, state: str) -> Column:
+    due = (F.col("status_clear") == "cleared") & (F.col("status_settle") == state)
+    return due if cutoff is None else due & (F.col("create_date") < cutoff)
 
-def settlement_summary(clearing: DataFrame, items: DataFrame, cutoff: Column) -> DataFrame:
-    """Sums of the payable rows by beneficiary, day and kind of share.
+
+def settlement_summary(clearing: DataFrame, items: DataFrame, cutoff: Column | None) -> DataFrame:
+    """Sums of the payable rows by beneficiary, day and kind of share; all of them without a cutoff.
 
     Rows are summed by rule item before the item table is joined, so a beneficiary
     that holds a third of all rows reaches the second grouping as a few rows per day.
@@ -204,11 +210,17 @@ def base_voucher(date: Column, type_: Column) -> Column:
     return F.concat(date.cast("string"), F.lit("-"), type_)
 
 
+def unsettled_groups(summary: DataFrame) -> DataFrame:
+    """Groups whose rule item has no kind: they get no voucher and their rows stay pending."""
+    return summary.where(F.col("type").isNull())
+
+
 def voucher_numbers(summary: DataFrame, settlements: DataFrame) -> DataFrame:
     """Voucher of each group: day and kind, with ``-n`` from the second one on.
 
     A group is unique by beneficiary, day and kind, so counting the vouchers it
-    already has is enough to number it; rows without a kind cannot be settled.
+    already has is enough to number it; groups without a kind are listed by
+    ``unsettled_groups``.
     """
     known = (
         settlements.groupBy(
@@ -244,18 +256,28 @@ def settle(vouchers: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def mark_settling(clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column) -> DataFrame:
+def mark_settling(
+    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column, as_of: Column | None = None
+) -> DataFrame:
     """Payable rows of the summed groups go from ``pending`` to ``settling``."""
-    return _move(clearing, summary, items, cutoff, "pending", "settling")
+    return _move(clearing, summary, items, cutoff, "pending", "settling", as_of)
 
 
-def mark_settled(clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column) -> DataFrame:
+def mark_settled(
+    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column, as_of: Column | None = None
+) -> DataFrame:
     """Rows of the summed groups go from ``settling`` to ``settled``."""
-    return _move(clearing, summary, items, cutoff, "settling", "settled")
+    return _move(clearing, summary, items, cutoff, "settling", "settled", as_of)
 
 
 def _move(
-    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column, old: str, new: str
+    clearing: DataFrame,
+    summary: DataFrame,
+    items: DataFrame,
+    cutoff: Column,
+    old: str,
+    new: str,
+    as_of: Column | None,
 ) -> DataFrame:
     # Groups are matched by rule item, so the item table meets the groups and not the clearing rows.
     kinds = items.select(F.col("id").alias("scheme_item_id"), F.col("beneficiary").alias("type"))
@@ -264,7 +286,15 @@ def _move(
         .join(kinds, "type")
         .select("beneficiary", F.col("date").alias("__day"), "scheme_item_id")
         .distinct()
-        .withColumn("status_settle", F.lit(new))
+        .withColumn("__hit", F.lit(True))
+    )
+    # rows that cannot move pass by: they are neither shuffled nor matched
+    due = F.coalesce(_payable(clearing, cutoff, old), F.lit(False))
+    flagged = clearing.where(due).withColumn("__day", F.to_date("create_date"))
+    joined = flagged.join(groups, ["beneficiary", "__day", "scheme_item_id"], "left")
+    stamp = F.current_timestamp() if as_of is None else as_of
+    values = {"status_settle": F.lit(new), "update_date": stamp}
+    moved = joined.select(
+        *[F.when(F.col("__hit"), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in clearing.columns]
     )
-    flagged = clearing.withColumn("__day", F.when(_payable(clearing, cutoff, old), F.to_date("create_date")))
-    return update_from(flagged, groups, ["beneficiary", "__day", "scheme_item_id"], ["status_settle"]).drop("__day")
+    return clearing.where(~due).unionByName(moved)

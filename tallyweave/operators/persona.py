@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scripts import read_scripts, script_text, text_to_score, variables_of
+from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, script_text, text_to_score, variables_of
 from tallyweave.operators.profile import entity_profile
 
 
@@ -14,6 +14,7 @@ def score_personas(
     property_: DataFrame,
     evaluation: DataFrame,
     configs: dict[str, tuple[DataFrame, str, str]],
+    limit: int = MAX_SCRIPTS,
 ) -> DataFrame:
     """Set score columns from scripts over the user's variables.
 
@@ -21,7 +22,7 @@ def score_personas(
     column of ``user_persona``).  All scripts share one profile and one join.  A
     result that is no number keeps the old score.
     """
-    scripts = {col: read_scripts(conf, "id", script_col) for col, (conf, script_col, _) in configs.items()}
+    scripts = {col: read_scripts(conf, "id", script_col, limit) for col, (conf, script_col, _) in configs.items()}
     names = variables_of(s for by_id in scripts.values() for s in by_id.values())
     profile = entity_profile(property_, evaluation, "userKey", names)
     joined = user_persona.join(profile, "userKey", "left")
@@ -33,24 +34,24 @@ def score_personas(
 
 
 def score_hierarchy(
-    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, hierarchies: DataFrame
+    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, hierarchies: DataFrame, limit: int = MAX_SCRIPTS
 ) -> DataFrame:
     return score_personas(
-        user_persona, property_, evaluation, {"scoreHierarchy": (hierarchies, "expression", "hierarchyId")}
+        user_persona, property_, evaluation, {"scoreHierarchy": (hierarchies, "expression", "hierarchyId")}, limit
     )
 
 
 def score_phase(
-    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, phases: DataFrame
+    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, phases: DataFrame, limit: int = MAX_SCRIPTS
 ) -> DataFrame:
     return score_personas(user_persona, property_, evaluation, {"scorePhase": (phases, "expression", "phaseId")})
 
 
 def score_persona(
-    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, personas: DataFrame
+    user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, personas: DataFrame, limit: int = MAX_SCRIPTS
 ) -> DataFrame:
     return score_personas(
-        user_persona, property_, evaluation, {"scorePersona": (personas, "expression", "personaId")}
+        user_persona, property_, evaluation, {"scorePersona": (personas, "expression", "personaId")}, limit
     )
 
 

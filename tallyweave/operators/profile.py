@@ -55,9 +55,9 @@ def entity_profile(
 ) -> DataFrame:
     """(key, p): the named variables of each entity as a map, for entities that have any.
 
-    Only the variables that scripts read are kept: the filter on names reaches the
-    scan, and each is one running maximum, so an entity with any number of rows takes
-    a bounded state and the shuffle carries one combined row per entity and task.
+    Only the variables that scripts read are kept: the filter on names reaches the scan.
+    Rows are brought to one per entity and variable first, so an entity with any number of
+    rows reaches its map as at most one row per name.
     """
     rows = property_.where(F.col("property").isin(names)).select(
         key,
@@ -74,12 +74,8 @@ def entity_profile(
                 F.struct("score", "text").alias("__e"),
             )
         )
-    aggs, entries = [F.count(F.lit(1)).alias("n")], []
-    for i, name in enumerate(names):
-        aggs.append(F.max(F.when(F.col("name") == name, F.col("__p"))).alias(f"p{i}"))
-        aggs.append(F.max(F.when(F.col("name") == name, F.col("__e"))).alias(f"e{i}"))
-        p, e = F.col(f"p{i}"), F.col(f"e{i}")
-        known = p.isNotNull() | e.isNotNull()
-        entries += [F.lit(name), F.when(known, F.struct(*_fields(p, e)).cast(VARIABLE_TYPE))]
-    variables = F.create_map(*entries).cast(f"map<string,{VARIABLE_TYPE}>")
-    return rows.groupBy(key).agg(*aggs).select(key, variables.alias(VARIABLES))
+    kept = rows.groupBy(key, "name").agg(F.max("__p").alias("__p"), F.max("__e").alias("__e"))
+    value = F.struct(*_fields(F.col("__p"), F.col("__e"))).cast(VARIABLE_TYPE)
+    return kept.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", value.alias("value")))).alias(VARIABLES)
+    )

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.upsert import update_from
-
-LOCAL_NODES = 20_000
+from tallyweave.sources.tables import stage
 
 
 def _sum_of(weight: str, score: str, like: DataFrame) -> Column:
@@ -51,77 +48,57 @@ def _scored(target: DataFrame, joined: DataFrame) -> DataFrame:
     return joined.select(*[columns.get(c, F.col(c)) for c in target.columns])
 
 
-def tree_paths(
-    tree: DataFrame, leaf_ids: DataFrame, local_nodes: int = LOCAL_NODES
-) -> tuple[DataFrame, DataFrame]:
+def tree_paths(tree: DataFrame, leaf_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Paths (node, ancestor, weight) of the leaves and ids of the inner nodes of a configured tree.
 
-    ``tree`` is (id, parent_id, weight); weights are multiplied along the path.  A node
-    with scores of its own is a leaf even when it has children, so nothing is carried
-    through it.  A tree of up to ``local_nodes`` nodes is read by the driver, which
-    proves its size, and its paths are broadcast; a larger one is climbed by joins.
+    ``tree`` is (id, parent_id, weight) with one row per id; weights are multiplied along the
+    path.  A node with scores of its own is a leaf even when it has children, so nothing is
+    carried through it.
+
+    Trees of any size and depth are climbed alike: each round doubles the distance that the
+    inner nodes can look up and thereby the length of the leaves' paths, so a tree of depth d
+    takes log2(d) rounds of two joins.  What the nodes look up to is a table per round in
+    the shared folder.  Pointers that are still left when they would be longer than the tree
+    has nodes run in a circle, which is refused, as are repeated ids.
     """
     own = leaf_ids.toDF("id").distinct().withColumn("leaf", F.lit(True))
-    nodes = tree.select("id", "parent_id", F.col("weight").alias("w")).join(own, "id", "left")
-    rows = nodes.limit(local_nodes + 1).collect()
-    if len(rows) > local_nodes:
-        return _climb(nodes)
-    parents = {r["id"]: (r["parent_id"], r["w"]) for r in rows}
-    inner = {r["id"] for r in rows if not r["leaf"]}
-    paths = []
-    for r in rows:
-        if not r["leaf"] or r["w"] is None:
-            continue
-        up, weight, passed = r["parent_id"], r["w"], set()
-        while up in inner:
-            if up in passed:
-                raise ValueError(f"the tree runs in a circle at {up}")
-            passed.add(up)
-            paths.append((r["id"], up, weight))
-            up, own_weight = parents[up]
-            if own_weight is None:
-                break
-            weight = weight * own_weight
-    spark, product = tree.sparkSession, _product_type(nodes)
-    exact = [(n, a, round(w, 12) if isinstance(w, decimal.Decimal) else w) for n, a, w in paths]
-    local = spark.createDataFrame(exact, f"node string, ancestor string, weight {product}")
-    ids = spark.createDataFrame([(i,) for i in sorted(inner)], "id string")
-    return F.broadcast(local), F.broadcast(ids)
-
-
-def _product_type(nodes: DataFrame) -> str:
-    return "decimal(20,12)" if dict(nodes.dtypes)["w"].startswith("decimal") else "double"
-
-
-def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The paths by one join per level, until no path goes higher."""
-    product = _product_type(nodes)
-    inner = nodes.where(F.col("leaf").isNull()).select(
-        F.col("id").alias("ancestor"), F.col("parent_id").alias("up"), F.col("w").alias("own")
+    product = "decimal(20,12)" if dict(tree.dtypes)["weight"].startswith("decimal") else "double"
+    listed = tree.select("id", F.col("parent_id").alias("up"), F.col("weight").cast(product).alias("w"))
+    nodes = stage(listed.join(own, "id", "left"), "tree")
+    total, distinct = nodes.agg(F.count("id"), F.count_distinct("id")).first()
+    if total != distinct:
+        raise ValueError("an id stands for several nodes of the tree")
+    inner = nodes.where(F.col("leaf").isNull()).select("id")
+    inside = inner.withColumnRenamed("id", "up")
+    steps = stage(nodes.where(F.col("leaf").isNull()).join(inside, "up", "left_semi").select("id", "up", "w"), "tree-steps")
+    paths = nodes.where("leaf").join(inside, "up", "left_semi").select(
+        F.col("id").alias("node"), F.col("up").alias("ancestor"), F.col("w").alias("weight")
     )
-    start = nodes.where(F.col("leaf")).select(
-        F.col("id").alias("node"), F.col("parent_id").alias("ancestor"), F.col("w").cast(product).alias("weight")
-    )
-    level = start.join(inner, "ancestor")
-    paths = level.select("node", "ancestor", "weight")
-    while not level.isEmpty():
-        level = level.select(
-            "node", F.col("up").alias("ancestor"), (F.col("weight") * F.col("own")).cast(product).alias("weight")
-        ).join(inner, "ancestor")
-        paths = paths.union(level.select("node", "ancestor", "weight"))
-    return paths.where(F.col("weight").isNotNull()), inner.select(F.col("ancestor").alias("id"))
-
-
-def roll_up(
-    rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: DataFrame, local_nodes: int = LOCAL_NODES
-) -> DataFrame:
+    reach = 1
+    while not steps.isEmpty():
+        if reach > total:
+            raise ValueError("the tree runs in a circle")
+        jump = steps.select(F.col("id").alias("ancestor"), F.col("up").alias("__up"), F.col("w").alias("__w"))
+        longer = F.struct("node", F.col("__up").alias("ancestor"), (F.col("weight") * F.col("__w")).cast(product).alias("weight"))
+        both = F.array(F.struct("node", "ancestor", "weight"), F.when(F.col("__up").isNotNull(), longer))
+        paths = paths.join(jump, "ancestor", "left").select(F.inline(F.array_compact(both)))
+        second = steps.select(F.col("id").alias("up"), F.col("up").alias("__up"), F.col("w").alias("__w"))
+        steps = stage(
+            steps.join(second, "up").select("id", F.col("__up").alias("up"), (F.col("w") * F.col("__w")).cast(product).alias("w")),
+            "tree-steps",
+        )
+        reach *= 2
+    return paths.where(F.col("weight").isNotNull()), inner
+
+
+def roll_up(rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: DataFrame) -> DataFrame:
     """Score of the inner nodes: weighted sum over children, deepest level first.
 
     Done in one grouping: each scored leaf adds its path weight times its score to
     every ancestor.  Unscored children add nothing; a node with no scored leaf below
     becomes ready with a null score.
     """
-    paths, inner = tree_paths(tree, leaf_ids, local_nodes)
+    paths, inner = tree_paths(tree, leaf_ids)
     carried = paths.select(F.col("node").alias(node), "ancestor", F.col("weight").alias("__w"))
     scored = rows.where(F.col("score").isNotNull()).select(key, node, "score")
     sums = (

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyweave.operators.flatten import flatten_documents
+from tallyweave.operators.money import settle, settlement_summary, unsettled_groups, voucher_numbers
 from tallyweave.plans.money import clear_pending_orders
+from tallyweave.schemas import table_schema
 
 
 def _write(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -77,19 +79,47 @@ def current_properties(spark: SparkSession, keys: list[str], path: str) -> DataF
     )
 
 
-def daily_sums(clearing_stream: DataFrame, items: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Payable sums by beneficiary, day and kind; a day is final ``delay`` after its end."""
-    payable = clearing_stream.where((F.col("status_clear") == "cleared") & (F.col("status_settle") == "pending"))
-    kinds = items.select(F.col("id").alias("scheme_item_id"), F.col("beneficiary").alias("type"))
+def stream_settle(
+    clearing_stream: DataFrame,
+    items: DataFrame,
+    path: str,
+    checkpoint: str,
+    settlements: DataFrame | None = None,
+    as_of: Column | None = None,
+) -> StreamingQuery:
+    """Settle payable rows as they arrive, however late; nothing waits and nothing is dropped.
+
+    Each batch keeps its payable rows below ``path``/rows, sums them and numbers their
+    vouchers after those of earlier batches and of ``settlements``: a row that comes late
+    gets its day's next voucher.  Groups without a kind are kept below ``path``/unsettled.
+    A batch writes to folders of its own, so a repeated batch replaces itself.
+    """
+    spark = clearing_stream.sparkSession
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        own = f"batch_id={batch_id}"
+        payable = (F.col("status_clear") == "cleared") & (F.col("status_settle") == "pending")
+        batch.where(payable).write.mode("overwrite").parquet(f"{path}/rows/{own}")
+        rows = spark.read.schema(batch.schema).parquet(f"{path}/rows/{own}")
+        summary = settlement_summary(rows, items, None)
+        known = earlier_settlements(spark, path, batch_id)
+        if settlements is not None:
+            known = known.unionByName(settlements.select(*known.columns))
+        settle(voucher_numbers(summary, known), as_of).write.mode("overwrite").parquet(f"{path}/settlements/{own}")
+        unsettled_groups(summary).write.mode("overwrite").parquet(f"{path}/unsettled/{own}")
+
     return (
-        payable.join(kinds, "scheme_item_id", "left")
-        .withWatermark("create_date", delay)
-        .groupBy("beneficiary", F.window("create_date", "1 day").alias("day"), "type")
-        .agg(F.sum("amount_profit").cast("decimal(28,2)").alias("amount"))
-        .select("beneficiary", F.to_date("day.start").alias("date"), "type", "amount")
+        clearing_stream.writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def stream_settle(clearing_stream: DataFrame, items: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each day's sums once, when the watermark has passed it."""
-    return _write(daily_sums(clearing_stream, items), path, checkpoint)
+def earlier_settlements(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
+    """Settlement rows written by ``stream_settle``, of the batches before ``batch_id`` if one is named."""
+    layout = table_schema("mod_settlement")
+    if batch_id == 0:
+        return spark.createDataFrame([], layout)
+    rows = spark.read.schema(layout.add("batch_id", "integer")).parquet(f"{path}/settlements")
+    return (rows if batch_id is None else rows.where(F.col("batch_id") < batch_id)).drop("batch_id")

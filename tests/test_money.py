@@ -85,7 +85,7 @@ def test_orders_without_broker_stay_in_clearing(spark, rows):
     orders = orders.union(orders.withColumn("id", F.lit("o2")).withColumn("trace_code", F.lit("none")))
     taken = money.pending_orders(orders, trace)
     assert rows(money.unattributed_orders(taken), "id") == [("o2",)]
-    marked = money.mark_cleared(orders, taken, money.profit_rules(schemes, rules))
+    marked = money.mark_cleared(orders, trace, money.profit_rules(schemes, rules))
     assert rows(marked, "id", "status") == [("o1", "cleared"), ("o2", "clearing")]
 
 

@@ -43,13 +43,12 @@ TREES = [
 
 
 @pytest.mark.parametrize("tree, leaves", TREES)
-@pytest.mark.parametrize("local_nodes", [scoring.LOCAL_NODES, 0])
-def test_roll_up_equals_level_by_level(spark, tree, leaves, local_nodes):
+def test_roll_up_equals_level_by_level(spark, tree, leaves):
     scores = {leaf: Decimal("0.5") for leaf in leaves}
     rows = measures(spark, {i: scores.get(i) for i, _, _ in tree})
     config = spark.createDataFrame([(i, p, Decimal(w)) for i, p, w in tree], TREE)
     ids = spark.createDataFrame([(x,) for x in leaves], "id string")
-    out = scoring.roll_up(rows, "dimension", "userKey", config, ids, local_nodes)
+    out = scoring.roll_up(rows, "dimension", "userKey", config, ids)
     got = {r["dimension"]: r["score"] for r in out.collect()}
     expected = by_levels(tree, leaves, scores)
     assert {k: None if v is None else round(v, 6) for k, v in expected.items()} == got
@@ -61,6 +60,23 @@ def test_roll_up_refuses_a_circle(spark):
     ids = spark.createDataFrame([("x",)], "id string")
     with pytest.raises(ValueError):
         scoring.tree_paths(tree, ids)
+    long = spark.range(3000).selectExpr("string(id) id", "string((id + 1) % 3000) parent_id", "1BD weight")
+    with pytest.raises(ValueError):
+        scoring.tree_paths(long, ids)
+
+
+def test_roll_up_refuses_repeated_ids(spark):
+    tree = spark.createDataFrame([("a", "-", Decimal(1)), ("a", "b", Decimal(1))], TREE)
+    with pytest.raises(ValueError):
+        scoring.tree_paths(tree, spark.createDataFrame([("x",)], "id string"))
+
+
+def test_a_chain_of_thirty_thousand_nodes(spark):
+    n = 30_000
+    chain = spark.range(n).selectExpr("string(id) id", "string(id + 1) parent_id", "CAST(1 AS decimal(6,3)) weight")
+    paths, inner = scoring.tree_paths(chain, spark.createDataFrame([("0",)], "id string"))
+    assert paths.count() == n - 1 == inner.count()
+    assert paths.select("ancestor").distinct().count() == n - 1
 
 
 def test_measures_use_only_the_entity_itself(spark, rows):
@@ -135,7 +151,13 @@ def test_scripts_must_be_scalar(spark):
     for bad in ("sum(p['a'].score)", "(select 1)", "explode(array(1))", "row_number() over (order by 1)"):
         with pytest.raises(Exception):
             check_scripts(frame, [bad])
-    assert variables_of(["p['a'].score + p[ 'b.c' ].rank", "p['a'].text"]) == ["a", "b.c"]
+    check_scripts(frame, ["extract(YEAR FROM date'2020-01-01')"])
+    for bad in ("java_method('java.lang.Integer', 'parseInt', '42')", "rand()", "uuid()", "p[concat('a', 'b')].score",
+                "size(map_keys(p))", "to_json(p)"):
+        with pytest.raises(Exception):
+            check_scripts(frame, [bad])
+    spelled = ["p['a'].score + p[ 'b.c' ].rank", 'p["a"].text', "p.d.rank", "element_at(p, 'e').rank + p.`f.g`.rank"]
+    assert variables_of(spelled) == ["a", "b.c", "d", "e", "f.g"]
     config = spark.createDataFrame([("1", "'x'"), ("2", "'y'")], "id string, script string")
     with pytest.raises(ValueError):
         read_scripts(config, "id", "script", limit=1)
@@ -161,7 +183,7 @@ def test_profile_evaluations_take_over(spark, rows):
     assert ("u", "t", "0.9", "v", Decimal("0.900000"), 7, "txt") in out
     assert ("u", "a", "x", "x", Decimal("0.500000"), 3, None) in out
     wide = {r["userKey"]: r["p"] for r in entity_profile(props, evals, "userKey", ["t", "a"]).collect()}
-    assert wide["u"]["t"]["rank"] == 7 and wide["u"]["t"]["var"] == "0.9" and wide["w"]["t"] is None
+    assert wide["u"]["t"]["rank"] == 7 and wide["u"]["t"]["var"] == "0.9" and "t" not in wide["w"]
 
 
 def test_profile_of_an_entity_with_most_rows(spark):
@@ -242,3 +264,14 @@ def test_priorities(spark, rows):
     tasks = load.evaluate_tasks(users, evals, "userKey")
     assert rows(tasks, "evaluation", "priority") == [("e1", 801), ("e2", 2)]
     assert rows(load.promote_evaluated(tasks, evals, mapping), "evaluation", "priority") == [("e1", 1700), ("e2", 0)]
+
+
+@pytest.mark.parametrize("script", ["p['seg'].rank", 'p["seg"].rank', "p.seg.rank", "element_at(p, 'seg').rank", "p.`seg`.rank"])
+def test_every_spelling_of_a_variable_is_read(spark, script):
+    props = spark.createDataFrame(
+        [("u", "seg", "x", Decimal("0.5"), 7)],
+        "userKey string, property string, value string, score decimal(18,6), rank int",
+    )
+    profile = entity_profile(props, None, "userKey", variables_of([script, "p['none'].rank"]))
+    assert profile.select(F.expr(script)).first()[0] == 7
+    assert profile.select(F.expr("p['none'].rank")).first()[0] is None
