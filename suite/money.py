@@ -9,7 +9,7 @@ from suite.fixtures import CUTOFF
 from suite.registry import Tables, query
 from tallyweave.operators import money
 from tallyweave.sources.tables import stage
-from tallyweave.plans.money import clear_pending_orders, settle_cleared
+from tallyweave.plans.money import clear_pending_orders, money_day, settle_cleared
 
 def cutoff() -> Column:
     return F.lit(CUTOFF).cast("timestamp")
@@ -197,3 +197,41 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     left = t["mod_profit_share_item"].where("beneficiary <> 'platform'")
     return money.unsettled_groups(money.settlement_summary(clearing(t), left, cutoff()))
+
+
+# The clearing table of the day before holds the even orders, settled long ago; the day's run leaves them alone.
+_DAY = f"""WITH day AS (SELECT * REPLACE (CAST('{CUTOFF}' AS TIMESTAMP) AS create_date, CAST('{CUTOFF}' AS TIMESTAMP) AS update_date)
+    FROM mod_clearing)
+    SELECT * REPLACE (CASE WHEN mod(CAST(order_id AS BIGINT), 2) = 0 OR status_clear = 'cleared' THEN 'settled'
+        ELSE status_settle END AS status_settle) FROM day"""
+
+
+def day(t: Tables) -> dict[str, DataFrame]:
+    now = cutoff()
+    market = [t[n] for n in "mod_order mod_trace_code mod_broker mod_profit_share_scheme mod_profit_share_item".split()]
+    before = clear_pending_orders(*market, now).where("CAST(order_id AS BIGINT) % 2 = 0")
+    known = before.withColumn("status_settle", F.lit("settled"))
+    return money_day(*market, known, t["mod_settlement"], now + F.expr("INTERVAL 1 DAY"), now)
+
+
+@query("money_day_clearing", "mod_clearing", _DAY)
+def _(t: Tables) -> DataFrame:
+    return day(t)["clearing"]
+
+
+@query(
+    "money_day_settlements",
+    "mod_clearing mod_profit_share_item mod_settlement",
+    f"""WITH due AS (SELECT c.beneficiary AS broker_id, k.beneficiary AS type, sum(amount_profit) AS amount
+      FROM mod_clearing c JOIN mod_profit_share_item k ON k.id = c.scheme_item_id
+      WHERE status_clear = 'cleared' AND mod(CAST(order_id AS BIGINT), 2) = 1 GROUP BY c.beneficiary, k.beneficiary),
+    numbered AS (SELECT *, '{CUTOFF}-' || type AS first, (SELECT count(*) FROM mod_settlement s
+        WHERE s.broker_id = due.broker_id AND s.type = due.type AND s.voucher LIKE '{CUTOFF}-%') AS known FROM due),
+    named AS (SELECT *, CASE WHEN known = 0 THEN first ELSE first || '-' || CAST(known + 1 AS VARCHAR) END AS voucher FROM numbered)
+    SELECT * FROM mod_settlement UNION ALL BY NAME
+    SELECT md5(broker_id || '-' || voucher) AS id, broker_id, voucher, type, CAST(amount AS DECIMAL(28,2)) AS amount,
+      'settled' AS status, CAST('{CUTOFF}' AS TIMESTAMP) AS create_date, CAST('{CUTOFF}' AS TIMESTAMP) AS update_date
+    FROM named""",
+)
+def _(t: Tables) -> DataFrame:
+    return day(t)["settlements"]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suite.registry import Tables, query
+from suite.registry import ORACLES, QUERIES, Tables, query
 from suite.scoring import BEST
 from tallyweave.operators import filters, persona
-from tallyweave.plans.user_filter import matched_personas, user_filters
+from tallyweave.plans.user_filter import filter_documents, matched_personas, user_filters
 
 SCORED = "user_persona user_property user_evaluation"
 CONF = "mod_hierarchy mod_phase mod_persona"
@@ -183,3 +183,13 @@ def _(t: Tables) -> DataFrame:
         _some_costs(t),
         t.some(*CONF.split()),
     )
+
+
+@query(
+    "filter_documents",
+    "user_docs",
+    f"""SELECT d.* REPLACE (coalesce(f.query, d.query) AS query)
+    FROM user_docs d LEFT JOIN ({ORACLES["user_filter_flow"]}) f ON f.userKey = d._key""",
+)
+def _(t: Tables) -> DataFrame:
+    return filter_documents(t["user_docs"], QUERIES["user_filter_flow"](t.spark, t.sf_dir))

@@ -10,6 +10,7 @@ from suite.registry import Tables, query
 from tallyweave.operators import evaluation as ev
 from tallyweave.operators import load, scoring
 from tallyweave.operators.profile import entity_profile, profile_rows
+from tallyweave.plans.user_scoring import scored_users
 from tallyweave.plans.item_scoring import scored_documents, scored_items
 
 ITEM_CONF = (
@@ -415,13 +416,13 @@ _PROFILE = """SELECT coalesce(p.userKey, e.userKey) AS userKey, coalesce(p.prope
     FROM user_property p FULL JOIN user_evaluation e ON e.userKey = p.userKey AND e.type = p.property"""
 
 
-@query("entity_profile", "user_property user_evaluation", _PROFILE)
+@query("profile_rows", "user_property user_evaluation", _PROFILE)
 def _(t: Tables) -> DataFrame:
     return profile_rows(t["user_property"], t["user_evaluation"], "userKey")
 
 
 @query(
-    "entity_profile_named",
+    "entity_profile",
     "user_property user_evaluation",
     f"""SELECT userKey, name, var, value, CAST(score AS DOUBLE) AS score, rank, text FROM ({_PROFILE}) x
     WHERE name IN ('segment', 'economy', 'brand::tags')""",
@@ -481,3 +482,37 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return scored_documents(t["item_docs"], t["item_value"], t.some(*ITEM_CONF.split()))
+
+
+# --- the user chain --------------------------------------------------------------------------------------
+
+USER_CONF = (
+    "mod_user_measure mod_user_dimension int_user_dimension_measure mod_user_evaluation int_user_evaluation_dimension "
+    "mod_motivation mod_occasion mod_life_style"
+)
+_USER_CHAIN = f"""WITH m0 AS (SELECT d._key AS userKey, m.parent_id AS parent, m.id AS dimension, m.weight,
+       CAST(NULL AS DECIMAL(18,6)) AS score, 'pending' AS status, 0 AS priority, 1 AS revision
+       FROM user_docs d, mod_user_dimension m),
+    m1 AS ({leaf_sql('user', 'm0', 'user_property')}),
+    m2 AS ({rollup_sql('userKey', 'm1', 'dimension', 'mod_user_dimension', measured_ids('user'), ['userKey', *MEASURE_COLUMNS])}),
+    e0 AS (SELECT d._key AS userKey, m.parent_id AS parent, m.id AS evaluation, m.weight, m.type, m.script, m.category,
+       CAST(NULL AS VARCHAR) AS persona, true AS featured, CAST(NULL AS VARCHAR) AS text, 0 AS priority, 1 AS revision,
+       CAST(NULL AS DECIMAL(18,6)) AS score, 'pending' AS status FROM user_docs d, mod_user_evaluation m),
+    e1 AS ({weighted_sql('user', 'e0', 'm2')}),
+    best AS (SELECT userKey AS owner, personaId AS won FROM ({BEST.format('user_persona')}) b),
+    e2 AS (SELECT e1.* REPLACE (won AS persona, CASE WHEN type = 'persona' THEN won ELSE text END AS text,
+       CASE WHEN type = 'persona' AND won IS NOT NULL THEN 'ready' ELSE status END AS status)
+       FROM e1 LEFT JOIN best ON owner = userKey),
+    e3 AS ({tags_sql('user', 'e2')}),
+    e4 AS ({script_sql('user', 'e3', 'user_property')}),
+    e5 AS ({rollup_sql('userKey', 'e4', 'evaluation', 'mod_user_evaluation', evaluated_ids('user'), EVALUATION_COLUMNS['user'])})
+    """
+
+
+@query(
+    "user_scoring",
+    f"user_docs user_property user_persona {USER_CONF}",
+    _USER_CHAIN + "SELECT * EXCLUDE (priority) FROM e5",
+)
+def _(t: Tables) -> DataFrame:
+    return chain_columns(scored_users(t["user_docs"], t["user_value"], t["user_persona"], t.some(*USER_CONF.split())))

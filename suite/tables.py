@@ -130,7 +130,7 @@ def _(t: Tables) -> DataFrame:
     return tasks.mark(t["user_filter"], batch, ["userKey"], "ready")
 
 
-@query("read_documents", "item_docs", "SELECT * FROM item_docs WHERE status = 'pending'")
+@query("pending_documents", "item_docs", "SELECT * FROM item_docs WHERE status = 'pending'")
 def _(t: Tables) -> DataFrame:
     return documents.pending_documents(t["item_docs"])
 
@@ -191,3 +191,15 @@ for _type, _docs in (("user", "user_docs"), ("persona", "persona_docs")):
             F.col("_key").alias("id"), "query", F.lit(type_).alias("type"), "tags", F.lit("ready").alias("status"), F.lit(1).alias("revision")
         )
         return recommendation_tasks(known, store, type_)
+
+
+for _type, _docs in (("user", "user_docs"), ("persona", "persona_docs")):
+
+    @query(
+        f"mark_recommended_{_type}",
+        _docs,
+        f"""SELECT * REPLACE (true AS isRecommend, CASE WHEN isRecommend IS NULL THEN 'ready'
+            WHEN status = 'pending' THEN 'ready' ELSE status END AS status) FROM {_docs}""",
+    )
+    def _(t: Tables, docs: str = _docs) -> DataFrame:
+        return documents.mark_recommended(t[docs])

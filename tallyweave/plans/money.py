@@ -10,13 +10,19 @@ from tallyweave.operators.money import (
     broker_ancestors,
     broker_lines,
     child_counts,
+    mark_cleared,
+    mark_settled,
+    mark_settling,
     pending_orders,
     profit_rules,
     settle,
     settlement_summary,
     share_out,
+    unsettled_groups,
     voucher_numbers,
 )
+from tallyweave.operators.upsert import insert_ignore
+from tallyweave.sources.tables import stage
 
 
 def clear_pending_orders(
@@ -61,4 +67,32 @@ def settle_cleared(
     return settle(voucher_numbers(settlement_summary(clearing, items, cutoff), settlements), as_of)
 
 
-__all__ = ["clear_pending_orders", "pending_orders", "settle_cleared"]
+def money_day(
+    orders: DataFrame,
+    trace: DataFrame,
+    brokers: DataFrame,
+    schemes: DataFrame,
+    items: DataFrame,
+    clearing: DataFrame,
+    settlements: DataFrame,
+    cutoff: Column,
+    as_of: Column,
+) -> dict[str, DataFrame]:
+    """One day's run: pending orders are cleared and what is due is settled.
+
+    Returns new snapshots of the orders, the clearing rows and the settlements, and the groups
+    that cannot be settled.  Clearing rows are written once in between, as three steps read them.
+    """
+    new = clear_pending_orders(orders, trace, brokers, schemes, items, as_of)
+    rows = stage(insert_ignore(clearing, new, ["id"]), "clearing")
+    groups = stage(settlement_summary(rows, items, cutoff), "settlement-groups")
+    settling = mark_settling(rows, groups, items, cutoff, as_of)
+    return {
+        "orders": mark_cleared(orders, trace, profit_rules(schemes, items)),
+        "clearing": mark_settled(settling, groups, items, cutoff, as_of),
+        "settlements": settlements.unionByName(settle(voucher_numbers(groups, settlements), as_of)),
+        "unsettled": unsettled_groups(groups),
+    }
+
+
+__all__ = ["clear_pending_orders", "money_day", "pending_orders", "settle_cleared"]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyweave.operators.filters import bool_clauses, cost_decay, function_score, persona_decay
 from tallyweave.operators.persona import best_persona, score_personas
+from tallyweave.operators.upsert import update_from
 
 
 def matched_personas(
@@ -32,8 +34,22 @@ def user_filters(
     evaluation: DataFrame,
     conf: dict[str, DataFrame],
 ) -> DataFrame:
-    """The search query of each user, from scored personas on."""
-    personas = best_persona(matched_personas(user_persona, property_, evaluation, conf))
+    """The search query of each of ``users``, from scored personas on.
+
+    Everything is cut to the users at hand before it is grouped.
+    """
+    asked = users.select("userKey").distinct()
+
+    def of_users(rows: DataFrame) -> DataFrame:
+        return rows.join(asked, "userKey", "left_semi")
+
+    evaluated = of_users(evaluation)
+    personas = best_persona(matched_personas(of_users(user_persona), of_users(property_), evaluated, conf))
     return function_score(
-        users, bool_clauses(user_query), persona_decay(personas, conf["mod_persona"]), cost_decay(evaluation)
+        users, bool_clauses(of_users(user_query)), persona_decay(personas, conf["mod_persona"]), cost_decay(evaluated)
     )
+
+
+def filter_documents(docs: DataFrame, filters: DataFrame) -> DataFrame:
+    """User documents with the new search queries of ``filters`` (userKey, query) in ``query``."""
+    return update_from(docs, filters.select(F.col("userKey").alias("_key"), "query"), ["_key"], ["query"])

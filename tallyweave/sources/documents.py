@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,9 +47,22 @@ def pending_index(docs: DataFrame) -> DataFrame:
     return docs.where(waiting).withColumn("index", F.lit("ready"))
 
 
+def _unrecommended() -> Column:
+    return F.col("isRecommend").isNull() | (F.col("status") == "pending")
+
+
+def mark_recommended(docs: DataFrame) -> DataFrame:
+    """The store after its recommendation tasks were made: what was taken is not taken again."""
+    wanted = F.coalesce(_unrecommended(), F.lit(False))
+    values = {
+        "isRecommend": F.when(wanted, F.lit(True)).otherwise(F.col("isRecommend")),
+        "status": F.when(wanted, F.lit("ready")).otherwise(F.col("status")),
+    }
+    return docs.select(*[values[c].alias(c) if c in values else F.col(c) for c in docs.columns])
+
+
 def recommendation_rows(docs: DataFrame, type_: str) -> DataFrame:
     """Tasks of documents never recommended or pending again: (id, query, type, tags)."""
-    wanted = F.col("isRecommend").isNull() | (F.col("status") == "pending")
-    return docs.where(wanted).select(
+    return docs.where(_unrecommended()).select(
         F.col("_key").alias("id"), "query", F.lit(type_).alias("type"), "tags", F.lit("pending").alias("status")
     )
