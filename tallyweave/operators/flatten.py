@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FAST_LEVELS = 4
-_LIST_TEXT_LEVELS = 3
+_LIST_TEXT_LEVELS = 1
+BACKSLASH = r"\\"
 
 
 def _is_object(v: str) -> str:
@@ -28,26 +29,51 @@ def _is_container(v: str) -> str:
     return f"({_is_object(v)} OR try_variant_get({v}, '$[0]', 'struct<>') IS NOT NULL)"
 
 
+def _scalar_text(v: str, kind: str) -> str:
+    return f"""CASE WHEN {kind} = 'STRING' THEN CAST({v} AS string)
+            WHEN {kind} LIKE 'DECIMAL%' THEN CAST(CAST({v} AS double) AS string) ELSE CAST({v} AS string) END"""
+
+
 def _value_text(v: str, kind: str, level: int = 0) -> str:
-    """Text of a value that is not opened: lists as ``[a, b]``, null as ``null``.
+    """Text of a value that is not opened: lists as ``[a, b]``, objects as ``{k=v}``, null as ``null``.
 
     ``kind`` is the value's ``schema_of_variant``.  Fractions are printed as the
-    double they are (``1.0``, ``2.5``).
+    double they are (``1.0``, ``2.5``).  The outermost lists are written in place, whatever
+    they hold is written piece by piece, at any depth and in the same format.
     """
-    nested = ""
     if level < _LIST_TEXT_LEVELS:
         e = f"e{level}"
         element = _value_text(e, f"schema_of_variant({e})", level + 1)
-        field = _value_text(f"{e}.value", f"schema_of_variant({e}.value)", level + 1)
-        nested = f"""
-            WHEN {kind} LIKE 'ARRAY%' THEN
+        nested = f"""CASE WHEN {kind} LIKE 'ARRAY%' THEN
               concat('[', array_join(transform(try_cast({v} AS array<variant>), {e} -> {element}), ', '), ']')
-            WHEN {kind} LIKE 'OBJECT%' THEN
-              concat('{{', array_join(transform(map_entries(try_cast({v} AS map<string,variant>)),
-                                                {e} -> concat({e}.key, '=', {field})), ', '), '}}')"""
-    return f"""coalesce(CASE WHEN {kind} = 'STRING' THEN CAST({v} AS string)
-            WHEN {kind} LIKE 'DECIMAL%' THEN CAST(CAST({v} AS double) AS string){nested}
-            ELSE CAST({v} AS string) END, 'null')"""
+            WHEN {kind} LIKE 'OBJECT%' THEN {_deep_text(v)} ELSE {_scalar_text(v, kind)} END"""
+    else:
+        nested = f"""CASE WHEN {kind} LIKE 'ARRAY%' OR {kind} LIKE 'OBJECT%' THEN {_deep_text(v)}
+            ELSE {_scalar_text(v, kind)} END"""
+    return f"coalesce({nested}, 'null')"
+
+
+def _piece(text: str) -> str:
+    return _node(text, "CAST(NULL AS variant)", "false")
+
+
+def _held(v: str) -> str:
+    kind = f"schema_of_variant({v})"
+    return _node("CAST(NULL AS string)", v, f"coalesce({kind} LIKE 'ARRAY%' OR {kind} LIKE 'OBJECT%', false)")
+
+
+def _deep_text(v: str) -> str:
+    """A container is replaced by its pieces until only pieces and scalars are left; a piece has its text as path."""
+    comma = "CASE WHEN i > 0 THEN ', ' ELSE '' END"
+    pieces = f"""coalesce(
+        concat(array({_piece("'{'")}), flatten(transform(map_entries(try_cast(n.v AS map<string,variant>)),
+          (e, i) -> array({_piece(f"concat({comma}, e.key, '=')")}, {_held("e.value")}))), array({_piece("'}'")})),
+        concat(array({_piece("'['")}), flatten(transform(try_cast(n.v AS array<variant>),
+          (e, i) -> array({_piece(comma)}, {_held("e")}))), array({_piece("']'")})))"""
+    text = f"to_json({v})"
+    opened = _open_all(f"array({_held(v)})", f"{_count(text, '{')} + {_count(text, '[')}", pieces)
+    scalar = _scalar_text("x.v", "schema_of_variant(x.v)")
+    return f"array_join(transform({opened}, x -> coalesce(x.path, {scalar}, 'null')), '')"
 
 
 def value_text(v: str, kind: str) -> Column:
@@ -82,14 +108,28 @@ _INDEXED_CHILDREN = f"""coalesce(
               (e, i) -> {_node(_child_path("n.path", "CAST(i AS string)"), "e", _is_container("e"))}))"""
 
 
+def _parsed(doc_col: str) -> Column:
+    return F.try_parse_json(F.col(doc_col))
+
+
+def refused_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Documents that are no JSON (cut off, or with a repeated field): flattening leaves them out."""
+    return docs.where(F.col(doc_col).isNotNull() & _parsed(doc_col).isNull())
+
+
+def readable_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """All other documents."""
+    return docs.where(F.col(doc_col).isNull() | _parsed(doc_col).isNotNull())
+
+
 def flatten_documents(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") -> DataFrame:
     """(property, value, *key_cols) for every leaf of every document.
 
     Object keys are joined by ``.``; objects in an array get their index
-    (``a.0.b``); an array of plain values is one value.
+    (``a.0.b``); an array of plain values is one value.  ``refused_documents`` give no rows.
     """
     tvf = docs.sparkSession.tvf
-    nodes = docs.select(*key_cols, F.lit("").alias("__path"), F.parse_json(F.col(doc_col)).alias("__v"))
+    nodes = readable_documents(docs, doc_col).select(*key_cols, F.lit("").alias("__path"), _parsed(doc_col).alias("__v"))
     held = F.expr(f"CASE WHEN {_is_container('__v')} THEN __v END")
     path = F.expr(
         f"CASE WHEN pos IS NULL THEN __path ELSE {_child_path('__path', 'coalesce(key, CAST(pos AS string))')} END"
@@ -138,10 +178,13 @@ def flatten_merge(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") ->
     Array elements share one path and the last value of a path wins; text that holds
     JSON is parsed again; nulls stay null.
     """
-    near = _open_all(f"array({_node("''", f'parse_json({doc_col})', 'true')})", str(FAST_LEVELS), _MERGED_CHILDREN)
-    opened = docs.select(*key_cols, doc_col, F.explode(F.array(F.expr(near))).alias("__n"))
-    # every opened level has at least one brace of its own in the text
-    more = f"CASE WHEN exists(__n, x -> x.open) THEN {_count(doc_col, '{')} ELSE 0 END"
+    near = _open_all(f"array({_node("''", f'try_parse_json({doc_col})', 'true')})", str(FAST_LEVELS), _MERGED_CHILDREN)
+    opened = readable_documents(docs, doc_col).select(
+        *key_cols, doc_col, F.explode(F.array(F.expr(near))).alias("__n")
+    )
+    # every opened level has a bracket of its own in the text, or a backslash that hides one
+    levels = f"{_count(doc_col, '{')} + {_count(doc_col, '[')} + {_count(doc_col, BACKSLASH)}"
+    more = f"CASE WHEN exists(__n, x -> x.open) THEN {levels} ELSE 0 END"
     full = _open_all("__n", more, _MERGED_CHILDREN)
     kinds = f"transform({full}, n -> named_struct('path', n.path, 'v', n.v, 'kind', schema_of_variant(n.v)))"
     ordered = f"""array_sort(transform({kinds}, (n, i) -> named_struct('path', n.path, 'at', i,

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.operators.flatten import readable_documents
+
 # Fixed value.
 INDEX_TOPIC = "stuff"
 
 
 def compose_index_messages(docs: DataFrame) -> DataFrame:
-    """(key, value): the document as JSON with its key, and its title as tagging where that is missing."""
-    fields = F.parse_json("doc").cast("map<string,variant>")
+    """(key, value): the document as JSON with its key, and its title as tagging where that is missing.
+
+    Documents that are no JSON give no message; ``refused_documents`` lists them.
+    """
+    docs = readable_documents(docs)
+    fields = F.try_parse_json("doc").cast("map<string,variant>")
     tagging = F.when(~F.is_variant_null(fields["tagging"]), fields["tagging"])
     own = F.map_filter(fields, lambda k, _: ~k.isin("_key", "tagging"))
     message = F.map_concat(

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from tallyweave.operators.flatten import FAST_LEVELS, flatten_documents, flatten_merge
+from tallyweave.operators.flatten import FAST_LEVELS, flatten_documents, flatten_merge, refused_documents
 
 
 def flat(spark, doc, op=flatten_documents):
@@ -84,3 +84,40 @@ def test_merge(spark):
         "brace": "\n {not json",
         "deep.a.b.c.d.e.f.g": "2",
     }
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 9])
+def test_list_text_is_the_same_at_any_depth(spark, depth):
+    inner = '[1, 2.5, "x", null, {"k": [true]}]'
+    doc = '{"a":' + "[" * depth + inner[1:-1] + "]" * depth + "}"
+    df = spark.createDataFrame([("u", doc)], "k string, doc string")
+    expected = "[" * depth + "1, 2.5, x, null, {k=[true]}" + "]" * depth
+    for flatten in (flatten_documents, flatten_merge):
+        assert [tuple(r) for r in flatten(df, ["k"]).select("property", "value").collect()] == [("a", expected)]
+
+
+@pytest.mark.parametrize("levels", [3, 6, 12])
+@pytest.mark.parametrize("escaped", [False, True])
+def test_embedded_documents_open_at_any_depth(spark, levels, escaped):
+
+
+    inner = {"leaf": 1}
+    for i in range(levels - 1, 0, -1):
+        inner = {f"n{i}": [inner, inner]}
+    text = json.dumps(inner)
+    held = json.dumps(text)
+    if escaped:
+        held = held.replace("{", "\\u007b").replace("}", "\\u007d")
+    df = spark.createDataFrame([("u", '{"s":' + held + "}")], "k string, doc string")
+    path = ".".join(["s", *[f"n{i}" for i in range(1, levels)], "leaf"])
+    assert [tuple(r) for r in flatten_merge(df, ["k"]).select("property", "value").collect()] == [(path, "1")]
+
+
+def test_refused_documents_are_listed_and_stop_nothing(spark):
+    rows = [("ok", '{"a":1}'), ("cut", '{"a":'), ("twice", '{"a":1,"a":2}'), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, doc string")
+    assert sorted(r["k"] for r in refused_documents(df).collect()) == ["cut", "twice"]
+    for flatten in (flatten_documents, flatten_merge):
+        found = {(r["k"], r["property"], r["value"]) for r in flatten(df, ["k"]).collect()}
+        assert ("ok", "a", "1") in found
+        assert not {k for k, _, _ in found} & {"cut", "twice"}
