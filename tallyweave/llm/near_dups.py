@@ -97,8 +97,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """A spanning forest of the graph on n nodes with edges (a, b)."""
+def forest(a: np.ndarray, b: np.ndarray, n: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """What edges (a, b) on n nodes add to a spanning forest of the ``known`` ones."""
     parent = list(range(n))
 
     def root(x: int) -> int:
@@ -108,20 +108,30 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            parent[rx] = ry
-            out.append((x, y))
+    known = np.zeros(len(a), bool) if known is None else known
+    for wanted in (True, False):
+        part = known == wanted
+        for x, y in zip(a[part].tolist(), b[part].tolist()):
+            rx, ry = root(x), root(y)
+            if rx != ry:
+                parent[rx] = ry
+                if not wanted:
+                    out.append((x, y))
     return out
 
 
 def _collide(matches: int, percent: int):
-    """Over postings sorted by (pair, band, i, j): a forest of the classes that share enough coordinates."""
+    """Over postings sorted by (unit, i, j): a forest of the classes that share enough coordinates.
+
+    A pair that another unit holds as well, both of one block or both guests from the band
+    below, counts as known here and is returned there.
+    """
 
     def settle(rows: list[tuple]) -> list[tuple[int, int]]:
         marks = np.array([r[5] for r in rows], np.int64).astype(np.uint16)
         sizes = np.array([r[4] for r in rows])
+        guest = np.array([r[6] for r in rows], bool)
+        own = np.array([r[7] for r in rows])
         out_a, out_b = [], []
         for at in range(len(rows) - 1):
             near = (marks[at + 1 :] == marks[at]).sum(axis=1) >= matches
@@ -131,9 +141,11 @@ def _collide(matches: int, percent: int):
             out_b.append(found)
         if not out_a:
             return []
-        return [
-            (rows[x][3], rows[y][3]) for x, y in forest(np.concatenate(out_a), np.concatenate(out_b), len(rows))
-        ]
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        known = guest[a] & guest[b]
+        if rows[0][1] != rows[0][2]:
+            known |= own[a] == own[b]
+        return [(rows[x][3], rows[y][3]) for x, y in forest(a, b, len(rows), known)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -161,8 +173,11 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between some sets, all compared exactly."""
+def linked(sets: list[np.ndarray], percent: int, own: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between some sets, all compared exactly.
+
+    Links within a block of ``own`` count as known.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
@@ -184,25 +199,26 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         both += part @ part.T
     total = sizes[:, None] + sizes[None, :] - both
     a, b = np.nonzero(np.triu(100 * both >= percent * total, 1))
-    return forest(a, b, n)
+    return forest(a, b, n, None if own is None else own[a] == own[b])
 
 
 def _confirm(percent: int):
     """Over rows (unit columns, class, set) sorted by unit: a forest of the exact links of each unit."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, names, sets, edges = None, [], [], []
+        unit, names, sets, blocks, edges = None, [], [], [], []
 
         def settle() -> None:
             if len(names) > 1:
-                edges.extend((names[x], names[y]) for x, y in linked(sets, percent))
+                own = np.array(blocks) if unit[1] != unit[2] else None
+                edges.extend((names[x], names[y]) for x, y in linked(sets, percent, own))
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for key, name, raw in zip(zip(*columns[:3]), columns[3], columns[4]):
+            for key, name, raw, own in zip(zip(*columns[:3]), *columns[3:]):
                 if key != unit:
                     settle()
-                    unit, names, sets = key, [], []
+                    unit, names, sets, blocks = key, [], [], []
                     if len(edges) > 20_000:
                         yield _edges(edges)
                         edges = []
@@ -210,6 +226,7 @@ def _confirm(percent: int):
                 if not names or names[-1] != name:
                     names.append(name)
                     sets.append(np.frombuffer(raw, U64))
+                    blocks.append(own)
         settle()
         yield _edges(edges)
 
@@ -253,7 +270,8 @@ def near_duplicates(
     entries = (
         prefix.join(classes.select("class", "n", marks.alias("marks"), band.alias("band")), "class")
         .select("class", "n", "marks", "band", F.explode("p.pair").alias("pair"))
-        .select("class", "n", "marks", "pair", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+        .select("class", "n", "marks", "pair", "band", F.explode(F.array(F.lit(False), F.lit(True))).alias("guest"))
+        .withColumn("band", F.col("band") + F.col("guest").cast("int"))
     )
     entries.write.parquet(f"{path}/entries")
     entries = spark.read.parquet(f"{path}/entries")
@@ -263,7 +281,7 @@ def near_duplicates(
         .select("pair", "band", F.ceil(F.col("m") / block).alias("blocks"))
     )
     ready = _blocked(entries.join(lists, ["pair", "band"]), ["pair", "band"]).select(
-        "unit", "i", "j", "class", "n", "marks"
+        "unit", "i", "j", "class", "n", "marks", "guest", "own"
     )
     colliding = (
         ready.repartition("unit", "i", "j")
@@ -308,7 +326,7 @@ def near_duplicates(
         groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")), "root"
     ).withColumnRenamed("node", "class")
     placed = sized.join(sets.withColumnRenamed("node", "class"), "class")
-    units = _blocked(placed, ["root"]).select("unit", "i", "j", "class", "set")
+    units = _blocked(placed, ["root"]).select("unit", "i", "j", "class", "set", "own")
     links = (
         units.repartition("unit", "i", "j")
         .sortWithinPartitions("unit", "i", "j", "class")
