@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.operators.upsert import update_from
+from tallyweave.operators.upsert import one_row_per_key, update_from
 
 
 def fill_category_id(property_: DataFrame, categories: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def fill_property_id(property_: DataFrame, measures: DataFrame) -> DataFrame:
 def normalize(property_: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
     """Score and rank of the labelled value; rows without a ready label stay as they are.
 
-    ``labels`` is unique by ``keys``.
+    Of several ready labels of a value the least one counts, so no property row is doubled.
     """
     ready = labels.where(F.col("status") == "ready").select(*keys, "score", "rank", "status")
-    return update_from(property_, ready, keys, ["score", "rank", "status"])
+    return update_from(property_, one_row_per_key(ready, keys), keys, ["score", "rank", "status"])

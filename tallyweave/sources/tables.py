@@ -14,16 +14,20 @@ def read_table(
     root: str | None = None,
     jdbc: dict[str, str] | None = None,
     partition_by: tuple[str, int, int, int] | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """A shared table, with its known layout when read from Parquet below ``root``.
 
-    ``jdbc`` holds Spark's JDBC options (url, driver, user, ...).  Large tables are
-    read in ranges: ``partition_by`` is (column, lower bound, upper bound, parts).
+    ``jdbc`` holds Spark's JDBC options (url, driver, user, ...).  Tables are read in
+    ranges: ``partition_by`` is (column, lower bound, upper bound, parts).  Only a table
+    stated to be ``small`` is read by one task.
     """
     if jdbc is None:
         if root is None:
             raise ValueError("name a folder or JDBC options")
         return spark.read.schema(table_schema(name)).parquet(f"{root}/{name}")
+    if partition_by is None and not small:
+        raise ValueError("name the ranges to read, or state that the table is small")
     reader = spark.read.format("jdbc").options(**jdbc).option("dbtable", name)
     if partition_by:
         column, low, high, parts = partition_by
@@ -45,7 +49,9 @@ def write_table(
     root for each version.  ``by`` lists partition columns for later pruning.
     """
     if jdbc is not None:
-        df.write.format("jdbc").options(**jdbc).option("dbtable", name).mode("append").save()
+        # a snapshot takes the place of the last one; truncating keeps the table's own layout
+        writer = df.write.format("jdbc").options(**jdbc).option("dbtable", name).option("truncate", "true")
+        writer.mode("overwrite").save()
         return
     if root is None:
         raise ValueError("name a folder or JDBC options")

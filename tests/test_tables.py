@@ -80,6 +80,8 @@ def test_table_round_trip(spark, tmp_path):
     assert read_table(spark, "user_filter", str(tmp_path)).collect() == t.collect()
     with pytest.raises(ValueError):
         read_table(spark, "user_filter")
+    with pytest.raises(ValueError, match="ranges"):
+        read_table(spark, "user_filter", jdbc={"url": "jdbc:none"})
     for name in table_names():
         assert table_schema(name).fields
 
@@ -105,3 +107,14 @@ def test_documents(spark, rows, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.json(str(tmp_path / "m" / messages.INDEX_TOPIC)).count() == 2
+
+
+def test_doubled_labels_double_no_property(spark, rows):
+    from decimal import Decimal
+
+    from tallyweave.operators.enrich import normalize
+
+    layout = "property string, value string, score decimal(18,6), rank int, status string"
+    props = spark.createDataFrame([("a", "x", None, None, "pending")], layout)
+    labels = spark.createDataFrame([("a", "x", Decimal(1), 2, "ready"), ("a", "x", Decimal(3), 4, "ready")], layout)
+    assert rows(normalize(props, labels, ["property", "value"]), "score", "rank") == [(Decimal("1.000000"), 2)]
