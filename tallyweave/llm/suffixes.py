@@ -228,28 +228,30 @@ def _compare_runs(width: int):
     """Over rows (key, name, at, n, distance, stretch) sorted by key: the repeated starts of each text."""
 
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        # equal rows of one text are the runs of its copies
-        copies: dict[tuple, int] = {}
-        for row in rows:
-            copies[row] = copies.get(row, 0) + 1
-        members = list(copies)
-        data = np.frombuffer(b"".join(m[5] for m in members), np.uint8)
-        size = np.array([len(m[5]) for m in members])
+        # equal stretches repeat as a whole wherever they stand; one of them is compared with the others
+        holders: dict[tuple, dict[tuple[int, int], int]] = {}
+        for key, name, at, n, distance, stretch in rows:
+            places = holders.setdefault((key, n, distance, stretch), {})
+            places[name, at] = places.get((name, at), 0) + 1  # more than one: copies of a text
+        members = list(holders)
+        data = np.frombuffer(b"".join(m[3] for m in members), np.uint8)
+        size = np.array([len(m[3]) for m in members])
         base = np.cumsum(size) - size
-        count = np.array([m[3] for m in members])
+        count = np.array([m[1] for m in members])
         keys = np.unique(np.array([m[0] for m in members]), return_inverse=True)[1]
         owner = np.repeat(np.arange(len(members)), count)
         step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        distance = np.array([m[4] for m in members])[owner] - step
+        distance = np.array([m[2] for m in members])[owner] - step
         flags = repeated_starts(data, base[owner] + step, keys[owner] * (width + 1) + distance, width)
-        flags |= np.array([copies[m] > 1 for m in members])[owner]
+        flags |= np.array([sum(places.values()) > 1 for places in holders.values()])[owner]
         edge = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner))
         names, froms, tos = [], [], []
         for i in np.unique(owner[flags]).tolist():
             first, last = _intervals(flags[edge[i] : edge[i + 1]])
-            names.extend([members[i][1]] * len(first))
-            froms.extend((first + members[i][2]).tolist())
-            tos.extend((last + members[i][2]).tolist())
+            for name, at in holders[members[i]]:
+                names.extend([name] * len(first))
+                froms.extend((first + at).tolist())
+                tos.extend((last + at).tolist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int64()), pa.array(froms, pa.int64()), pa.array(tos, pa.int64())],
             names=["name", "first", "last"],
