@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.columns import carried, restored
+from tallyweave.llm.columns import carried, modest_batches, restored
 from tallyweave.llm.words import NOT_ALNUM, U64, Words, as_long, chunks, texts, window_hash
 from tallyweave.session import shared_folder
 
@@ -230,6 +230,7 @@ def decontaminate(
     posted is written to the shared folder; texts are never shuffled.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     path = shared_folder(spark, "decontaminate")
     item_windows(benchmark, item_id, item_text).write.parquet(f"{path}/windows")
     windows = spark.read.parquet(f"{path}/windows")

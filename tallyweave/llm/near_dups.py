@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import modest_batches
 from tallyweave.llm.components import components
 from tallyweave.llm.repeats import bit_table, cells, has_bit
 from tallyweave.llm.words import U64, Words, as_long, chunks, mix, texts, window_hash
@@ -241,6 +242,7 @@ def near_duplicates(
     Texts are read twice and never shuffled.  ``block`` bounds the sets a task compares at once.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     path = shared_folder(spark, "near-dups")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = source.schema["id"].dataType.simpleString()

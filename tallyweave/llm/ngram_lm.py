@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.columns import carried, restored
+from tallyweave.llm.columns import carried, modest_batches, restored
 from tallyweave.llm.words import chunks, texts
 from tallyweave.session import shared_folder
 
@@ -152,6 +152,7 @@ def score_documents(
     if not 1 <= order <= 4:
         raise ValueError("n-grams of one to four bytes")
     spark = docs.sparkSession
+    modest_batches(spark)
     path = shared_folder(spark, "ngram-losses")
     counts = f"{path}/counts"
     both_counts(docs, target, text_col, order).write.parquet(counts)

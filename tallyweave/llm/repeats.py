@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.columns import modest_batches
 from tallyweave.llm.words import U64, chunks, mix, sliding, texts
 
 LEAST_BITS, MOST_BITS = 20, 28
@@ -71,6 +72,7 @@ def repeated_cells(
                     [pa.array(found.astype(np.int64)), pa.array(np.minimum(n, 2).astype(np.int32))], names=["cell", "n"]
                 )
 
+    modest_batches(docs.sparkSession)
     counted = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(work, "cell long, n int")
     return bit_table(counted.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").select("cell"), bits + 1)
 
