@@ -1,9 +1,10 @@
 """Licence scans by sentence rules.
 
 A text becomes its sequence of normalised sentences (lower case, letters and digits with
-single spaces).  Known licence sentences have identifiers; every other sentence is 0.  A
-licence rule is an ordered list of identifiers and matches where they follow one another
-in the text.  The identifiers of a text are spelled as one comma-separated string, in which
+single spaces).  Known licence sentences have identifiers; every other sentence is 0.  A known
+sentence that holds an end itself ("free software: you can ...") stands as its parts, each with
+an identifier.  A licence rule is an ordered list of identifiers and matches where they follow
+one another in the text.  The identifiers of a text are spelled as one comma-separated string, in which
 a rule is a substring, so recognition is a projection without shuffle or Python.
 
 Null texts are empty texts: no sentences, no licences.  Repeated rows each give a row.
@@ -11,6 +12,8 @@ Null texts are empty texts: no sentences, no licences.  Repeated rows each give
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +67,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 # A sentence ends at these marks before white space or the end, or at a line's end.
-_END = r"[.!?;:]+([\x09-\x0D\x20]|\z)"
+_END = r"[.!?;:]+(?:[\x09-\x0D\x20]|\z)"
 _OTHER = r"[^\p{L}\p{N}\n]+"
 
 
@@ -82,6 +85,30 @@ def sentence_ids(rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> dict
     return known
 
 
+def parts(sentence: str) -> list[str]:
+    """The normalised sentences a text of this known sentence alone is cut into."""
+    return [p for p in map(normalise, re.split(_END.replace(r"\z", r"\Z"), sentence)) if p]
+
+
+def part_ids(rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> dict[str, int]:
+    """Identifiers of whole known sentences and, following them, of the parts of those that are cut."""
+    known = sentence_ids(rules)
+    for _, sentences in rules:
+        for s in sentences:
+            for p in parts(s):
+                known.setdefault(p, len(known) + 1)
+    return known
+
+
+def part_rules(rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> list[tuple[str, str]]:
+    """Each rule as (licence, identifiers between commas): by whole sentences and, where one is cut, by parts."""
+    known = part_ids(rules)
+    cut = [
+        (name, "," + ",".join(str(known[p]) for s in sentences for p in parts(s)) + ",") for name, sentences in rules
+    ]
+    return list(dict.fromkeys(rule_texts(rules) + cut))
+
+
 def rule_texts(rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> list[tuple[str, str]]:
     """Each rule as (licence, its identifiers between commas)."""
     known = sentence_ids(rules)
@@ -101,7 +128,7 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Columns of those names are replaced.  ``sentence_ids`` lists the identifiers in text order
     with runs of unknown sentences as single zeros.
     """
-    known = F.create_map(*[F.lit(x) for pair in sentence_ids().items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in part_ids().items() for x in pair])
     names = ("n_sentences", "n_known", "sentence_ids", "licences")
     source, inner, kept = carried(docs, text_col, names)
     ids = source.withColumn("s", sentences(F.col("text"))).withColumn(
@@ -109,7 +136,7 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     spelled = F.when(F.size("ids") > 0, F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))).otherwise(F.lit(","))
     line = ids.withColumn("line", F.regexp_replace(spelled, r"(,0)+(?=,)", ",0"))
-    hits = [F.when(F.contains("line", F.lit(run)), F.lit(name)) for name, run in rule_texts()]
+    hits = [F.when(F.contains("line", F.lit(run)), F.lit(name)) for name, run in part_rules()]
     return line.select(
         *restored(inner, kept),
         F.size("s").cast("long").alias("n_sentences"),

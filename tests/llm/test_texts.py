@@ -146,6 +146,14 @@ def test_licences(spark):
     assert found[6] == (2, 2, "CC-BY-NC-4.0,MIT")
 
 
+def test_each_rule_recognises_its_own_text(spark):
+    rows = [(i, ". ".join(sentences) + ".", name) for i, (name, sentences) in enumerate(licences.RULES)]
+    rows.append((len(rows), f"Top\n{licences.GPL_GRANT}.\n\nprint()", "GPL-3.0-or-later"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rule string")
+    for r in licences.scan_licences(docs).collect():
+        assert r["rule"] in r["licences"].split(","), r["text"]
+
+
 def test_classifier_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").withColumnRenamed("quality", "label")
