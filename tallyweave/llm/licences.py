@@ -4,7 +4,15 @@ A text becomes its sequence of normalised sentences (lower case, letters and dig
 single spaces).  Known licence sentences have identifiers; every other sentence is 0.  A known
 sentence that holds an end itself ("free software: you can ...") stands as its parts, each with
 an identifier.  A licence rule is an ordered list of identifiers and matches where they follow
-one another in the text.  The identifiers of a text are spelled as one comma-separated string, in which
+one another in the text.
+
+A sentence ends at its marks and at blank lines.  A single line feed is a space within a known
+sentence and an end everywhere else: notices are recognised as published, wrapped at any width
+and behind comment marks without letters (#, *, //), and headings and one-line statements stay
+apart.  Where lines of their own spell a shorter known sentence than the wrapped text does,
+``licences`` counts both readings and ``sentence_ids`` has the longer one.
+
+The identifiers of a text are spelled as one comma-separated string, in which
 a rule is a substring, so recognition is a projection without shuffle or Python.
 
 Null texts are empty texts: no sentences, no licences.  Repeated rows each give a row.
@@ -69,6 +77,8 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 # A sentence ends at these marks before white space or the end, or at a line's end.
 _END = r"[.!?;:]+(?:[\x09-\x0D\x20]|\z)"
 _OTHER = r"[^\p{L}\p{N}\n]+"
+# What stands before the first letter or digit of a line: comment marks.
+_LEAD = r"(\A|\n)[^\p{L}\p{N}\n]+"
 
 
 def normalise(sentence: str) -> str:
@@ -115,11 +125,24 @@ def rule_texts(rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> list[t
     return [(name, "," + ",".join(str(known[normalise(s)]) for s in sentences) + ",") for name, sentences in rules]
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text that have a letter or digit."""
-    marked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _END, "\n")
-    spaced = F.regexp_replace(marked, _OTHER, " ")
-    return F.filter(F.transform(F.split(spaced, "\n"), lambda s: F.trim(s)), lambda s: s != "")
+def spaced(text: Column) -> Column:
+    """The normalised words of a text: one line feed where a line ends, more where a sentence does."""
+    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _LEAD, "$1")
+    marked = F.regexp_replace(bare, _END, "\n\n")
+    words = F.regexp_replace(F.regexp_replace(marked, _OTHER, " "), " ?\n ?", "\n")
+    return F.concat(F.lit("\n"), words, F.lit("\n"))
+
+
+def unwrapped(words: Column) -> Column:
+    """``spaced`` words with every known sentence on one line, longer sentences first."""
+    for known in sorted(part_ids(), key=len, reverse=True):
+        words = F.regexp_replace(words, rf"(?<=\n){known.replace(' ', r'[ \n]')}(?=\n)", known)
+    return words
+
+
+def sentences(words: Column) -> Column:
+    """The normalised sentences of ``spaced`` words that have a letter or digit."""
+    return F.filter(F.transform(F.split(words, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -131,12 +154,23 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     known = F.create_map(*[F.lit(x) for pair in part_ids().items() for x in pair])
     names = ("n_sentences", "n_known", "sentence_ids", "licences")
     source, inner, kept = carried(docs, text_col, names)
-    ids = source.withColumn("s", sentences(F.col("text"))).withColumn(
-        "ids", F.transform("s", lambda s: F.coalesce(F.try_element_at(known, s), F.lit(0)).cast("string"))
-    )
-    spelled = F.when(F.size("ids") > 0, F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))).otherwise(F.lit(","))
-    line = ids.withColumn("line", F.regexp_replace(spelled, r"(,0)+(?=,)", ",0"))
-    hits = [F.when(F.contains("line", F.lit(run)), F.lit(name)) for name, run in part_rules()]
+
+    def found(s: str) -> Column:
+        return F.transform(s, lambda s: F.coalesce(F.try_element_at(known, s), F.lit(0)).cast("string"))
+
+    def spelled(ids: str) -> Column:
+        listed = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
+        return F.regexp_replace(F.when(F.size(ids) > 0, listed).otherwise(F.lit(",")), r"(,0)+(?=,)", ",0")
+
+    words = source.withColumn("words", spaced(F.col("text"))).withColumn("joined", unwrapped(F.col("words")))
+    cut = words.withColumn("s", sentences(F.col("joined"))).withColumn("ids", found("s"))
+    # the lines alone differ only where a sentence was joined
+    lined = F.when(F.col("words") == F.col("joined"), F.col("ids")).otherwise(found(sentences(F.col("words"))))
+    line = cut.withColumn("lined", lined).withColumn("line", spelled("ids")).withColumn("by_lines", spelled("lined"))
+    hits = [
+        F.when(F.contains("line", F.lit(run)) | F.contains("by_lines", F.lit(run)), F.lit(name))
+        for name, run in part_rules()
+    ]
     return line.select(
         *restored(inner, kept),
         F.size("s").cast("long").alias("n_sentences"),

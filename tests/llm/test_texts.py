@@ -1,6 +1,7 @@
 """BPE, quality rules, secrets, licences, the classifier and the language model."""
 
 import hashlib
+import textwrap
 
 import numpy as np
 import plain
@@ -154,6 +155,35 @@ def test_each_rule_recognises_its_own_text(spark):
         assert r["rule"] in r["licences"].split(","), r["text"]
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", ";; "])
+@pytest.mark.parametrize("width", [40, 70, 80])
+def test_wrapped_and_commented_notices(spark, mark, width):
+    def wrapped(*paragraphs):
+        blocks = ["\n".join(mark + line for line in textwrap.wrap(p, width)) for p in paragraphs]
+        return f"\n{mark.rstrip()}\n".join(blocks)
+
+    bsd = f"{licences.BSD_GRANT}:"
+    named = {
+        "MIT": ["MIT License", "Copyright (c) 2020 A. Person", f"{licences.MIT_GRANT}:", f"{licences.MIT_NOTICE}."],
+        "BSD": ["Copyright 2020. All rights reserved.", bsd, "1. Redistributions of source code must retain the notice."],
+        "ISC": ["Copyright 2020 A. Person", f"{licences.ISC_GRANT}."],
+        "GPL-3.0-or-later": ["A program to do things", f"{licences.GPL_GRANT}."],
+    }
+    rows = [(i, wrapped(*p) + "\nimport os", name) for i, (name, p) in enumerate(named.items())]
+    # a heading right above the notice, windows line ends, a one-line statement between other lines
+    rows.append((10, f"{mark}Copyright 2020 A. Person\n{wrapped(bsd)}\n{mark}more", "BSD"))
+    rows.append((11, wrapped(*named["MIT"]).replace("\n", "\r\n"), "MIT"))
+    rows.append((12, f"{mark}Title\n{mark}Released under the MIT License\n{mark}by A. Person", "MIT"))
+    rows.append((13, f'{mark}Licensed under the Apache License, Version 2.0\n{mark}(the "License"); see below', "Apache-2.0"))
+    # a blank line or a mark inside is an end
+    rows.append((14, licences.BSD_GRANT.replace("forms, with", f"forms\n{mark.rstrip()}\nwith"), ""))
+    rows.append((15, wrapped(licences.BSD_GRANT.replace("forms, with", "forms. With")), ""))
+    out = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string, rule string"))
+    for r in out.collect():
+        assert r["licences"] == r["rule"], r["text"]
+        assert (r["n_known"] > 0) == (r["rule"] != "")
+
+
 def test_classifier_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").withColumnRenamed("quality", "label")
