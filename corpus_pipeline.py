@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm import line_crf, secrets
 from tallyweave.llm.bpe import encode_documents
+from tallyweave.llm.components import components
 from tallyweave.llm.decontaminate import decontaminate
 from tallyweave.llm.near_dups import near_duplicates
 from tallyweave.llm.queries import labels, vocabulary
@@ -27,12 +28,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its component, once; documents without an id or an equal stay.
+    """Exactly one row of each group of near duplicates: that of the least doc_id, a row without an id last.
 
-    A row without doc_id cannot name a component and goes.
+    A row is its doc_id and text, null included: rows equal in both are one, rows that share a
+    doc_id and differ in text are compared like any others.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    row = F.xxhash64("doc_id", "text", F.isnull("doc_id"), F.isnull("text"))
+    keyed = docs.withColumn("__row", row)
+    found = near_duplicates(keyed, "__row").where("NOT kept")
+    groups = components(found.select(F.col("__row").alias("a"), F.col("component_id").alias("b")))
+    path = shared_folder(spark, "near-groups")
+    groups.write.parquet(path)
+    groups = spark.read.parquet(path).withColumnRenamed("node", "__row")
+    order = F.struct(F.isnull("doc_id").alias("null"), "doc_id", "__row")
+    stay = (
+        keyed.select("doc_id", "__row").join(groups, "__row")
+        .groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.__row").alias("__row"))
+    )
+    gone = groups.select("__row").join(stay, "__row", "left_anti")
+    return keyed.join(gone, "__row", "left_anti").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,6 +46,19 @@ def test_one_of_each_group_stays(tables):
     assert set(tables[2]) == {d for d, _, _, kept in plain.near_duplicates(texts(tables[1])) if kept}
 
 
+def test_one_row_of_each_group_stays_with_and_without_ids(spark):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:100], "other", *words[101:]])
+    rows = [(1, "one clean text"), (None, "a clean text without an id"), (2, " ".join(words)), (2, near), (None, near)]
+    rows += [(None, "all of these rows lack an id")] * 2 + [(None, None), (3, None), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()]
+    of_two = [r for r in kept if r[1] in (near, " ".join(words))]
+    assert len(of_two) == 1 and of_two[0][0] == 2
+    rest = {r for r in rows if r[1] not in (near, " ".join(words))}
+    assert sorted(kept, key=repr) == sorted([*rest, *of_two], key=repr)
+
+
 def test_contaminated_documents_go(spark, tables):
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     assert set(tables[3]) == {d for d, _, hit, _ in plain.contamination(texts(tables[2]), items) if not hit}
