@@ -8,6 +8,7 @@ last stage adds token ids.  All stages but the last return the columns of their
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,13 @@ from tallyweave.llm import line_crf, secrets
 from tallyweave.llm.bpe import encode_documents
 from tallyweave.llm.components import components
 from tallyweave.llm.decontaminate import decontaminate
-from tallyweave.llm.near_dups import near_duplicates
+from tallyweave.llm.near_dups import PERCENT, SHINGLE, near_duplicates
 from tallyweave.llm.queries import labels, vocabulary
 from tallyweave.session import shared_folder
 
+# Near duplicates by (words of a shingle, percent): neither rule finds all that the other does.
+NEAR = ((SHINGLE, PERCENT), (5, 80))
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose base rules hold and whose words stand mostly in content lines."""
@@ -31,12 +35,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one row of each group of near duplicates: that of the least doc_id, a row without an id last.
 
     A row is its doc_id and text, null included: rows equal in both are one, rows that share a
-    doc_id and differ in text are compared like any others.
+    doc_id and differ in text are compared like any others.  Rows link by either rule of ``NEAR``,
+    and a group is what links of both connect.
     """
     row = F.xxhash64("doc_id", "text", F.isnull("doc_id"), F.isnull("text"))
     keyed = docs.withColumn("__row", row)
-    found = near_duplicates(keyed, "__row").where("NOT kept")
-    groups = components(found.select(F.col("__row").alias("a"), F.col("component_id").alias("b")))
+    found = [near_duplicates(keyed, "__row", percent=p, width=w).where("NOT kept") for w, p in NEAR]
+    edges = [f.select(F.col("__row").alias("a"), F.col("component_id").alias("b")) for f in found]
+    groups = components(reduce(DataFrame.union, edges))
     path = shared_folder(spark, "near-groups")
     groups.write.parquet(path)
     groups = spark.read.parquet(path).withColumnRenamed("node", "__row")

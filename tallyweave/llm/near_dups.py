@@ -1,6 +1,6 @@
 """Near-duplicate documents: a MinHash signature-coordinate inverted join, confirmed on full sets.
 
-A document's set is its distinct runs of ``SHINGLE`` words.  Two documents link when the
+A document's set is its distinct runs of ``width`` words.  Two documents link when the
 Jaccard similarity of their sets is at least ``percent``; a component is what links connect.
 
 1. Documents of equal sets form a class; classes take the place of documents from here on.
@@ -79,23 +79,26 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return mix(out + _FACTORS[None, :])
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = texts(batch.column(1))
-        for first, last in chunks(offsets):
-            own = offsets[first : last + 1] - offsets[first]
-            sets = shingle_sets(data[offsets[first] : offsets[last]], own)
-            some = [s for s in sets if len(s)]
-            pairs = iter(signatures(some).view(np.int64)) if some else iter(())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(first, last - first),
-                    pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([next(pairs) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["id", "class", "n", "pairs"],
-            )
+def _describe(width: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = texts(batch.column(1))
+            for first, last in chunks(offsets):
+                own = offsets[first : last + 1] - offsets[first]
+                sets = shingle_sets(data[offsets[first] : offsets[last]], own, width)
+                some = [s for s in sets if len(s)]
+                pairs = iter(signatures(some).view(np.int64)) if some else iter(())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first),
+                        pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([next(pairs) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["id", "class", "n", "pairs"],
+                )
+
+    return work
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -235,7 +238,12 @@ def _confirm(percent: int):
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, block: int = BLOCK
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    block: int = BLOCK,
+    width: int = SHINGLE,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row; kept rows are named like their component.
 
@@ -246,7 +254,7 @@ def near_duplicates(
     path = shared_folder(spark, "near-dups")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    source.mapInArrow(_describe, f"id {id_type}, class long, n long, pairs array<long>").write.parquet(f"{path}/rows")
+    source.mapInArrow(_describe(width), f"id {id_type}, class long, n long, pairs array<long>").write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     (
         rows.where("n > 0")
@@ -309,7 +317,7 @@ def near_duplicates(
             data, offsets = texts(batch.column(0))
             for first, last in chunks(offsets):
                 own = offsets[first : last + 1] - offsets[first]
-                sets = [s for s in shingle_sets(data[offsets[first] : offsets[last]], own) if len(s)]
+                sets = [s for s in shingle_sets(data[offsets[first] : offsets[last]], own, width) if len(s)]
                 if not sets:
                     continue
                 names = np.array([class_of(s) for s in sets], np.int64)

@@ -59,6 +59,18 @@ def test_one_row_of_each_group_stays_with_and_without_ids(spark):
     assert sorted(kept, key=repr) == sorted([*rest, *of_two], key=repr)
 
 
+def test_either_rule_finds_near_duplicates(spark):
+    first = [f"w{i}" for i in range(400)]
+    longer = first + [f"new{i}" for i in range(82)]  # similarity 0.83 by three or five words
+    second = [f"v{i}" for i in range(400)]
+    edited = [f"edit{i}" if i % 40 == 20 else w for i, w in enumerate(second)]  # 0.86 by three words, 0.78 by five
+    apart = [f"u{i}" for i in range(400)]
+    grown = apart + [f"more{i}" for i in range(110)]  # below 0.80 by either
+    rows = list(enumerate(" ".join(t) for t in (first, longer, second, edited, apart, grown)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0] for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()} == {0, 2, 4, 5}
+
+
 def test_contaminated_documents_go(spark, tables):
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     assert set(tables[3]) == {d for d, _, hit, _ in plain.contamination(texts(tables[2]), items) if not hit}
