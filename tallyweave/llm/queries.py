@@ -12,6 +12,7 @@ from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets
 from tallyweave.llm.bpe import encode_documents
 from tallyweave.llm.decontaminate import decontaminate
 from tallyweave.llm.near_dups import near_duplicates
+from tallyweave.llm.squares import periodic_runs
 from tallyweave.llm.substrings import remove_repeats
 from tallyweave.llm.suffixes import remove_repeated_bytes
 from tallyweave.session import shared_folder
@@ -183,3 +184,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = labels(spark, sf_dir).groupBy("doc_id").agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("good"))
     target = docs.join(marks.where("good").hint("merge"), "doc_id", "left_semi")
     return ngram_lm.score_documents(docs, target).drop("text")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` where each tenth text, by a hash of its id, ends in repetitions of some of its words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    g, n, a = (F.col(c) for c in ("g", "n", "a"))
+    cut = cut.withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("words").cast("long")})
+    cut = cut.withColumn("a", F.when(n > 0, g % n)).withColumn("p", 1 + F.floor((n - a) / (3 + g % 8)))
+    period = F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int"))
+    tail = F.flatten(F.array_repeat(period, F.ceil((n - a) / F.col("p")).cast("int")))
+    whole = F.concat(
+        F.slice("words", F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int"))
+    )
+    text = F.when(n > 0, F.array_join(whole, " ")).otherwise(F.col("text"))
+    return cut.select("doc_id", text.alias("text"))
+
+
+@query("op11_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted(documents(spark, sf_dir).select("doc_id", "text"))
+    found = periodic_runs(docs, with_text=False)
+    best = F.col("greatest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * greatest.length div greatest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )

@@ -69,6 +69,11 @@ _POWERS = {base: _Powers(base) for base in _BYTE_BASES + _WORD_BASES}
 _BYTE_VALUES = [mix(np.arange(1, 257, dtype=U64) * U64(base)) for base in _BYTE_BASES]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a base modulo 2^64, and of its inverse."""
+    return _POWERS[_WORD_BASES[0]].upto(n)
+
+
 def _prefix(values: np.ndarray, base: int) -> np.ndarray:
     out = np.zeros(len(values) + 1, U64)
     np.cumsum(values * _POWERS[base].upto(len(values))[0], out=out[1:])

@@ -163,3 +163,31 @@ def gram_losses(docs: list[tuple[str | None, bool]], order: int = 4, strength: f
         return sums[0], sums[1]
 
     return loss
+
+
+def runs(own: list, exponent: int, length: int) -> list[tuple[int, int, int]]:
+    """(start, length, period) by the definition: least period, no neighbour extends it."""
+    found = []
+    for period in range(1, len(own) // exponent + 1):
+        start = 0
+        while start + period < len(own):
+            stop = start
+            while stop + period < len(own) and own[stop] == own[stop + period]:
+                stop += 1
+            size = stop - start + period
+            if size >= max(length, exponent * period):
+                part = own[start : start + size]
+                if not any(part[p:] == part[:-p] for p in range(1, period)):
+                    found.append((start, size, period))
+            start = stop + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def greatest_run(found: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
+    from fractions import Fraction
+
+    return min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+
+
+def collapsed(own: list[str], found: list[tuple[int, int, int]]) -> list[str]:
+    return [w for i, w in enumerate(own) if not any(s + p <= i < s + n for s, n, p in found)]
