@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets
+from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets, whitening
 from tallyweave.llm.bpe import encode_documents
 from tallyweave.llm.decontaminate import decontaminate
 from tallyweave.llm.near_dups import near_duplicates
@@ -219,3 +219,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         "collapsed_sha256",
     )
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long, as from some 10^8 vectors on, is null; ``whiten`` itself has it as a decimal."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.fit(vectors))
+    return found.select(
+        "vec_id",
+        "component",
+        "n",
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
