@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets, whitening
+from tallyweave.llm import compression, licences, line_crf, ngram_lm, secrets, toxicity, whitening
 from tallyweave.llm.bpe import encode_documents
 from tallyweave.llm.decontaminate import decontaminate
 from tallyweave.llm.near_dups import near_duplicates
@@ -221,6 +221,20 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    learned = labels(spark, sf_dir).where(fold != 0).withColumnRenamed("toxic", "label")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, learned))
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deviation beyond a long, as from some 10^8 vectors on, is null; ``whiten`` itself has it as a decimal."""

@@ -15,7 +15,8 @@ separators, and frequent words of clean documents; the Nyström map K(., L) K(L,
 machine linear.  As the kernel is a sum over subsequences, a trained machine folds into
 one weight for each of the 2^20 subsequences: scoring is 20 look-ups for each symbol, exactly
 the kernel expansion over the landmarks.  A logistic curve on labelled documents kept from
-training turns a document's best window into a score.
+training, and on copies of some toxic ones with a letter put into their best window, turns a
+document's best window into a score.
 
 Training takes a bounded sample (``FitLimits``); scoring reads every row whole where it is, without a
 shuffle, some hundred bytes in memory for each character of a chunk or of one longer text.  Nulls
@@ -42,11 +43,13 @@ from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.compression import fit_logistic
 from tallyweave.llm.samples import labelled_sample
 
-LENGTH, SPAN, DECAY = 4, 7, 0.85
-WINDOW = 12
+LENGTH, SPAN, DECAY = 4, 7, 0.75
+WINDOW = 9
 BITS = 5  # of a symbol
 #: standard errors by which a marking string is more frequent in toxic texts; symbols of the longest beginning
 STANDS_OUT, LONGEST = 4.5, 8
+#: toxic texts to one disguised copy when the curve is fitted
+DISGUISED = 5
 #: symbols of a step of scoring
 STEP = 1 << 17
 
@@ -375,6 +378,19 @@ def fit(
     return fit_texts(sample[0], sample[1], limits)
 
 
+def _disguised(sentences: Sentences, weights: np.ndarray) -> np.ndarray:
+    """The weight of the best window of every ``DISGUISED``-th text with a letter put in: so much the curve has to allow for."""
+    draw = np.random.default_rng(11)
+    sums = sentences.sums(weights)
+    out = []
+    rows = list(zip(sentences.rows[:-1].tolist(), sentences.rows[1:].tolist()))
+    for first, last in rows[::DISGUISED]:
+        at = first + int(sums[first:last].argmax())
+        for variant in _variants(sentences.symbols[at : at + WINDOW], draw)[:1]:
+            out.append(sum(w * float(weights[k]) for k, w in features(variant, WINDOW).items()))
+    return np.array(out)
+
+
 def fit_texts(clean: list[str], toxic: list[str], limits: FitLimits = FitLimits()) -> ToxicityModel:
     if not clean or not toxic:
         return NOTHING
@@ -386,8 +402,9 @@ def fit_texts(clean: list[str], toxic: list[str], limits: FitLimits = FitLimits(
     weights = train(*taken, limits)
     if not weights.any():
         return NOTHING
-    margins = [Sentences(texts).best(weights) for texts in rest]
-    y = np.repeat([0.0, 1.0], [len(m) for m in margins])
+    low, high = (Sentences(texts) for texts in rest)
+    margins = [low.best(weights), high.best(weights), _disguised(high, weights)]
+    y = np.repeat([0.0, 1.0, 1.0], [len(m) for m in margins])
     slope, offset = fit_logistic(np.concatenate(margins)[:, None], y)
     return ToxicityModel(weights, slope, offset)
 
