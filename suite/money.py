@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suite.fixtures import CUTOFF
 from suite.registry import Tables, query
 from tallyweave.operators import money
+from tallyweave.plans import money_days
+from tallyweave.session import shared_folder
 from tallyweave.sources.tables import stage
 from tallyweave.plans.money import clear_pending_orders, money_day, settle_cleared
 
@@ -235,3 +239,64 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return day(t)["settlements"]
+
+
+# --- tables kept by day ----------------------------------------------------------------------------------
+
+# Orders are dated by quarter.  The even ones come first and are settled by the first run, a day later the others.
+_RUNS = [datetime.datetime.fromisoformat(CUTOFF), datetime.datetime.fromisoformat(CUTOFF) + datetime.timedelta(days=1)]
+
+
+def by_day(t: Tables) -> str:
+    """The folder of the tables after both runs."""
+    root, items = shared_folder(t.spark, "money"), t["mod_profit_share_item"]
+    rows = stage(
+        clear_pending_orders(
+            t["mod_order"], t["mod_trace_code"], t["mod_broker"], t["mod_profit_share_scheme"], items,
+            F.date_trunc("quarter", "order_time"),
+        ),
+        "clearing",
+    )
+    money_days.add_settlements(root, t["mod_settlement"], "before")
+    for odd, as_of in enumerate(_RUNS):
+        money_days.add_clearing(t.spark, root, rows.where(F.col("order_id").cast("bigint") % 2 <= odd))
+        money_days.settle_days(t.spark, root, items, _RUNS[0], as_of)
+    return root
+
+
+_QUARTERS = f"""SELECT * REPLACE (date_trunc('quarter', create_date) AS create_date),
+      status_clear = 'cleared' AND date_trunc('quarter', create_date) < CAST('{CUTOFF}' AS TIMESTAMP) AS due,
+      mod(CAST(order_id AS BIGINT), 2) AS odd FROM mod_clearing"""
+
+
+@query(
+    "settle_days_clearing",
+    "mod_clearing",
+    f"""SELECT * EXCLUDE (due, odd) REPLACE (CAST(create_date AS TIMESTAMP) AS create_date,
+      CASE WHEN due THEN 'settled' ELSE status_settle END AS status_settle,
+      CASE WHEN due THEN CAST('{CUTOFF}' AS TIMESTAMP) + to_days(CAST(odd AS INT)) ELSE CAST(create_date AS TIMESTAMP) END AS update_date)
+    FROM ({_QUARTERS}) q""",
+)
+def _(t: Tables) -> DataFrame:
+    return money_days.read_clearing(t.spark, by_day(t)).drop("day")
+
+
+@query(
+    "settle_days_settlements",
+    "mod_clearing mod_profit_share_item mod_settlement",
+    f"""WITH quarters AS ({_QUARTERS}),
+    sums AS (SELECT q.beneficiary AS broker_id, CAST(CAST(q.create_date AS DATE) AS VARCHAR) AS day, i.beneficiary AS type, odd,
+        sum(amount_profit) AS amount
+      FROM quarters q JOIN mod_profit_share_item i ON i.id = q.scheme_item_id WHERE due
+      GROUP BY q.beneficiary, q.create_date, i.beneficiary, odd),
+    known AS (SELECT broker_id, left(voucher, 10) AS day, type, count(*) AS n FROM mod_settlement GROUP BY ALL),
+    numbered AS (SELECT s.*, coalesce(k.n, 0) + row_number() OVER (PARTITION BY s.broker_id, s.day, s.type ORDER BY odd) AS n
+      FROM sums s LEFT JOIN known k USING (broker_id, day, type)),
+    named AS (SELECT *, day || '-' || type || CASE WHEN n > 1 THEN '-' || n ELSE '' END AS voucher,
+        CAST('{CUTOFF}' AS TIMESTAMP) + to_days(CAST(odd AS INT)) AS moment FROM numbered)
+    SELECT * FROM mod_settlement UNION ALL BY NAME
+    SELECT md5(broker_id || '-' || voucher) AS id, broker_id, voucher, type, CAST(amount AS DECIMAL(28,2)) AS amount,
+      'settled' AS status, moment AS create_date, moment AS update_date FROM named""",
+)
+def _(t: Tables) -> DataFrame:
+    return money_days.read_settlements(t.spark, by_day(t)).drop("month", "run")

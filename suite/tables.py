@@ -10,6 +10,7 @@ from tallyweave.operators import tasks, upsert
 from tallyweave.operators.recommend import recommendation_tasks
 from tallyweave.session import shared_folder
 from tallyweave.sources import documents, messages
+from tallyweave.sources.parts import add_to_parts, bucket_of
 from tallyweave.sources.tables import read_table, write_table
 
 LABEL = ["property", "value"]
@@ -38,14 +39,13 @@ PROPERTY_KEYS = ["property", "userKey", "value"]
 _ROWS = "SELECT property, userKey, value FROM user_flat"
 
 
-@query(
-    "insert_or_bump_revision",
-    "user_flat",
-    f"""SELECT property, userKey, value, CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN 'ready' ELSE 'pending' END AS status,
+_BUMPED = f"""SELECT property, userKey, value, CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN 'ready' ELSE 'pending' END AS status,
        CAST(CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN 5 ELSE 0 END
          + CASE WHEN mod(CAST(userKey AS BIGINT), 3) = 0 THEN 2 ELSE 1 END AS INT) AS revision
-    FROM ({_ROWS}) r""",
-)
+    FROM ({_ROWS}) r"""
+
+
+@query("insert_or_bump_revision", "user_flat", _BUMPED)
 def _(t: Tables) -> DataFrame:
     rows = t["user_flat"].select(*PROPERTY_KEYS)
     number = F.col("userKey").cast("bigint")
@@ -54,6 +54,19 @@ def _(t: Tables) -> DataFrame:
     return upsert.insert_or_bump_revision(target, new, PROPERTY_KEYS)
 
 
+# The same target kept in parts: the even users first, then the change.
+@query("insert_or_bump_in_parts", "user_flat", _BUMPED)
+def _(t: Tables) -> DataFrame:
+    rows = t["user_flat"].select(*PROPERTY_KEYS)
+    number = F.col("userKey").cast("bigint")
+    target = rows.where(number % 2 == 0).select("*", F.lit("ready").alias("status"), F.lit(5).alias("revision"))
+    new = rows.union(rows.where(number % 3 == 0)).withColumn("status", F.lit("pending"))
+    path = shared_folder(t.spark, "kept-rows")
+    add_to_parts(target.withColumn("bucket", bucket_of(PROPERTY_KEYS, 8)), path, ["bucket"])
+    upsert.bump_in_parts(t.spark, path, target.schema, new, PROPERTY_KEYS, buckets=8)
+    return t.spark.read.schema(target.schema).parquet(path).drop("bucket")
+
+
 @query(
     "update_from",
     "user_property user_value",

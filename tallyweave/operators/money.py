@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import blank, digest
+from tallyweave.operators.upsert import one_row_per_key
 from tallyweave.schemas import MONEY, SHARE
 
 # Fixed values.
@@ -210,6 +213,15 @@ def base_voucher(date: Column, type_: Column) -> Column:
     return F.concat(date.cast("string"), F.lit("-"), type_)
 
 
+def voucher_month() -> Column:
+    """The month of a settlement row's voucher, which begins with its day."""
+    return F.substring("voucher", 1, 7)
+
+
+def months_of(days: list[datetime.date]) -> list[str]:
+    return sorted({day.strftime("%Y-%m") for day in days})
+
+
 def unsettled_groups(summary: DataFrame) -> DataFrame:
     """Groups whose rule item has no kind: they get no voucher and their rows stay pending."""
     return summary.where(F.col("type").isNull())
@@ -257,14 +269,17 @@ def settle(vouchers: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def mark_settling(
-    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column, as_of: Column | None = None
+    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column | None, as_of: Column | None = None
 ) -> DataFrame:
-    """Payable rows of the summed groups go from ``pending`` to ``settling``."""
+    """Payable rows of the summed groups go from ``pending`` to ``settling``.
+
+    ``summary`` has one row per beneficiary, day and kind, as ``settlement_summary`` gives it.
+    """
     return _move(clearing, summary, items, cutoff, "pending", "settling", as_of)
 
 
 def mark_settled(
-    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column, as_of: Column | None = None
+    clearing: DataFrame, summary: DataFrame, items: DataFrame, cutoff: Column | None, as_of: Column | None = None
 ) -> DataFrame:
     """Rows of the summed groups go from ``settling`` to ``settled``."""
     return _move(clearing, summary, items, cutoff, "settling", "settled", as_of)
@@ -274,24 +289,22 @@ def _move(
     clearing: DataFrame,
     summary: DataFrame,
     items: DataFrame,
-    cutoff: Column,
+    cutoff: Column | None,
     old: str,
     new: str,
     as_of: Column | None,
 ) -> DataFrame:
-    # Groups are matched by rule item, so the item table meets the groups and not the clearing rows.
-    kinds = items.select(F.col("id").alias("scheme_item_id"), F.col("beneficiary").alias("type"))
-    groups = (
-        summary.drop("scheme_item_id")
-        .join(kinds, "type")
-        .select("beneficiary", F.col("date").alias("__day"), "scheme_item_id")
-        .distinct()
-        .withColumn("__hit", F.lit(True))
+    # a row gets its kind from the item table, which is configuration, and meets the groups on their own key
+    kinds = one_row_per_key(
+        items.select(F.col("id").alias("scheme_item_id"), F.col("beneficiary").alias("__type")), ["scheme_item_id"]
+    )
+    groups = summary.where(F.col("type").isNotNull()).select(
+        "beneficiary", F.col("date").alias("__day"), F.col("type").alias("__type"), F.lit(True).alias("__hit")
     )
     # rows that cannot move pass by: they are neither shuffled nor matched
     due = F.coalesce(_payable(clearing, cutoff, old), F.lit(False))
     flagged = clearing.where(due).withColumn("__day", F.to_date("create_date"))
-    joined = flagged.join(groups, ["beneficiary", "__day", "scheme_item_id"], "left")
+    joined = flagged.join(kinds, "scheme_item_id", "left").join(groups, ["beneficiary", "__day", "__type"], "left")
     stamp = F.current_timestamp() if as_of is None else as_of
     values = {"status_settle": F.lit(new), "update_date": stamp}
     moved = joined.select(

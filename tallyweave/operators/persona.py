@@ -44,7 +44,9 @@ def score_hierarchy(
 def score_phase(
     user_persona: DataFrame, property_: DataFrame, evaluation: DataFrame, phases: DataFrame, limit: int = MAX_SCRIPTS
 ) -> DataFrame:
-    return score_personas(user_persona, property_, evaluation, {"scorePhase": (phases, "expression", "phaseId")})
+    return score_personas(
+        user_persona, property_, evaluation, {"scorePhase": (phases, "expression", "phaseId")}, limit
+    )
 
 
 def score_persona(

@@ -8,9 +8,11 @@ target is scanned but not shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyweave.sources.parts import BUCKETS, bucket_of, finish_rewrite, read_parts, rewrite_parts
 from tallyweave.sources.tables import stage
 
 
@@ -81,6 +83,51 @@ def insert_or_bump_revision(
     return bumped.unionByName(added, allowMissingColumns=True)
 
 
+def bump_in_parts(
+    spark: SparkSession,
+    path: str,
+    layout: T.StructType,
+    new: DataFrame,
+    keys: list[str],
+    defaults: dict[str, Column] | None = None,
+    first_revision: int = 1,
+    buckets: int = BUCKETS,
+) -> list[int]:
+    """``insert_or_bump_revision`` on a table kept in ``bucket`` parts at ``path``; returns the parts rewritten.
+
+    Parts without a key of ``new`` are neither read nor written, the others are read once and
+    meet the change in one join.  ``layout`` is the table's, without the bucket;
+    ``buckets`` is set by the first write.
+    """
+    finish_rewrite(spark, path, ["bucket"])
+    table = read_parts(spark, path, T.StructType([*layout.fields, T.StructField("bucket", T.IntegerType())]))
+    counted = one_row_per_key(new.drop("revision"), keys, count_as="__n").withColumns(defaults or {})
+    fresh = stage(counted.withColumn("bucket", bucket_of(keys, buckets)), "upsert")
+    touched = sorted(r["bucket"] for r in fresh.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    old = table.where(F.col("bucket").isin(touched)).withColumn("__old", F.lit(True)).alias("o")
+    change = fresh.alias("f")
+    same = F.col("o.bucket") == F.col("f.bucket")
+    for key in keys:
+        same = same & F.col(f"o.{key}").eqNullSafe(F.col(f"f.{key}"))
+    joined = old.join(change, same, "full_outer")
+    times = F.coalesce(F.col("f.__n"), F.lit(0))
+
+    def value(field: T.StructField) -> Column:
+        c = field.name
+        own = F.col(f"o.{c}")
+        if c == "revision":
+            added = F.lit(first_revision - 1) + times
+            return F.when(F.col("__old"), own + times).otherwise(added).cast(field.dataType).alias(c)
+        other = F.col(f"f.{c}") if c in fresh.columns else F.lit(None)
+        return F.when(F.col("__old"), own).otherwise(other).cast(field.dataType).alias(c)
+
+    bucket = F.coalesce("o.bucket", "f.bucket").alias("bucket")
+    rewrite_parts(joined.select(*[value(f) for f in layout.fields], bucket), path, ["bucket"])
+    return touched
+
+
 def update_from(
     target: DataFrame,
     updates: DataFrame,

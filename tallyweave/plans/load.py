@@ -14,7 +14,7 @@ TASK_KEYS = {
     "evaluation": ["evaluation", "type"],
     "evaluation_measure": ["evaluation", "dimension", "type"],
 }
-QUERY_KEYS = ["userKey", "subType", "field"]
+QUERY_KEYS = ["userKey", "category", "subType", "field"]
 _TABLE = {"item": "{}", "user": "user_{}"}
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,4 +46,38 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     A session that names none has its warehouse, which driver and executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/steps"
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def steps_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that ``shared_folder`` names inside, once all that reads them has been written.
+
+    A step that fails leaves its folders, so that what went wrong can be looked at.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+    for path in made:
+        remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store, if there is one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the shared store has this folder or file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -49,8 +49,9 @@ def write_table(
     root for each version.  ``by`` lists partition columns for later pruning.
     """
     if jdbc is not None:
-        # a snapshot takes the place of the last one; truncating keeps the table's own layout
-        writer = df.write.format("jdbc").options(**jdbc).option("dbtable", name).option("truncate", "true")
+        # a snapshot takes the place of the last one; truncating keeps the table's own layout.  The rows may
+        # come from that very table, which is emptied first: so they are written down before
+        writer = stage(df, "snapshot").write.format("jdbc").options(**jdbc).option("dbtable", name).option("truncate", "true")
         writer.mode("overwrite").save()
         return
     if root is None:
