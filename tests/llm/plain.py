@@ -92,11 +92,11 @@ def contamination(docs: Rows, items: Rows, width: int = 10) -> Rows:
     return out
 
 
-def near_duplicates(docs: Rows, percent: int = 85) -> Rows:
+def near_duplicates(docs: Rows, width: int = 3, percent: int = 85) -> Rows:
     sets = []
     for _, text in docs:
         own = words(lower(text))
-        sets.append(set(windows(own, min(3, len(own)))) if own else set())
+        sets.append(set(windows(own, min(width, len(own)))) if own else set())
     root = list(range(len(docs)))
 
     def find(x: int) -> int:
