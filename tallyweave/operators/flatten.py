@@ -11,11 +11,14 @@ text is parsed by the JVM in one go.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FAST_LEVELS = 4
 _LIST_TEXT_LEVELS = 1
+_LONG_DIGITS = 18
 BACKSLASH = r"\\"
 
 
@@ -30,15 +33,18 @@ def _is_container(v: str) -> str:
 
 
 def _scalar_text(v: str, kind: str) -> str:
-    return f"""CASE WHEN {kind} = 'STRING' THEN CAST({v} AS string)
-            WHEN {kind} LIKE 'DECIMAL%' THEN CAST(CAST({v} AS double) AS string) ELSE CAST({v} AS string) END"""
+    """Numbers keep their digits: whole ones written with a fraction (``1.0``) are decimals without a scale,
+    which integers of up to ``_LONG_DIGITS`` digits never are."""
+    text = f"CAST({v} AS string)"
+    whole = f"{kind} LIKE 'DECIMAL%,0)' AND length(replace({text}, '-', '')) <= {_LONG_DIGITS}"
+    return f"CASE WHEN {whole} THEN concat({text}, '.0') ELSE {text} END"
 
 
 def _value_text(v: str, kind: str, level: int = 0) -> str:
     """Text of a value that is not opened: lists as ``[a, b]``, objects as ``{k=v}``, null as ``null``.
 
-    ``kind`` is the value's ``schema_of_variant``.  Fractions are printed as the
-    double they are (``1.0``, ``2.5``).  The outermost lists are written in place, whatever
+    ``kind`` is the value's ``schema_of_variant``.  Fractions are printed with their digits
+    (``1.0``, ``2.5``, ``12345678.5``), without zeros at their end.  The outermost lists are written in place, whatever
     they hold is written piece by piece, at any depth and in the same format.
     """
     if level < _LIST_TEXT_LEVELS:
@@ -71,7 +77,7 @@ def _deep_text(v: str) -> str:
         concat(array({_piece("'['")}), flatten(transform(try_cast(n.v AS array<variant>),
           (e, i) -> array({_piece(comma)}, {_held("e")}))), array({_piece("']'")})))"""
     text = f"to_json({v})"
-    opened = _open_all(f"array({_held(v)})", f"{_count(text, '{')} + {_count(text, '[')}", pieces)
+    opened = _open_all(f"array({_held(v)})", _depth(text), pieces)
     scalar = _scalar_text("x.v", "schema_of_variant(x.v)")
     return f"array_join(transform({opened}, x -> coalesce(x.path, {scalar}, 'null')), '')"
 
@@ -89,7 +95,10 @@ def _node(path: str, v: str, opened: str) -> str:
 
 
 def _open_all(nodes: str, steps: str, children: str) -> str:
-    """Open the nodes up to ``steps`` times; ``children`` is the list of the children of ``n``."""
+    """Open the nodes level by level, up to ``steps`` levels; ``children`` is the list of the children of ``n``.
+
+    Every level goes over all nodes, so ``steps`` should be no more than the levels there are.
+    """
     return f"""aggregate(
         CASE WHEN {steps} > 0 THEN sequence(1, {steps}) ELSE CAST(array() AS array<int>) END,
         {nodes},
@@ -101,6 +110,14 @@ def _count(text: str, char: str) -> str:
     return f"(length({text}) - length(replace({text}, '{char}', '')))"
 
 
+def _depth(text: str) -> str:
+    """How deep brackets are nested in JSON text, those in its strings left out, in one pass over them."""
+    brackets = rf"""regexp_replace(regexp_replace({text}, '"(?:[^"\\\\]++|\\\\.)*+"', ''), '[^\\[\\]{{}}]+', '')"""
+    return f"""aggregate(split({brackets}, ''), named_struct('at', 0, 'most', 0), (s, c) -> CASE
+        WHEN c IN ('[', '{{') THEN named_struct('at', s.at + 1, 'most', greatest(s.most, s.at + 1))
+        WHEN c IN (']', '}}') THEN named_struct('at', s.at - 1, 'most', s.most) ELSE s END, s -> s.most)"""
+
+
 _INDEXED_CHILDREN = f"""coalesce(
     transform(map_entries(try_cast(n.v AS map<string,variant>)),
               e -> {_node(_child_path("n.path", "e.key"), "e.value", _is_container("e.value"))}),
@@ -117,19 +134,42 @@ def refused_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return docs.where(F.col(doc_col).isNotNull() & _parsed(doc_col).isNull())
 
 
-def readable_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """All other documents."""
-    return docs.where(F.col(doc_col).isNull() | _parsed(doc_col).isNotNull())
+# names of the two counts that ``Observation`` receives
+READ, REFUSED = "read", "refused"
+
 
+def parsed_documents(
+    docs: DataFrame, columns: list[str | Column], doc_col: str, counted: Observation | str | None = None
+) -> DataFrame:
+    """``columns`` and the parsed document ``__v`` of all documents but the refused ones.
 
-def flatten_documents(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") -> DataFrame:
+    Each document is parsed once.  ``counted`` receives how many documents were read and how many
+    of them refused, as they pass: an ``Observation`` in a batch, in a stream a name under which
+    each batch's progress holds both.
+    """
+    some = F.col(doc_col).isNotNull()
+    parsed = docs.select(*columns, _parsed(doc_col).alias("__v"), some.alias("__some"))
+    refused = F.col("__some") & F.col("__v").isNull()
+    counts = [
+        F.count(F.lit(1)).alias(READ),
+        F.coalesce(F.sum(refused.cast("long")), F.lit(0)).alias(REFUSED),
+    ]
+    # the counts also keep the condition below from being moved before the parse and parsed once more
+    seen = parsed.observe(counted or f"documents-{uuid.uuid4().hex}", *counts)
+    return seen.where(~refused).drop("__some")
+
+
+def flatten_documents(
+    docs: DataFrame, key_cols: list[str], doc_col: str = "doc", counted: Observation | str | None = None
+) -> DataFrame:
     """(property, value, *key_cols) for every leaf of every document.
 
     Object keys are joined by ``.``; objects in an array get their index
-    (``a.0.b``); an array of plain values is one value.  ``refused_documents`` give no rows.
+    (``a.0.b``); an array of plain values is one value.  ``refused_documents`` give no rows;
+    ``counted`` learns their number, see ``parsed_documents``.
     """
     tvf = docs.sparkSession.tvf
-    nodes = readable_documents(docs, doc_col).select(*key_cols, F.lit("").alias("__path"), _parsed(doc_col).alias("__v"))
+    nodes = parsed_documents(docs, [*key_cols, F.lit("").alias("__path")], doc_col, counted)
     held = F.expr(f"CASE WHEN {_is_container('__v')} THEN __v END")
     path = F.expr(
         f"CASE WHEN pos IS NULL THEN __path ELSE {_child_path('__path', 'coalesce(key, CAST(pos AS string))')} END"
@@ -140,15 +180,11 @@ def flatten_documents(docs: DataFrame, key_cols: list[str], doc_col: str = "doc"
         nodes = nodes.lateralJoin(tvf.variant_explode_outer(held.outer())).select(*keys, path, value)
     still = _is_container("__v")
     text = "to_json(__v)"
-    deep = _open_all(
-        f"array({_node('__path', '__v', 'true')})", f"{_count(text, '{')} + {_count(text, '[')}", _INDEXED_CHILDREN
-    )
-    spread = nodes.select(
-        *keys, "__path", "__v", F.explode_outer(F.expr(f"CASE WHEN {still} THEN {deep} END")).alias("__n")
-    )
-    leaves = spread.where(f"__n IS NOT NULL OR NOT {still}").select(
-        *keys, F.coalesce("__n.path", "__path").alias("property"), F.coalesce("__n.v", "__v").alias("__v")
-    )
+    deep = _open_all(f"array({_node('__path', '__v', 'true')})", _depth(text), _INDEXED_CHILDREN)
+    # every value passes through the list, so that no row carries the document it was opened from
+    value = f"array({_node('__path', '__v', 'false')})"
+    spread = nodes.select(*keys, F.explode(F.expr(f"CASE WHEN {still} THEN {deep} ELSE {value} END")).alias("__n"))
+    leaves = spread.select(*keys, F.col("__n.path").alias("property"), F.col("__n.v").alias("__v"))
     kinds = leaves.withColumn("__kind", F.schema_of_variant("__v"))
     return kinds.select("property", value_text("__v", "__kind").alias("value"), *keys)
 
@@ -172,20 +208,23 @@ _MERGED_CHILDREN = f"""coalesce(
     transform(try_cast(n.v AS array<variant>), e -> {_merged_node("n.path", "e")}))"""
 
 
-def flatten_merge(docs: DataFrame, key_cols: list[str], doc_col: str = "doc") -> DataFrame:
+def flatten_merge(
+    docs: DataFrame, key_cols: list[str], doc_col: str = "doc", counted: Observation | str | None = None
+) -> DataFrame:
     """Like ``flatten_documents``, with arrays merged and embedded JSON opened.
 
     Array elements share one path and the last value of a path wins; text that holds
     JSON is parsed again; nulls stay null.
     """
-    near = _open_all(f"array({_node("''", f'try_parse_json({doc_col})', 'true')})", str(FAST_LEVELS), _MERGED_CHILDREN)
-    opened = readable_documents(docs, doc_col).select(
-        *key_cols, doc_col, F.explode(F.array(F.expr(near))).alias("__n")
-    )
-    # every opened level has a bracket of its own in the text, or a backslash that hides one
-    levels = f"{_count(doc_col, '{')} + {_count(doc_col, '[')} + {_count(doc_col, BACKSLASH)}"
-    more = f"CASE WHEN exists(__n, x -> x.open) THEN {levels} ELSE 0 END"
-    full = _open_all("__n", more, _MERGED_CHILDREN)
+    near = _open_all(f"array({_node("''", "__v", "true")})", str(FAST_LEVELS), _MERGED_CHILDREN)
+    read = parsed_documents(docs, [*key_cols, F.col(doc_col).alias("__doc")], doc_col, counted)
+    # levels of the document itself, then those of documents in its strings: each of these has a bracket of
+    # its own in the text, or a backslash that hides one
+    own = _open_all("__n", f"CASE WHEN exists(__n, x -> x.open) THEN {_depth('__doc')} ELSE 0 END", _MERGED_CHILDREN)
+    read = read.select(*key_cols, "__doc", F.explode(F.array(F.expr(near))).alias("__n"))
+    opened = read.select(*key_cols, "__doc", F.explode(F.array(F.expr(own))).alias("__n"))
+    levels = f"{_count('__doc', '{')} + {_count('__doc', '[')} + {_count('__doc', BACKSLASH)}"
+    full = _open_all("__n", f"CASE WHEN exists(__n, x -> x.open) THEN {levels} ELSE 0 END", _MERGED_CHILDREN)
     kinds = f"transform({full}, n -> named_struct('path', n.path, 'v', n.v, 'kind', schema_of_variant(n.v)))"
     ordered = f"""array_sort(transform({kinds}, (n, i) -> named_struct('path', n.path, 'at', i,
         'value', CASE WHEN n.kind <> 'VOID' THEN {_value_text("n.v", "n.kind")} END)))"""

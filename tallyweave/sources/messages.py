@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyweave.operators.flatten import readable_documents
+from tallyweave.operators.flatten import parsed_documents
 
 # Fixed value.
 INDEX_TOPIC = "stuff"
 
 
-def compose_index_messages(docs: DataFrame) -> DataFrame:
+def compose_index_messages(docs: DataFrame, counted: Observation | str | None = None) -> DataFrame:
     """(key, value): the document as JSON with its key, and its title as tagging where that is missing.
 
-    Documents that are no JSON give no message; ``refused_documents`` lists them.
+    Documents that are no JSON give no message; ``refused_documents`` lists them and ``counted``
+    learns their number, see ``parsed_documents``.
     """
-    docs = readable_documents(docs)
-    fields = F.try_parse_json("doc").cast("map<string,variant>")
+    docs = parsed_documents(docs, ["_key"], "doc", counted)
+    fields = F.col("__v").cast("map<string,variant>")
     tagging = F.when(~F.is_variant_null(fields["tagging"]), fields["tagging"])
     own = F.map_filter(fields, lambda k, _: ~k.isin("_key", "tagging"))
     message = F.map_concat(

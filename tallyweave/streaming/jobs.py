@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyweave.operators.flatten import flatten_documents
+from tallyweave.operators.flatten import READ, REFUSED, flatten_documents
 from tallyweave.operators.money import (
     months_of,
     settle,
@@ -29,6 +29,9 @@ from tallyweave.sources.parts import BUCKETS, bucket_of, finish_rewrite, read_pa
 from tallyweave.sources.tables import stage
 
 
+COUNTED = "documents"
+
+
 def _write(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     return (
         df.writeStream.format("parquet")
@@ -56,8 +59,17 @@ def stream_clear_orders(
 def stream_flatten(
     doc_stream: DataFrame, key_cols: list[str], path: str, checkpoint: str, doc_col: str = "doc"
 ) -> StreamingQuery:
-    """New documents become property rows; no state."""
-    return _write(flatten_documents(doc_stream, key_cols, doc_col), path, checkpoint)
+    """New documents become property rows; no state.
+
+    The progress of each batch holds how many documents were read and refused (``refusals``).
+    """
+    return _write(flatten_documents(doc_stream, key_cols, doc_col, COUNTED), path, checkpoint)
+
+
+def refusals(query: StreamingQuery) -> tuple[int, int]:
+    """(documents read, documents refused) by the batches of a flattening stream that are still remembered."""
+    seen = [p["observedMetrics"].get(COUNTED) for p in query.recentProgress]
+    return sum(s[READ] for s in seen if s), sum(s[REFUSED] for s in seen if s)
 
 
 def stream_property_upsert(

@@ -21,7 +21,9 @@ def flat(spark, doc, op=flatten_documents):
         ('{"a":null}', {"a": "null"}),
         ('{"a":{}}', {}),
         ('{"a":"{\\"b\\":1}"}', {"a": '{"b":1}'}),
-        ('{"a":1.0,"b":12345678.5}', {"a": "1.0", "b": "1.23456785E7"}),
+        ('{"a":1.0,"b":12345678.5}', {"a": "1.0", "b": "12345678.5"}),
+        ('{"a":9007199254740993.5,"b":-20.0,"c":0.0000001}', {"a": "9007199254740993.5", "b": "-20.0", "c": "0.0000001"}),
+        ('{"a":123456789012345678901234567890,"b":7,"c":[900.0, 2.50]}', {"a": "123456789012345678901234567890", "b": "7", "c": "[900.0, 2.5]"}),
         ('{"a":[[1,2],[3]]}', {"a": "[[1, 2], [3]]"}),
         ('{"a":[{"b":1},5]}', {"a.0.b": "1", "a.1": "5"}),
         ('{"a":[null,{"b":1}]}', {"a": "[null, {b=1}]"}),
@@ -121,3 +123,51 @@ def test_refused_documents_are_listed_and_stop_nothing(spark):
         found = {(r["k"], r["property"], r["value"]) for r in flatten(df, ["k"]).collect()}
         assert ("ok", "a", "1") in found
         assert not {k for k, _, _ in found} & {"cut", "twice"}
+
+
+def test_long_lists_are_opened_in_linear_time(spark):
+    """Twice the points, about twice the time: the number of brackets is not the number of rounds over all nodes."""
+    import time
+
+    def seconds(points, op):
+        deep = {"r": {"s": {"t": {"u": {"v": [{"x": [i, i]} for i in range(points)]}}}}}
+        wide = {"a": [[i, i] for i in range(points)]}
+        df = spark.createDataFrame([("k", json.dumps(deep)), ("w", json.dumps(wide))], "k string, doc string")
+        start = time.perf_counter()
+        rows = op(df, ["k"]).collect()
+        taken = time.perf_counter() - start
+        if op is flatten_documents:
+            assert len(rows) == points + 1
+        return taken
+
+    for op in (flatten_documents, flatten_merge):
+        seconds(100, op)
+        small, large = seconds(2000, op), seconds(8000, op)
+        assert large < 8 * small + 2
+
+
+def test_refusals_are_counted_as_documents_pass(spark):
+    from pyspark.sql import Observation
+    from tallyweave.sources.messages import compose_index_messages
+
+    rows = [("ok", '{"a":1}'), ("cut", '{"a":'), ("twice", '{"a":1,"a":2}'), ("none", None), ("more", '{"b":[{"c":2}]}')]
+    df = spark.createDataFrame(rows, "_key string, doc string")
+    for op in (lambda o: flatten_documents(df, ["_key"], counted=o), lambda o: flatten_merge(df, ["_key"], counted=o), lambda o: compose_index_messages(df, o)):
+        counts = Observation()
+        made = op(counts)
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("parseJson(doc") == 1
+        made.collect()
+        assert counts.get == {"read": 5, "refused": 2}
+    both = flatten_documents(df, ["_key"]).union(flatten_documents(df, ["_key"]))
+    assert both.where("_key = 'ok'").count() == 2
+
+
+def test_refusals_of_a_stream(spark, tmp_path):
+    from tallyweave.streaming import jobs
+
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("a", '{"x":1}'), ("b", "{"), ("c", '{"y":2}')], "k string, doc string").write.parquet(source)
+    docs = spark.readStream.schema("k string, doc string").parquet(source)
+    query = jobs.stream_flatten(docs, ["k"], str(tmp_path / "out"), str(tmp_path / "check"))
+    query.awaitTermination()
+    assert jobs.refusals(query) == (3, 1)
