@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from suite.registry import ORACLES, QUERIES, Tables, query
 from suite.scoring import BEST
 from tallyweave.operators import filters, persona
-from tallyweave.plans.user_filter import filter_documents, matched_personas, user_filters
+from tallyweave.plans.user_filter import changed_user_filters, filter_documents, matched_personas, user_filters
+from tallyweave.sources.tables import stage
 
 SCORED = "user_persona user_property user_evaluation"
 CONF = "mod_hierarchy mod_phase mod_persona"
@@ -193,3 +194,23 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return filter_documents(t["user_docs"], QUERIES["user_filter_flow"](t.spark, t.sf_dir))
+
+
+# The run before saw other queries of every seventh user and other personas of every eleventh; the documents hold
+# what it made.  Only these users are asked again, and all documents are as if all had been.
+@query(
+    "changed_user_filters",
+    f"user_docs user_filter user_query mod_persona {SCORED}",
+    f"""SELECT d.* REPLACE (f.query AS query)
+    FROM user_docs d JOIN ({_filter_sql(_scored(True, True, True)).replace("WHERE f.status = 'pending'", "")}) f ON f.userKey = d._key""",
+)
+def _(t: Tables) -> DataFrame:
+    conf = t.some(*CONF.split())
+    queries, personas = t["user_query"], t["user_persona"]
+    number = F.col("userKey").cast("bigint")
+    asked = F.when(number % 7 == 0, F.lit("asked before")).otherwise(F.col("text"))
+    scored = F.when(number % 11 == 0, F.lit(0.25)).otherwise(F.col("scorePersona"))
+    before = [personas.withColumn("scorePersona", scored), queries.withColumn("text", asked), t["user_property"], _some_costs(t)]
+    docs, last = changed_user_filters(t["user_docs"], None, *before, conf)
+    now = [personas, queries, t["user_property"], _some_costs(t)]
+    return changed_user_filters(stage(docs, "filtered-documents"), last, *now, conf)[0]

@@ -10,6 +10,9 @@ from suite.registry import Tables, query
 from tallyweave.operators import evaluation as ev
 from tallyweave.operators import load, scoring
 from tallyweave.operators.profile import entity_profile, profile_rows
+from tallyweave.plans import score_changes
+from tallyweave.session import shared_folder
+from tallyweave.sources.parts import add_to_parts
 from tallyweave.plans.user_scoring import scored_users
 from tallyweave.plans.item_scoring import scored_documents, scored_items
 
@@ -186,6 +189,36 @@ for _twin in ("item", "user"):
         )
 
 
+# Measures are kept by entity and rolled up.  Then the leaves of one entity in a hundred rise by a half, those of
+# another have no score any more: what stands above them follows, and the result is as if all had been rolled up.
+for _twin in ("item", "user"):
+
+    @query(
+        f"measure_by_dimension_delta_{_twin}",
+        f"{_twin}_measure mod_{_twin}_dimension int_{_twin}_dimension_measure",
+        f"""WITH changed AS (SELECT * REPLACE (
+             CASE WHEN mod(CAST({_twin}Key AS BIGINT), 100) = 7 THEN CAST(coalesce(score, 0) + 0.5 AS DECIMAL(18,6))
+                  WHEN mod(CAST({_twin}Key AS BIGINT), 100) = 8 THEN NULL ELSE score END AS score,
+             CASE WHEN mod(CAST({_twin}Key AS BIGINT), 100) IN (7, 8) THEN 'ready' ELSE status END AS status)
+           FROM {_twin}_measure WHERE dimension IN ({measured_ids(_twin)})),
+        measures AS (SELECT * FROM changed
+           UNION ALL SELECT * FROM {_twin}_measure WHERE dimension NOT IN ({measured_ids(_twin)}))
+        {rollup_sql(f"{_twin}Key", "measures", "dimension", f"mod_{_twin}_dimension", measured_ids(_twin), [f"{_twin}Key", *MEASURE_COLUMNS])}""",
+    )
+    def _(t: Tables, twin=_twin) -> DataFrame:
+        key = f"{twin}Key"
+        tree, mapping = t[f"mod_{twin}_dimension"], t[f"int_{twin}_dimension_measure"]
+        rolled = scoring.measure_by_dimension(t[f"{twin}_measure"], tree, mapping, key)
+        path, leaf_ids = shared_folder(t.spark, "measures"), mapping.select("dimension_id")
+        add_to_parts(score_changes.by_entity(rolled, key, 32), path, ["bucket"])
+        leaves = t[f"{twin}_measure"].join(leaf_ids.distinct().toDF("dimension"), "dimension", "left_semi")
+        number = F.col(key).cast("bigint") % 100
+        score = F.when(number == 7, F.coalesce("score", F.lit(0)) + F.lit("0.5").cast("decimal(2,1)"))
+        changes = leaves.where(number.isin(7, 8)).select(key, "dimension", score.cast("decimal(18,6)").alias("score"))
+        score_changes.change_scores(t.spark, path, rolled.schema, changes, "dimension", key, tree, leaf_ids, 32)
+        return t.spark.read.schema(rolled.schema).parquet(path).drop("bucket")
+
+
 # --- evaluations -----------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, script_text, variables_of
+from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, variables_of, with_script_texts
 from tallyweave.functions.text import blank, field_name, id_list, sub_type
 from tallyweave.operators.persona import best_persona
 from tallyweave.operators.profile import entity_profile
@@ -80,9 +80,10 @@ def evaluate_script(
     profile = entity_profile(property_, None, key, variables_of(scripts.values()))
     owners = property_.select(key).distinct().withColumn("__owned", F.lit(True))
     of_script = route(F.col("type"), twin) == "script"
-    result = F.when(of_script, script_text(F.col("evaluation"), scripts))
     known = owners.join(profile, key, "left")
-    joined = evaluation.join(known, key, "left").withColumn("__text", F.when(F.col("__owned"), result))
+    # only rows of scripts name one
+    asked = F.when(of_script & F.col("__owned"), F.col("evaluation"))
+    joined = with_script_texts(evaluation.join(known, key, "left"), {"__text": (asked, scripts)})
     found = F.col("__text").isNotNull()
     columns = {
         "text": F.coalesce("__text", "text").alias("text"),

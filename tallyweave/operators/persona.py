@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, script_text, text_to_score, variables_of
+from tallyweave.functions.scripts import MAX_SCRIPTS, read_scripts, text_to_score, variables_of, with_script_texts
 from tallyweave.operators.profile import entity_profile
 
 
@@ -25,11 +25,9 @@ def score_personas(
     scripts = {col: read_scripts(conf, "id", script_col, limit) for col, (conf, script_col, _) in configs.items()}
     names = variables_of(s for by_id in scripts.values() for s in by_id.values())
     profile = entity_profile(property_, evaluation, "userKey", names)
-    joined = user_persona.join(profile, "userKey", "left")
-    scores = {
-        col: F.coalesce(text_to_score(script_text(F.col(id_col), scripts[col])), F.col(col)).alias(col)
-        for col, (_, _, id_col) in configs.items()
-    }
+    wanted = {f"__{col}": (F.col(id_col), scripts[col]) for col, (_, _, id_col) in configs.items()}
+    joined = with_script_texts(user_persona.join(profile, "userKey", "left"), wanted)
+    scores = {col: F.coalesce(text_to_score(F.col(f"__{col}")), F.col(col)).alias(col) for col in configs}
     return joined.select(*[scores.get(c, F.col(c)) for c in user_persona.columns])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.operators.upsert import update_from
+from tallyweave.operators.upsert import one_row_per_key, update_from
 from tallyweave.sources.tables import stage
 
 
@@ -111,6 +111,39 @@ def roll_up(rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: Dat
     return _scored(rows, joined)
 
 
+def roll_up_changes(
+    rows: DataFrame, node: str, key: str, changed: DataFrame, paths: DataFrame, inner: DataFrame
+) -> DataFrame:
+    """What new scores of leaves alter in ``rows``: the leaves and the nodes above them, as they are then.
+
+    ``changed`` holds (key, node, score), nulls included; ``rows`` are rolled up already, all
+    rows of the changed entities at least.  Nodes above a change are summed anew over
+    the stored ``paths`` (of ``tree_paths``), so the result is what ``roll_up`` of all rows would
+    give them, to the last digit.  No other entity and no other node is grouped.
+    """
+    fresh = stage(one_row_per_key(changed.select(key, node, F.col("score").alias("__new")), [key, node]), "changed-leaves")
+    carried = paths.select(F.col("node").alias(node), "ancestor", F.col("weight").alias("__w"))
+    above = fresh.join(carried, node).select(key, F.col("ancestor").alias(node)).distinct()
+    marks = fresh.withColumn("__leaf", F.lit(True)).unionByName(above, allowMissingColumns=True)
+    own = rows.join(fresh.select(key).distinct(), key, "left_semi").join(marks.withColumn("__hit", F.lit(True)), [key, node], "left")
+    score = F.when(F.col("__leaf"), F.col("__new")).otherwise(F.col("score")).cast(rows.schema["score"].dataType)
+    own = stage(own.withColumn("score", score), "changed-entities")
+    altered = own.where("__hit")
+    sums = (
+        own.where(F.col("score").isNotNull())
+        .select(key, node, "score")
+        .join(carried, node)
+        .select(key, F.col("ancestor").alias(node), "__w", "score")
+        .join(above, [key, node], "left_semi")
+        .groupBy(key, node)
+        .agg(_sum_of("__w", "score", rows))
+    )
+    summed = altered.where("__leaf IS NULL").join(inner.select(F.col("id").alias(node)), node, "left_semi")
+    summed = summed.drop("score").join(sums, [key, node], "left")
+    done = summed.select(*rows.columns).unionByName(altered.where("__leaf").select(*rows.columns))
+    return done.withColumn("status", F.lit("ready"))
+
+
 def measure_by_dimension(measure: DataFrame, dims: DataFrame, dim_measures: DataFrame, key: str) -> DataFrame:
     """Roll the measured dimensions up their tree."""
     return roll_up(measure, "dimension", key, dims, dim_measures.select("dimension_id"))

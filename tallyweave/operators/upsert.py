@@ -49,9 +49,12 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     """Rows whose key the target lacks.
 
     The target is first cut to the keys at hand, so a large target is not shuffled
-    for a small set of rows.
+    for a small set of rows.  Where the rows are too many to be broadcast, Spark can drop most of the
+    target at its scan by a Bloom filter of their keys; it builds one only of a side that looks
+    selective, which the condition below, true of all keys, makes it.
     """
-    hit = target.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    wanted = rows.select(*keys).where(F.xxhash64(*keys) >= F.lit(-(2**63)))
+    hit = target.select(*keys).join(wanted, keys, "left_semi")
     return rows.join(hit, keys, "left_anti")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.filters import bool_clauses, cost_decay, function_score, persona_decay
 from tallyweave.operators.persona import best_persona, score_personas
 from tallyweave.operators.upsert import update_from
+from tallyweave.sources.tables import stage
 
 
 def matched_personas(
@@ -53,3 +56,63 @@ def user_filters(
 def filter_documents(docs: DataFrame, filters: DataFrame) -> DataFrame:
     """User documents with the new search queries of ``filters`` (userKey, query) in ``query``."""
     return update_from(docs, filters.select(F.col("userKey").alias("_key"), "query"), ["_key"], ["query"])
+
+
+def user_digests(tables: dict[str, DataFrame], conf: dict[str, DataFrame]) -> DataFrame:
+    """(userKey, digest): what all rows of a user in ``tables``, in any order, and the configuration look like.
+
+    Kept from one run to the next, it says whose rows have changed.  Rows meet as partial
+    sums, so a user with any number of rows is one row per input task.
+    """
+    settings = [
+        rows.agg(F.count(F.lit(1)), *_sums(name, rows.columns)).select(F.struct("*").alias("s")).first()["s"]
+        for name, rows in sorted(conf.items())
+    ]
+    rows = [t.select("userKey", *_hashes(name, t.columns)) for name, t in sorted(tables.items())]
+    digest = F.struct(F.count(F.lit(1)).alias("rows"), F.sum("one").alias("one"), F.bit_xor("two").alias("two"))
+    every = reduce(DataFrame.unionByName, rows).groupBy("userKey").agg(digest.alias("rows"))
+    return every.select("userKey", F.md5(F.concat_ws("|", F.to_json("rows"), F.lit(str(settings)))).alias("digest"))
+
+
+def _hashes(name: str, columns: list[str]) -> list[Column]:
+    # two hashes that have nothing to do with one another; nulls and absent values differ by their place
+    whole = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+    return [
+        F.xxhash64(F.lit(name), whole).cast("decimal(38,0)").alias("one"),
+        F.conv(F.substring(F.md5(F.concat(F.lit(name), whole)), 1, 15), 16, 10).cast("bigint").alias("two"),
+    ]
+
+
+def _sums(name: str, columns: list[str]) -> list[Column]:
+    one, two = _hashes(name, columns)
+    return [F.sum(one), F.bit_xor(two)]
+
+
+def changed_users(last: DataFrame | None, now: DataFrame) -> DataFrame:
+    """(userKey): users whose digest is not what it was, new and vanished ones included; all without ``last``."""
+    if last is None:
+        return now.select("userKey")
+    before = last.select("userKey", F.col("digest").alias("__before"))
+    both = now.join(before, "userKey", "full_outer")
+    return both.where(~F.col("digest").eqNullSafe(F.col("__before"))).select("userKey")
+
+
+def changed_user_filters(
+    docs: DataFrame,
+    last: DataFrame | None,
+    user_persona: DataFrame,
+    user_query: DataFrame,
+    property_: DataFrame,
+    evaluation: DataFrame,
+    conf: dict[str, DataFrame],
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, digests) after a run: filters are built for users whose rows have changed, and for no others.
+
+    ``last`` are the digests of the run before; keep the new ones for the next.  Documents of
+    all other users keep their row.
+    """
+    tables = {"persona": user_persona, "query": user_query, "property": property_, "evaluation": evaluation}
+    now = stage(user_digests(tables, conf), "user-digests")
+    asked = stage(changed_users(last, now), "changed-users")
+    filters = user_filters(asked, user_persona, user_query, property_, evaluation, conf)
+    return filter_documents(docs, filters), now

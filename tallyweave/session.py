@@ -26,6 +26,10 @@ def build_session(app: str = "tallyweave", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # inserts beyond the broadcast threshold meet a large target through a Bloom filter of their keys
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
         # stream state may outgrow executor memory: keep it on disk, checkpoint only its changes
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
