@@ -416,3 +416,61 @@ def _(t: Tables) -> DataFrame:
     conf = t.some(*_LOAD_CONF["user"].split())
     store = {"user_query": _loaded_before(load.query_items(users(t), conf["mod_user_evaluation"]), "userKey")}
     return plan.load_entities(users(t), t["user_flat"], store, conf, "user")["user_query"]
+
+
+# Tables without tasks: a known property row is raised by one, known labels, personas and filters stay.
+for _twin, _keys in (("item", ITEM_KEYS), ("user", USER_KEYS)):
+    _key, _prefix = f"{_twin}Key", "" if _twin == "item" else "user_"
+
+    @query(
+        f"{_twin}_load_property",
+        f"{_twin}_flat",
+        f"""SELECT {', '.join(_keys)}, CASE WHEN mod(CAST({_key} AS BIGINT), 3) = 0 THEN 'ready' ELSE 'pending' END AS status,
+           CAST(CASE WHEN mod(CAST({_key} AS BIGINT), 3) = 0 THEN 8 ELSE 1 END AS INT) AS revision
+        FROM {_twin}_flat""",
+    )
+    def _(t: Tables, twin=_twin, keys=_keys, key=_key, prefix=_prefix) -> DataFrame:
+        conf, rows = t.some(*_LOAD_CONF[twin].split()), t[f"{twin}_flat"]
+        known = _loaded_before(rows.select(*keys), key)
+        entities = items(t) if twin == "item" else users(t)
+        return plan.load_entities(entities, rows, {f"{prefix}property": known}, conf, twin)[f"{prefix}property"]
+
+    _label = [k for k in _keys if k != _key]
+
+    @query(
+        f"{_twin}_load_value",
+        f"{_twin}_value",
+        f"""SELECT {', '.join(_label)}, CASE WHEN rank < 4 THEN 'ready' ELSE 'pending' END AS status,
+           CASE WHEN rank < 4 THEN 7 ELSE 1 END AS revision FROM {_twin}_value""",
+    )
+    def _(t: Tables, twin=_twin, label=_label, prefix=_prefix) -> DataFrame:
+        conf = t.some(*_LOAD_CONF[twin].split())
+        known = t[f"{twin}_value"].where("rank < 4").select(*label, F.lit("ready").alias("status"), F.lit(7).alias("revision"))
+        entities = items(t) if twin == "item" else users(t)
+        return plan.load_entities(entities, t[f"{twin}_flat"], {f"{prefix}value": known}, conf, twin)[f"{prefix}value"]
+
+
+@query(
+    "user_load_persona",
+    "user_docs mod_persona",
+    """SELECT d._key AS userKey, m.hierarchy_id AS hierarchyId, m.phase_id AS phaseId, m.id AS personaId,
+       CASE WHEN mod(CAST(d._key AS BIGINT), 3) = 0 THEN 'ready' ELSE 'pending' END AS status,
+       CAST(CASE WHEN mod(CAST(d._key AS BIGINT), 3) = 0 THEN 8 ELSE 1 END AS INT) AS revision
+    FROM user_docs d CROSS JOIN mod_persona m""",
+)
+def _(t: Tables) -> DataFrame:
+    conf, none = t.some(*_LOAD_CONF["user"].split()), t["user_persona"].limit(0)
+    all_ = load.persona_tasks(none.select(*load.PERSONA_KEYS, "status", "revision"), users(t), conf["mod_persona"])
+    store = {"user_persona": _loaded_before(all_, "userKey")}
+    return plan.load_entities(users(t), t["user_flat"], store, conf, "user")["user_persona"]
+
+
+@query(
+    "user_load_filter",
+    "user_docs user_filter",
+    """SELECT d._key AS userKey, coalesce(f.status, 'pending') AS status, coalesce(f.revision, 1) AS revision
+    FROM user_docs d LEFT JOIN (SELECT * FROM user_filter WHERE status = 'ready') f ON f.userKey = d._key""",
+)
+def _(t: Tables) -> DataFrame:
+    store = {"user_filter": t["user_filter"].where("status = 'ready'")}
+    return plan.load_entities(users(t), t["user_flat"], store, t.some(*_LOAD_CONF["user"].split()), "user")["user_filter"]

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from suite import fixtures
 from suite.registry import Tables, query
+from suite.tables import INDEX_MESSAGES
 from tallyweave.operators.flatten import flatten_documents
+from tallyweave.plans import item_index
 from tallyweave.session import shared_folder
+from tallyweave.sources import messages
 from tallyweave.streaming import jobs
 
 
@@ -174,3 +177,13 @@ def _(t: Tables) -> DataFrame:
         feed = arriving(t, payments.where(F.expr(_ARRIVAL) == run), folder)
         jobs.stream_settle(feed, t["mod_profit_share_item"], path, checkpoint, as_of=now).awaitTermination()
     return jobs.earlier_settlements(t.spark, path)
+
+
+@query("stream_index", "item_docs", INDEX_MESSAGES)
+def _(t: Tables) -> DataFrame:
+    path, checkpoint = _paths(t, "index")
+    folder = shared_folder(t.spark, "item-documents")
+    for run in range(2):
+        half = t["item_docs"].where(F.col("_key").cast("bigint") % 2 == run)
+        item_index.stream_index(arriving(t, half, folder), checkpoint, path=path).awaitTermination()
+    return t.spark.read.schema("key string, value string").json(f"{path}/{messages.INDEX_TOPIC}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from suite.registry import Tables, query
 from tallyweave.operators import tasks, upsert
 from tallyweave.operators.recommend import recommendation_tasks
+from tallyweave.plans import item_index
 from tallyweave.session import shared_folder
 from tallyweave.sources import documents, messages
 from tallyweave.sources.parts import add_to_parts, bucket_of
@@ -143,6 +144,56 @@ def _(t: Tables) -> DataFrame:
     return tasks.mark(t["user_filter"], batch, ["userKey"], "ready")
 
 
+# Tables that keep the moments of insertion and change: changed rows get the run's moment, others keep theirs.
+_MOMENT, _RUN = "2020-02-02", "2024-03-03"
+
+
+def dated(rows: DataFrame) -> DataFrame:
+    moment = F.lit(_MOMENT).cast("timestamp")
+    return rows.withColumns({"createdOn": moment, "modifiedOn": moment})
+
+
+@query(
+    "update_from_dated",
+    "user_property user_value",
+    f"""SELECT p.property, p.value, p.userKey, p.propertyId, coalesce(v.score, p.score) AS score, coalesce(v.rank, p.rank) AS rank,
+       CASE WHEN v.rank IS NOT NULL THEN 'ready' ELSE p.status END AS status, p.revision,
+       CAST('{_MOMENT}' AS TIMESTAMP) AS createdOn,
+       CAST(CASE WHEN v.rank IS NOT NULL THEN '{_RUN}' ELSE '{_MOMENT}' END AS TIMESTAMP) AS modifiedOn
+    FROM user_property p LEFT JOIN (SELECT * FROM user_value WHERE rank > 3) v ON v.property = p.property AND v.value = p.value""",
+)
+def _(t: Tables) -> DataFrame:
+    updates = t["user_value"].where("rank > 3").withColumn("status", F.lit("ready"))
+    run = F.lit(_RUN).cast("timestamp")
+    return upsert.update_from(dated(t["user_property"]), updates, LABEL, ["score", "rank", "status"], as_of=run)
+
+
+@query(
+    "insert_or_bump_dated",
+    "user_flat",
+    f"""SELECT *, CAST(CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN '{_MOMENT}' ELSE '{_RUN}' END AS TIMESTAMP) AS createdOn,
+       CAST(CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 AND mod(CAST(userKey AS BIGINT), 3) <> 0 THEN '{_MOMENT}' ELSE '{_RUN}' END
+         AS TIMESTAMP) AS modifiedOn
+    FROM (SELECT property, userKey, value, CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN 'ready' ELSE 'pending' END AS status,
+        CAST(CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 0 THEN 5 ELSE 0 END
+          + CASE WHEN mod(CAST(userKey AS BIGINT), 2) = 1 OR mod(CAST(userKey AS BIGINT), 3) = 0 THEN 1 ELSE 0 END AS INT) AS revision
+      FROM user_flat) r""",
+)
+def _(t: Tables) -> DataFrame:
+    rows = t["user_flat"].select(*PROPERTY_KEYS)
+    number = F.col("userKey").cast("bigint")
+    target = rows.where(number % 2 == 0).select("*", F.lit("ready").alias("status"), F.lit(5).alias("revision"))
+    new = rows.where((number % 2 == 1) | (number % 3 == 0)).withColumn("status", F.lit("pending"))
+    return upsert.insert_or_bump_revision(dated(target), new, PROPERTY_KEYS, as_of=F.lit(_RUN).cast("timestamp"))
+
+
+@query("read_documents", "item_docs", "SELECT * FROM item_docs WHERE status = 'pending'")
+def _(t: Tables) -> DataFrame:
+    path = shared_folder(t.spark, "documents")
+    t["item_docs"].write.parquet(path)
+    return documents.read_documents(t.spark, path, schema=t["item_docs"].schema)
+
+
 @query("pending_documents", "item_docs", "SELECT * FROM item_docs WHERE status = 'pending'")
 def _(t: Tables) -> DataFrame:
     return documents.pending_documents(t["item_docs"])
@@ -170,24 +221,41 @@ def _(t: Tables) -> DataFrame:
 
 
 # JSON numbers carry no digits beyond their value: 900.0 is written 900
-_MESSAGES = """SELECT _key AS key, '{"_key":"' || _key || '","brand":"' || p_brand || '","price":{"sale":'
+INDEX_MESSAGES = """SELECT _key AS key, '{"_key":"' || _key || '","brand":"' || p_brand || '","price":{"sale":'
        || regexp_replace(CAST(p_retailprice AS STRING), '[.]0$', '') || '},"props":[{"k":"size","v":' || CAST(p_size AS STRING)
        || '}],"tagging":"' || p_name || '","tags":["' || p_type || '","' || p_brand || '"],"title":"' || p_name || '"}' AS value
     FROM item_docs JOIN part ON CAST(p_partkey AS STRING) = _key WHERE index IS NULL OR index = 'pending'"""
 
 
-@query("compose_index_messages", "item_docs", _MESSAGES)
+@query("compose_index_messages", "item_docs", INDEX_MESSAGES)
 def _(t: Tables) -> DataFrame:
     return messages.compose_index_messages(documents.pending_index(t["item_docs"]))
 
 
-@query("publish_index", "item_docs", _MESSAGES)
+@query("publish_index", "item_docs", INDEX_MESSAGES)
 def _(t: Tables) -> DataFrame:
     path = shared_folder(t.spark, "messages")
     messages.publish_index(messages.compose_index_messages(documents.pending_index(t["item_docs"])), path=path)
     return t.spark.read.schema("key string, value string").json(f"{path}/{messages.INDEX_TOPIC}")
 
 
+@query(
+    "item_index_documents",
+    "item_docs",
+    "SELECT * REPLACE (CASE WHEN index IS NULL OR index = 'pending' THEN 'ready' ELSE index END AS index) FROM item_docs",
+)
+def _(t: Tables) -> DataFrame:
+    return item_index.index_items(t["item_docs"], path=shared_folder(t.spark, "messages"))
+
+
+@query("item_index_messages", "item_docs", INDEX_MESSAGES)
+def _(t: Tables) -> DataFrame:
+    path = shared_folder(t.spark, "messages")
+    # a second run over the store that the first one returns sends nothing
+    item_index.index_items(item_index.index_items(t["item_docs"], path=path), path=path)
+    return t.spark.read.schema("key string, value string").json(f"{path}/{messages.INDEX_TOPIC}")
+
+
 for _type, _docs in (("user", "user_docs"), ("persona", "persona_docs")):
 
     @query(

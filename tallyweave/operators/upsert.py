@@ -8,6 +8,8 @@ target is scanned but not shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,15 @@ from tallyweave.sources.parts import BUCKETS, bucket_of, finish_rewrite, read_pa
 from tallyweave.sources.tables import stage
 
 
+# Moments of a row's insertion and last change, in tables that have such columns.
+CREATED, MODIFIED = "createdOn", "modifiedOn"
+
+
+def _moments(target: DataFrame, as_of: Column | None, *names: str) -> dict[str, Column]:
+    stamp = F.current_timestamp() if as_of is None else as_of
+    return {name: stamp for name in names if name in target.columns}
+
+
 def one_row_per_key(rows: DataFrame, keys: list[str], count_as: str | None = None) -> DataFrame:
     """Keep the smallest row of each key, so reruns agree; optionally count the rows.
 
@@ -34,19 +45,25 @@ def one_row_per_key(rows: DataFrame, keys: list[str], count_as: str | None = Non
 
 
 def insert_ignore(
-    target: DataFrame, new: DataFrame, keys: list[str], defaults: dict[str, Column] | None = None
+    target: DataFrame,
+    new: DataFrame,
+    keys: list[str],
+    defaults: dict[str, Column] | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Add the new rows whose key is not in the target yet; existing rows stay.
 
-    ``defaults`` are columns all added rows have in common.
+    ``defaults`` are columns all added rows have in common.  Where the target keeps the moments of
+    insertion and change, added rows get ``as_of``, by default now.
     """
     fresh = stage(one_row_per_key(new, keys), "insert")
-    added = absent_from(fresh, target, keys).withColumns(defaults or {})
+    common = {**_moments(target, as_of, CREATED, MODIFIED), **(defaults or {})}
+    added = absent_from(fresh, target, keys).withColumns(common)
     return target.unionByName(added, allowMissingColumns=True)
 
 
 def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key the target lacks.
+    """Rows whose key the target lacks; a null in a key is a value like any other.
 
     The target is first cut to the keys at hand, so a large target is not shuffled
     for a small set of rows.  Where the rows are too many to be broadcast, Spark can drop most of the
@@ -54,8 +71,15 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     selective, which the condition below, true of all keys, makes it.
     """
     wanted = rows.select(*keys).where(F.xxhash64(*keys) >= F.lit(-(2**63)))
-    hit = target.select(*keys).join(wanted, keys, "left_semi")
-    return rows.join(hit, keys, "left_anti")
+    hit = _matching(target.select(*keys), wanted, keys, "left_semi")
+    return _matching(rows, hit, keys, "left_anti")
+
+
+def _matching(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys, nulls equal to nulls."""
+    one, two = left.alias("l"), right.alias("r")
+    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    return one.join(two, reduce(Column.__and__, same), how)
 
 
 def insert_or_bump_revision(
@@ -64,23 +88,27 @@ def insert_or_bump_revision(
     keys: list[str],
     defaults: dict[str, Column] | None = None,
     first_revision: int = 1,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Insert new keys; each further arrival of a key adds 1 to its revision.
 
-    ``defaults`` are columns all added rows have in common.
+    ``defaults`` are columns all added rows have in common.  Where the target keeps the moments of
+    insertion and change, rows that are added or bumped get ``as_of``, by default now.
     """
+    changed = _moments(target, as_of, MODIFIED)
     counted = stage(one_row_per_key(new.drop("revision"), keys, count_as="__n"), "upsert")
     seen = counted.select(*keys, F.col("__n").cast("int").alias("__n"))
-    bumped = target.join(seen, keys, "left").select(
-        *[
-            (F.col("revision") + F.coalesce(F.col("__n"), F.lit(0))).alias("revision") if c == "revision" else F.col(c)
-            for c in target.columns
-        ]
+    values = {
+        "revision": F.col("revision") + F.coalesce(F.col("__n"), F.lit(0)),
+        **{c: F.when(F.col("__n").isNotNull(), moment).otherwise(F.col(f"l.`{c}`")) for c, moment in changed.items()},
+    }
+    bumped = _matching(target, seen, keys, "left").select(
+        *[values.get(c, F.col(f"l.`{c}`")).alias(c) for c in target.columns]
     )
     added = (
         absent_from(counted, target, keys)
         .withColumn("revision", (F.col("__n") + F.lit(first_revision - 1)).cast("int"))
-        .withColumns(defaults or {})
+        .withColumns({**_moments(target, as_of, CREATED, MODIFIED), **(defaults or {})})
         .drop("__n")
     )
     return bumped.unionByName(added, allowMissingColumns=True)
@@ -137,13 +165,15 @@ def update_from(
     keys: list[str],
     cols: list[str],
     also: dict[str, Column] | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Set ``cols`` of the target rows whose key is in ``updates``, nulls included.
 
     ``also`` holds further assignments for the matched rows, as expressions over the
-    target's columns.  ``updates`` must hold one row per key.
+    target's columns.  ``updates`` must hold one row per key.  Where the target keeps the moment
+    of the last change, matched rows get ``as_of``, by default now.
     """
-    also = also or {}
+    also = {**_moments(target, as_of, MODIFIED), **(also or {})}
     change = updates.select(*keys, F.struct(F.lit(True).alias("hit"), *cols).alias("__new"))
     joined = target.join(change, keys, "left")
     hit = F.col("__new").isNotNull()

@@ -1,4 +1,4 @@
-"""Item documents to scored evaluations and index messages."""
+"""Item documents to scored evaluations, written back to the documents; ``item_index`` publishes them."""
 
 from __future__ import annotations
 

@@ -41,10 +41,18 @@ def copy_documents(docs: DataFrame, path: str) -> None:
     docs.select("_key", "doc").write.mode("errorifexists").parquet(path)
 
 
+def _unindexed() -> Column:
+    return F.col("index").isNull() | (F.col("index") == "pending")
+
+
 def pending_index(docs: DataFrame) -> DataFrame:
     """Documents not indexed yet, as they are after being taken."""
-    waiting = F.col("index").isNull() | (F.col("index") == "pending")
-    return docs.where(waiting).withColumn("index", F.lit("ready"))
+    return docs.where(_unindexed()).withColumn("index", F.lit("ready"))
+
+
+def mark_indexed(docs: DataFrame) -> DataFrame:
+    """The store after its unindexed documents were taken."""
+    return docs.withColumn("index", F.when(_unindexed(), F.lit("ready")).otherwise(F.col("index")))
 
 
 def _unrecommended() -> Column:

@@ -250,3 +250,13 @@ def test_rows_wait_for_their_label_and_none_is_lost(spark, rows, tmp_path):
     found = spark.read.parquet(out)
     assert rows(found, "userKey", "status") == [(u, "ready") for u in ("u1", "u2", "u4", "u5")]
     assert found.columns == [c.split(" ")[0] for c in layout.split(", ")]
+
+
+def test_a_null_in_a_key_is_a_value(spark, rows):
+    target = spark.createDataFrame([("a", None, "old", 1), (None, None, "old", 1)], "x string, y string, status string, revision int")
+    new = spark.createDataFrame([("a", None), (None, None), (None, "y")], "x string, y string").withColumn("status", F.lit("new"))
+    out = upsert.insert_or_bump_revision(target, new, ["x", "y"])
+    expected = sorted([("a", None, "old", 2), (None, None, "old", 2), (None, "y", "new", 1)], key=repr)
+    assert rows(out, "x", "y", "status", "revision") == expected
+    kept = upsert.insert_ignore(target, new.withColumn("revision", F.lit(9)), ["x", "y"])
+    assert rows(kept, "x", "y", "revision") == sorted([("a", None, 1), (None, None, 1), (None, "y", 9)], key=repr)
