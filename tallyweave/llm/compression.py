@@ -1,19 +1,19 @@
 """A quality classifier by compression.
 
 Two zstandard dictionaries are trained, one on good and one on bad labelled texts.  A text
-is cut into blocks, each block is compressed with either dictionary, and the difference of
-the two summed sizes over their sum says which dictionary knows the text better; blocks
-keep the dictionaries' influence alike in short and long texts, and all blocks count.  A logistic
-curve, fitted on labelled texts that neither dictionary has seen, turns the difference into
-a score between 0 and 1.  The curve also sees how far the better dictionary shrinks the text
-(endless repetition shrinks to nothing with either) and how short the text is, as the
-difference says little about a few words.
+is cut into blocks, each block is compressed with either dictionary, and the difference of the two
+summed sizes over the text's own size says which dictionary knows it better: bytes that
+either one shrinks to nothing, as in endless repetition, add nothing to the difference but all
+of their length to what it is divided by.  Blocks keep the dictionaries' influence alike in
+short and long texts, and all blocks count.  A logistic curve over this one number, fitted on
+labelled texts that neither dictionary has seen, turns it into a score between 0 and 1.
 
 Fitting takes a bounded sample (``FitLimits``) of the labelled rows: those of least hash, half
 for the dictionaries, half for the curve.  Scoring covers every row where it is read, without
-a shuffle.  Nulls are empty texts; an empty text has difference 0 and is as short as
-can be, which gives it the curve's value there.  Without labels of both classes no score can be learned and every score is 0.5.
-Several labels of one document each count; a label without document, or without value, none.
+a shuffle.  Nulls are empty texts; an empty text has difference 0, which gives it the curve's
+value there.  Without labels of both classes no score can be learned and every score is 0.5.
+Copies of a text count once in fitting, and a text labelled both ways counts as bad; a label without
+document, or without value, counts for nothing.  Equal rows get equal scores.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyweave.llm.columns import carried, restored
 from tallyweave.llm.samples import labelled_sample
 
-BLOCK_BYTES = 2048
+BLOCK_BYTES = 1024
 _LEVEL = 3
 
 
@@ -51,12 +51,11 @@ class FitLimits:
 class CompressionModel:
     good: bytes
     bad: bytes
-    #: of the columns of ``_Pair.measure``, and the offset
-    weights: tuple[float, ...]
+    slope: float
+    offset: float
 
-    def scores(self, measured: np.ndarray) -> np.ndarray:
-        sums = measured @ np.array(self.weights[:-1]) + self.weights[-1]
-        return 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
+    def scores(self, differences: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * differences + self.offset, -40, 40)))
 
 
 class _Pair:
@@ -72,16 +71,14 @@ class _Pair:
             dictionary.precompute_compress(level=_LEVEL)
             self.both.append(zstandard.ZstdCompressor(compression_params=params, dict_data=dictionary))
 
-    def measure(self, text: bytes) -> tuple[float, float, float]:
-        """The difference, above 0 where the good dictionary compresses better; shrinkage; shortness."""
+    def difference(self, text: bytes) -> float:
+        """Above 0 where the good dictionary compresses better."""
         good = bad = 0
         for at in range(0, len(text), BLOCK_BYTES):
             block = text[at : at + BLOCK_BYTES]
             good += len(self.both[0].compress(block))
             bad += len(self.both[1].compress(block))
-        if not text:
-            return 0.0, 0.0, 1.0
-        return (bad - good) / (bad + good), math.log(min(good, bad) / len(text)), 1 / (1 + len(text) / 64)
+        return (bad - good) / max(len(text), 1)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, ...]:
@@ -122,14 +119,14 @@ def fit(
     sample = labelled_sample(docs, labels, limits.texts, limits.text_bytes, key, text_col, label_col)
     taken = {label: [t.encode() for t in found] for label, found in sample.items()}
     if not taken[0] or not taken[1]:
-        return CompressionModel(b" ", b" ", (0.0, 0.0, 0.0, 0.0))
+        return CompressionModel(b" ", b" ", 0.0, 0.0)
     good = _dictionary(taken[1][::2], limits.dictionary)
     bad = _dictionary(taken[0][::2], limits.dictionary)
     pair = _Pair(good, bad)
     rest = [(t, label) for label in (0, 1) for t in taken[label][1::2] or taken[label]]
-    x = np.array([pair.measure(t) for t, _ in rest])
+    x = np.array([[pair.difference(t)] for t, _ in rest])
     y = np.array([label for _, label in rest], float)
-    return CompressionModel(good, bad, fit_logistic(x, y))
+    return CompressionModel(good, bad, *fit_logistic(x, y))
 
 
 def score_documents(docs: DataFrame, model: CompressionModel, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -142,8 +139,8 @@ def score_documents(docs: DataFrame, model: CompressionModel, text_col: str = "t
         fitted = shared.value
         pair = _Pair(fitted.good, fitted.bad)
         for batch in batches:
-            found = [pair.measure(t.encode() if t else b"") for t in _each(batch.columns[-1])]
-            scores = fitted.scores(np.array(found, float).reshape(-1, 3))
+            found = [pair.difference(t.encode() if t else b"") for t in _each(batch.columns[-1])]
+            scores = fitted.scores(np.array(found, float))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*inner, "score"])
 
     return source.mapInArrow(work, schema).select(*restored(inner, kept), F.col("score").alias(name))

@@ -113,8 +113,11 @@ def _secrets_sql() -> str:
 
 @query("op6_secrets", _secrets_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    ledger = secrets.extend_ledger(docs, shared_folder(spark, "secret-ledger"))
+    """The ledger grows in two steps: texts of some sources, then all texts, of which only unseen ones are scanned."""
+    rows, path = documents(spark, sf_dir), shared_folder(spark, "secret-ledger")
+    docs = rows.select("doc_id", "text")
+    ledger = secrets.extend_ledger(rows.where(F.crc32(F.col("source").cast("binary")) % 2 == 0), path)
+    ledger = secrets.extend_ledger(docs, path, ledger)
     found = secrets.findings(docs, ledger)
     base = F.filter("spans", lambda s: s["ord"] < len(secrets.BASE))
     return found.select(
@@ -169,7 +172,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = compression.fit(docs, learned)
     scored = compression.score_documents(docs, model)
     return scored.select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 

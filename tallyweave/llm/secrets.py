@@ -74,10 +74,12 @@ def unseen_blobs(
     blobs = docs.select(
         blob_id(F.col(f"`{text_col}`")).alias("blob"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     )
+    # one row a blob before they meet the ledger, so that copies of a text do not gather in one task
+    blobs = blobs.dropDuplicates(["blob"])
     if ledger is not None:
         seen = ledger.where(F.col("rule_version") == version).select("blob")
         blobs = blobs.join(seen, "blob", "left_anti")
-    return blobs.dropDuplicates(["blob"])
+    return blobs
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, version: str = RULE_VERSION) -> DataFrame:

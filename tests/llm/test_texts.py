@@ -219,7 +219,7 @@ def test_language_models(spark, limit):
         (lambda df: line_crf.judge(df, line_crf.ALL_CONTENT), ("n_words", "kept")),
         (lambda df: secrets.findings(df, secrets.extend_ledger(df, shared_folder(df.sparkSession, "ledger"))), ("spans",)),
         (licences.scan_licences, ()),
-        (lambda df: compression.score_documents(df, compression.CompressionModel(b"some", b"other", (1.0, 0.0, 0.0, 0.0))), ("score",)),
+        (lambda df: compression.score_documents(df, compression.CompressionModel(b"some", b"other", 1.0, 0.0)), ("score",)),
         (lambda df: ngram_lm.score_documents(df, df.where("doc_id = 1")), ("score",)),
     ],
     ids=["bpe", "quality", "secrets", "licences", "classifier", "language_model"],
@@ -227,3 +227,86 @@ def test_language_models(spark, limit):
 def test_clashing_columns_and_empty_tables(clashing, empty, carries, apply, replaced):
     carries(clashing, apply(clashing), replaced)
     assert apply(empty).isEmpty()
+
+
+def test_scores_by_plain_compression(spark):
+    """Difference and curve by hand: two dictionaries, blocks, sizes over the text's length."""
+    import math
+
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").withColumnRenamed("quality", "label")
+    model = compression.fit(docs, labels)
+    params = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=0, write_checksum=0, write_dict_id=0)
+
+    def size(text, dictionary):
+        known = zstandard.ZstdCompressionDict(dictionary)
+        known.precompute_compress(level=3)
+        with_it = zstandard.ZstdCompressor(compression_params=params, dict_data=known)
+        return sum(len(with_it.compress(text[i : i + compression.BLOCK_BYTES])) for i in range(0, len(text), compression.BLOCK_BYTES))
+
+    for row in compression.score_documents(docs, model).limit(40).collect():
+        text = row["text"].encode()
+        difference = (size(text, model.bad) - size(text, model.good)) / len(text)
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-(model.slope * difference + model.offset))), abs=1e-9)
+
+
+def test_the_query_skips_blobs_that_its_ledger_has(spark, monkeypatch):
+    """Of the second step's texts only those that the first has not seen are scanned."""
+    from tallyweave.llm.queries import QUERIES
+
+    scanned, scan = [], secrets.scan_blobs
+
+    def counted(blobs, **more):
+        scanned.append({r["blob"] for r in blobs.collect()})
+        return scan(blobs, **more)
+
+    monkeypatch.setattr(secrets, "scan_blobs", counted)
+    QUERIES["op6_secrets"](spark, SF_DIR).collect()
+    first, second = scanned
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").collect()
+    assert first and second and not first & second
+    assert first | second == {hashlib.sha256((r[0] or "").encode()).hexdigest() for r in texts}
+
+
+def long_text():
+    """About two megabytes: many lines and words, a secret, a licence, an item's words, one endless word."""
+    rng = np.random.default_rng(4)
+    lines = [" ".join(f"w{n}" for n in rng.integers(0, 50_000, 12)) + "." for _ in range(20_000)]
+    lines[15_000] = 'token = "abcdefghijklmnop"'
+    lines[17_000] = "Licensed under the Apache License, Version 2.0."
+    lines[19_000] = "one two three four five six seven eight nine ten eleven"
+    return "\n".join(lines) + "\n" + "z" * 300_000
+
+
+def test_very_long_texts(spark):
+    """What stands at the end of a long text is seen like anything else, and counts are those of the whole."""
+    from tallyweave.llm.decontaminate import decontaminate
+    from tallyweave.llm.near_dups import near_duplicates
+    from tallyweave.llm.squares import periodic_runs
+    from tallyweave.llm.substrings import remove_repeats
+
+    text = long_text()
+    words = len(text.split())
+    short = "a short text of some words that stands beside the long one"
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, short)], "doc_id long, text string")
+    one = {r["doc_id"]: r for r in remove_repeats(docs, with_text=False).collect()}
+    assert (one[1]["n_words"], one[1]["n_removed"], one[2]["n_removed"], one[3]["n_removed"]) == (words, words, words, 0)
+    four = {r["doc_id"]: r for r in line_crf.judge(docs, line_crf.ALL_CONTENT).collect()}
+    assert four[1]["n_words"] == words and four[1]["word_chars"] == sum(map(len, text.split()))
+    items = spark.createDataFrame([("i", "three four five six seven eight nine ten eleven"), ("j", "not in there at all")], "item_id string, text string")
+    five = {r["doc_id"]: r for r in decontaminate(docs, items).collect()}
+    assert (five[1]["n_hit"], five[1]["items"], five[3]["n_hit"]) == (9, ["i"], 0)
+    six = {r["doc_id"]: r["spans"] for r in secrets.findings(docs, secrets.extend_ledger(docs, shared_folder(spark, "ledger"))).collect()}
+    assert [(s["kind"], text[s["start"] : s["end"]]) for s in six[1]] == [("assign", 'token = "abcdefghijklmnop')]
+    seven = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert seven == {1: 1, 2: 1, 3: 3}
+    eight = {r["doc_id"]: r["licences"] for r in licences.scan_licences(docs).collect()}
+    assert "Apache-2.0" in str(eight[1]) and not eight[3]
+    nine = compression.score_documents(docs, compression.CompressionModel(b"some words", b"other words", 1.0, 0.0)).collect()
+    assert all(0 <= r["score"] <= 1 for r in nine)
+    ten = ngram_lm.score_documents(docs, docs.where("doc_id = 3")).collect()
+    assert len(ten) == 3
+    eleven = {r["doc_id"]: r for r in periodic_runs(docs, with_text=False).collect()}
+    assert (eleven[1]["n_words"], eleven[1]["runs"]) == (words, [])
