@@ -5,12 +5,14 @@ Jaccard similarity of their sets is at least ``percent``; a component is what li
 
 1. Documents of equal sets form a class; classes take the place of documents from here on.
 2. A class's signature has ``COORDINATES`` minima.  It is posted under its coordinate-value
-   pairs.  Two classes that agree in ``MATCHES`` coordinates share one of their
-   COORDINATES - MATCHES + 1 rarest pairs (the prefix), so only those are posted, pairs no other
-   class has are skipped, and sets of too different sizes never meet (bands).  Posted classes
-   count the coordinates they share; those below the match threshold are dropped.
-   A link of similarity 0.85 has 27 matches on average; fewer than 13 come once in 10^9 links.
-3. What collides forms groups; a spanning forest of each posting list is all that is kept of its pairs.
+   pairs.  Links of ``percent`` agree in ``least_matches(percent)`` coordinates, but for one in 10^9.
+   Two classes that agree in m coordinates share one of their COORDINATES - m + 1 rarest pairs
+   (the prefix), so only those are posted, pairs no other class has are skipped, and sets of too
+   different sizes never meet (bands).  Texts that share less than that, such as a common
+   passage, have enough pairs of their own for their prefix and are not posted at all.
+   Posted classes count the coordinates they share; those below the match threshold are dropped.
+3. What collides forms groups; a spanning forest of each posting list is all that is kept of its
+   pairs, and classes that a list has connected already are skipped when it is merged on.
 4. Within a group sets are compared exactly.  A group larger than a block is cut into blocks
    and each pair of blocks is a unit of its own, so no task holds a group.  Units return a
    spanning forest of their links, from which components follow.
@@ -38,8 +40,9 @@ from tallyweave.session import shared_folder
 
 SHINGLE = 3
 PERCENT = 85
-COORDINATES = 32
-MATCHES = 13
+COORDINATES = 96
+#: links of the least similarity that may have too few matches
+MISSED = 1e-9
 BLOCK = 512
 _FILTER_BITS = 26
 
@@ -47,6 +50,19 @@ _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64)) | U64(1)
 _SHIFTS = mix(np.arange(1001, COORDINATES + 1001, dtype=U64))
 
 
+def least_matches(percent: int) -> int:
+    """The number of equal coordinates that links of ``percent`` reach, all but a share of ``MISSED``."""
+    if not 20 <= percent <= 100:
+        raise ValueError("similarities from 20 to 100 percent can be told by the coordinates")
+    p, fewer, least = percent / 100, 0.0, 0
+    while least < COORDINATES:
+        fewer += math.comb(COORDINATES, least) * p**least * (1 - p) ** (COORDINATES - least)
+        if fewer > MISSED:
+            break
+        least += 1
+    return max(least, 1)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a shorter text is one shingle."""
     words = Words(data, offsets, fold=True)
@@ -70,13 +86,16 @@ def class_of(found: np.ndarray) -> int:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """Coordinate-value pairs of non-empty sets as numbers, a row per set."""
+    """The values of all coordinates of non-empty sets, a row per set.
+
+    32 bits of a minimum are its value: others that share them by chance only propose.
+    """
     start = np.cumsum([0] + [len(s) for s in sets[:-1]])
     flat = np.concatenate(sets)
     out = np.empty((len(sets), COORDINATES), U64)
     for k in range(COORDINATES):
         out[:, k] = np.minimum.reduceat((flat * _FACTORS[k]) ^ _SHIFTS[k], start)
-    return mix(out + _FACTORS[None, :])
+    return (mix(out + _FACTORS[None, :]) >> U64(32)).astype(np.uint32)
 
 
 def _describe(width: int):
@@ -87,15 +106,19 @@ def _describe(width: int):
                 own = offsets[first : last + 1] - offsets[first]
                 sets = shingle_sets(data[offsets[first] : offsets[last]], own, width)
                 some = [s for s in sets if len(s)]
-                pairs = iter(signatures(some).view(np.int64)) if some else iter(())
+                values = signatures(some) if some else np.zeros((0, COORDINATES), np.uint32)
+                place = np.cumsum([len(s) > 0 for s in sets]) - 1
+                full = [int(place[i]) if len(s) else None for i, s in enumerate(sets)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([next(pairs) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                        pa.array([None if i is None else values[i].view(np.int32) for i in full], pa.list_(pa.int32())),
+                        # a byte of each: enough to count equal ones
+                        pa.array([None if i is None else values[i].astype(np.uint8).tobytes() for i in full], pa.binary()),
                     ],
-                    names=["id", "class", "n", "pairs"],
+                    names=["id", "class", "n", "pairs", "marks"],
                 )
 
     return work
@@ -132,24 +155,31 @@ def _collide(matches: int, percent: int):
     """
 
     def settle(rows: list[tuple]) -> list[tuple[int, int]]:
-        marks = np.array([r[5] for r in rows], np.int64).astype(np.uint16)
+        n = len(rows)
+        marks = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(n, COORDINATES)
         sizes = np.array([r[4] for r in rows])
         guest = np.array([r[6] for r in rows], bool)
         own = np.array([r[7] for r in rows])
-        out_a, out_b = [], []
-        for at in range(len(rows) - 1):
-            near = (marks[at + 1 :] == marks[at]).sum(axis=1) >= matches
-            lo, hi = np.minimum(sizes[at + 1 :], sizes[at]), np.maximum(sizes[at + 1 :], sizes[at])
-            found = np.flatnonzero(near & (100 * lo >= percent * hi)) + at + 1
-            out_a.append(np.full(len(found), at))
-            out_b.append(found)
-        if not out_a:
-            return []
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        known = guest[a] & guest[b]
-        if rows[0][1] != rows[0][2]:
-            known |= own[a] == own[b]
-        return [(rows[x][3], rows[y][3]) for x, y in forest(a, b, len(rows), known)]
+        within = rows[0][1] == rows[0][2]
+        part, out = np.arange(n), []
+        for at in range(n - 1):
+            # what the list has connected with this class is skipped
+            rest = np.flatnonzero(part[at + 1 :] != part[at]) + at + 1
+            if not len(rest):
+                continue
+            near = (marks[rest] == marks[at]).sum(axis=1) >= matches
+            lo, hi = np.minimum(sizes[rest], sizes[at]), np.maximum(sizes[rest], sizes[at])
+            found = rest[near & (100 * lo >= percent * hi)]
+            if not len(found):
+                continue
+            known = guest[found] & guest[at]
+            if not within:
+                known |= own[found] == own[at]
+            found = np.concatenate([found[known], found[~known]])
+            joined, first = np.unique(part[found], return_index=True)
+            out += [(rows[at][3], rows[y][3]) for y in found[first[first >= known.sum()]].tolist()]
+            part[np.isin(part, joined)] = part[at]
+        return out
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -254,20 +284,24 @@ def near_duplicates(
     path = shared_folder(spark, "near-dups")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    source.mapInArrow(_describe(width), f"id {id_type}, class long, n long, pairs array<long>").write.parquet(f"{path}/rows")
+    source.mapInArrow(_describe(width), f"id {id_type}, class long, n long, pairs array<int>, marks binary").write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     (
         rows.where("n > 0")
         .groupBy("class")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("pairs").alias("pairs"))
+        .agg(
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("pairs").alias("pairs"), F.first("marks").alias("marks")
+        )
         .write.parquet(f"{path}/classes")
     )
     classes = spark.read.parquet(f"{path}/classes")
 
     # the prefix: of the pairs in order of rarity, those another class has as well
-    posted = classes.select("class", F.explode("pairs").alias("pair"))
+    matches = least_matches(percent)
+    coordinate = classes.select("class", F.posexplode("pairs").alias("k", "v"))
+    posted = coordinate.select("class", F.expr("shiftleft(CAST(k AS BIGINT), 32) + (CAST(v AS BIGINT) & 4294967295)").alias("pair"))
     common = posted.groupBy("pair").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    length = COORDINATES - MATCHES + 1
+    length = COORDINATES - matches + 1
     prefix = (
         posted.join(common, "pair")
         .groupBy("class")
@@ -275,10 +309,10 @@ def near_duplicates(
         .select("class", F.expr(f"slice(p, 1, greatest({length} - ({COORDINATES} - size(p)), 0))").alias("p"))
         .where("size(p) > 0")
     )
-    marks = F.transform("pairs", lambda x: x.bitwiseAND(65535).cast("int"))
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9)
+    # sets that link are of one band or of two neighbouring ones
+    band = F.col("n") * 2 if percent == 100 else F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9)
     entries = (
-        prefix.join(classes.select("class", "n", marks.alias("marks"), band.alias("band")), "class")
+        prefix.join(classes.select("class", "n", "marks", band.alias("band")), "class")
         .select("class", "n", "marks", "band", F.explode("p.pair").alias("pair"))
         .select("class", "n", "marks", "pair", "band", F.explode(F.array(F.lit(False), F.lit(True))).alias("guest"))
         .withColumn("band", F.col("band") + F.col("guest").cast("int"))
@@ -296,7 +330,7 @@ def near_duplicates(
     colliding = (
         ready.repartition("unit", "i", "j")
         .sortWithinPartitions("unit", "i", "j", "class")
-        .mapInArrow(_collide(MATCHES, percent), "a long, b long")
+        .mapInArrow(_collide(matches, percent), "a long, b long")
     )
     groups = components(colliding)
     groups.write.parquet(f"{path}/groups")

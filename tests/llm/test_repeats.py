@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyweave.llm import suffixes
 from tallyweave.llm.components import components
 from tallyweave.llm.decontaminate import decontaminate
-from tallyweave.llm.near_dups import linked, near_duplicates
+from tallyweave.llm.near_dups import COORDINATES, MISSED, least_matches, linked, near_duplicates
 from tallyweave.llm.substrings import remove_repeats
 from tallyweave.llm.suffixes import remove_repeated_bytes
 from tallyweave.llm.words import Words
@@ -75,6 +75,63 @@ def test_near_duplicates_of_a_chain(spark, same):
     same(near_duplicates(df, block=8), ["doc_id", "n_shingles", "component_id", "kept"], plain.near_duplicates(rows))
 
 
+def similar(count, seed):
+    """Texts in families whose members share anything from a third to all of their words in order."""
+    import random
+
+    draw = random.Random(seed)
+    rows = []
+    for family in range(count):
+        base = [f"f{family}w{i}" for i in range(draw.randrange(30, 120))]
+        for _ in range(6):
+            own = list(base)
+            for _ in range(draw.randrange(0, 14)):
+                own[draw.randrange(len(own))] = f"x{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own[: draw.randrange(len(own) // 2, len(own)) + 1])))
+    return rows
+
+
+@pytest.mark.parametrize("percent,width", [(50, 3), (70, 3), (80, 5), (85, 3), (100, 2)])
+def test_near_duplicates_at_any_similarity(spark, same, percent, width):
+    rows = similar(40, percent)
+    rows += [(1000 + i, text) for i, text in rows[:5]] + [(2000, " ".join(reversed(rows[0][1].split())))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = plain.near_duplicates(rows, width, percent)
+    assert 0 < sum(not r[3] for r in expected)
+    same(near_duplicates(df, percent=percent, width=width, block=16), ["doc_id", "n_shingles", "component_id", "kept"], expected)
+
+
+def test_matches_follow_the_similarity():
+    from math import comb
+
+    for percent in (20, 50, 70, 80, 85, 95):
+        p, m = percent / 100, least_matches(percent)
+        missed = sum(comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k) for k in range(m))
+        assert missed <= MISSED < missed + comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m) or m == 1
+    assert least_matches(100) == COORDINATES
+    with pytest.raises(ValueError):
+        least_matches(19)
+
+
+def test_texts_that_share_a_passage_do_not_meet(spark):
+    """Below the similarity asked for, texts with a common passage are neither posted nor compared in pairs."""
+    import random
+    import time
+
+    draw = random.Random(5)
+    shared = [f"s{i}" for i in range(110)]
+
+    def seconds(count):
+        rows = [(i, " ".join(shared + [f"o{draw.randrange(10**9)}" for _ in range(90)])) for i in range(count)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        start = time.perf_counter()
+        assert near_duplicates(df).where("kept").count() == count
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(8000) < 3 * seconds(1000) + 10
+
+
 def test_links_are_exact():
     a = np.arange(100, dtype=np.uint64)
     assert linked([a, a[:85], a[:84]], 85) == [(0, 1), (1, 2)]
