@@ -134,24 +134,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licences_sql() -> str:
-    known = " ".join(
-        f"WHEN '{sentence}' THEN '{i}'" for sentence, i in licences.sentence_ids().items()
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    words = "lower(coalesce(text, ''))"
+    for pattern, put in licences.STEPS:
+        words = f"regexp_replace({words}, {quoted(pattern)}, {quoted(put)}, 'g')"
+    known = " ".join(f"WHEN {quoted(s)} THEN '{i}'" for s, i in licences.sentence_ids().items())
+    patterns = dict(licences.rule_patterns())
+    found = {n: "(" + " OR ".join(f"line LIKE '{p}'" for p in own) + ")" for n, own in patterns.items()}
+    named = ", ".join(
+        f"CASE WHEN {' AND NOT '.join([found[n], *[found[f] for f in licences.FULLER.get(n, ())]])} THEN '{n}' END" for n in found
     )
-    rules = ", ".join(
-        f"CASE WHEN contains(line, '{run}') THEN '{name}' END" for name, run in licences.rule_texts()
-    )
-    return rf"""WITH spaced AS (SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')),
-        '[.!?;:]+([	-
- ]|\z)', chr(10), 'g'), '[^\pL\pN
-]+', ' ', 'g') AS t FROM documents),
-    lists AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(10)), lambda s: trim(s)), lambda s: s <> '') AS s
-      FROM spaced),
-    ids AS (SELECT doc_id, s, list_transform(s, lambda x: CASE x {known} ELSE '0' END) AS ids FROM lists),
-    lines AS (SELECT doc_id, len(s) AS n, len(list_filter(ids, lambda i: i <> '0')) AS k,
-      regexp_replace(regexp_replace(',' || array_to_string(list_transform(ids, lambda i: i || ','), ','), '(,0,)+', ',0,', 'g'),
-        ',,', ',', 'g') AS line FROM ids)
-    SELECT doc_id, CAST(n AS BIGINT) AS n_sentences, CAST(k AS BIGINT) AS n_known, line AS sentence_ids,
-      array_to_string(list_sort(list_distinct(list_filter([{rules}], lambda x: x IS NOT NULL))), ',') AS licences
+    return f"""WITH spaced AS (SELECT doc_id, ' ' || trim({words}, ' ') || ' ' AS words FROM documents),
+    cut AS (SELECT doc_id, len(list_filter(string_split(words, chr(1)), lambda s: trim(s, ' ') <> '')) AS n,
+      list_transform(regexp_extract_all(words, {quoted(licences.known_pattern())}, 0), lambda s: CASE s {known} END) AS ids FROM spaced),
+    lines AS (SELECT *, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') AS line FROM cut)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_sentences, CAST(len(ids) AS BIGINT) AS n_known, array_to_string(ids, ',') AS sentence_ids,
+      array_to_string(list_sort(list_filter([{named}], lambda x: x IS NOT NULL)), ',') AS licences
     FROM lines"""
 
 

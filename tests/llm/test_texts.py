@@ -280,6 +280,63 @@ def long_text():
     return "\n".join(lines) + "\n" + "z" * 300_000
 
 
+PUBLISHED = {
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.""",
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "MIT": "# SPDX-License-Identifier: MIT\n\nimport os\n",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy",
+    "GPL-2.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989",
+    "GPL-2.0-or-later": """// This program is free software; you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation; either version 2 of the License, or
+// (at your option) any later version.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU Affero General Public License as published
+    by the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""",
+    "Apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:""",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file)",
+    "EPL-2.0": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at",
+}
+
+
+def test_published_notices(spark):
+    clauses = ". ".join([licences.BSD_GRANT, licences.BSD_SOURCE, licences.BSD_BINARY])
+    texts = [*PUBLISHED.items(), ("MIT", "This file is released under the MIT License"), ("BSD-2-Clause", clauses)]
+    texts += [("BSD-3-Clause", f"{clauses}\n3. {licences.BSD_NAMES} its holders may be used"), ("", "All rights reserved. No licence.")]
+    texts += [("Apache-2.0,MIT", "SPDX-License-Identifier: Apache-2.0\nand\nSPDX-License-Identifier: MIT")]
+    docs = spark.createDataFrame([(i, text, name) for i, (name, text) in enumerate(texts)], "doc_id long, text string, rule string")
+    for row in licences.scan_licences(docs).collect():
+        assert row["licences"] == row["rule"], row["text"]
+
+
+def test_the_twin_reads_wrapped_notices_alike(spark, tmp_path):
+    import duckdb
+    from tallyweave.llm.queries import ORACLES, QUERIES
+
+    texts = [*PUBLISHED.values(), None, "", "\n\n", "a.\u2028", "x \x01 y", "# a\n#\n# b; c", "İSTANBUL. ß|ﬁ. a_b c1", "one.\r\n\r\ntwo:three: four"]
+    texts += ["\n".join(f"{m}{line}" for line in textwrap.wrap(licences.MIT_GRANT + ": " + licences.MIT_NOTICE, 60)) for m in ("", "; ", "* ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: (r["n_sentences"], r["n_known"], r["sentence_ids"], r["licences"]) for r in QUERIES["op8_licences"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    twin = con.execute(f"SELECT doc_id, n_sentences, n_known, sentence_ids, licences FROM ({ORACLES['op8_licences']}) t").fetchall()
+    assert found == {r[0]: r[1:] for r in twin}
+
+
 def test_very_long_texts(spark):
     """What stands at the end of a long text is seen like anything else, and counts are those of the whole."""
     from tallyweave.llm.decontaminate import decontaminate
