@@ -5,7 +5,7 @@ Jaccard similarity of their sets is at least ``percent``; a component is what li
 
 1. Documents of equal sets form a class; classes take the place of documents from here on.
 2. A class's signature has ``COORDINATES`` minima.  It is posted under its coordinate-value
-   pairs.  Links of ``percent`` agree in ``least_matches(percent)`` coordinates, but for one in 10^9.
+   pairs.  Links of ``percent`` agree in ``least_matches(percent)`` coordinates, but for one in 10^7.
    Two classes that agree in m coordinates share one of their COORDINATES - m + 1 rarest pairs
    (the prefix), so only those are posted, pairs no other class has are skipped, and sets of too
    different sizes never meet (bands).  Texts that share less than that, such as a common
@@ -40,9 +40,9 @@ from tallyweave.session import shared_folder
 
 SHINGLE = 3
 PERCENT = 85
-COORDINATES = 96
+COORDINATES = 64
 #: links of the least similarity that may have too few matches
-MISSED = 1e-9
+MISSED = 1e-7
 BLOCK = 512
 _FILTER_BITS = 26
 
@@ -52,15 +52,15 @@ _SHIFTS = mix(np.arange(1001, COORDINATES + 1001, dtype=U64))
 
 def least_matches(percent: int) -> int:
     """The number of equal coordinates that links of ``percent`` reach, all but a share of ``MISSED``."""
-    if not 20 <= percent <= 100:
-        raise ValueError("similarities from 20 to 100 percent can be told by the coordinates")
+    if not 25 <= percent <= 100:
+        raise ValueError("similarities from 25 to 100 percent can be told by the coordinates")
     p, fewer, least = percent / 100, 0.0, 0
     while least < COORDINATES:
         fewer += math.comb(COORDINATES, least) * p**least * (1 - p) ** (COORDINATES - least)
         if fewer > MISSED:
             break
         least += 1
-    return max(least, 1)
+    return least
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
