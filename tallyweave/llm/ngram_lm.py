@@ -10,15 +10,17 @@ table grows with the input.  Counts are summed per chunk of texts before they ar
 so a frequent n-gram is a handful of rows.  Lower orders are marginals of the same counts.
 The probability of a byte is interpolated with the next lower order,
 
-    p_n(w | c) = (count(c w) + STRENGTH * p_(n-1)(w | c')) / (count(c) + STRENGTH),
+    p_n(w | c) = (m * count(c w) + STRENGTH * p_(n-1)(w | c')) / (m * count(c) + STRENGTH),
 
-down to the uniform distribution over the vocabulary.  Only the loss difference of each
-n-gram is needed for scoring.  The table of differences is sent to every task while it has at
-most ``broadcast_rows`` rows (12 bytes each); a larger one is joined with the documents'
-own n-gram counts by a shuffle, with the same result.
+down to the uniform distribution over the vocabulary.  The models are matched: m weighs the
+counts of the larger corpus, so that both weigh as many bytes against the prior and the difference tells
+the texts apart, not the sizes of what was counted.  The table of losses is sent to every task
+while it has at most ``broadcast_rows`` rows (20 bytes each); a larger one is joined with the
+documents' own n-gram counts by a shuffle; both sum the same losses in double precision.
 
 Nulls are empty texts, and empty texts have no bytes and score 0.  Without target texts the target
-model is the uniform prior; the scores are still defined.  Repeated rows count each time.
+model is the uniform prior; the scores are still defined.  Repeated rows count each time and get
+equal scores; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -104,6 +106,9 @@ def losses(counted: DataFrame, order: int = ORDER, strength: float = STRENGTH) -
     n-gram's ending, which spread over as many keys as there are endings.
     """
     kinds = ("target", "background")
+    sums = counted.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds]).first()
+    # without one of the corpora there is nothing to match
+    weight = {k: min(sums) / sums[k] if min(sums) else 1.0 for k in kinds}
     current = counted.select("gram", *kinds)
     levels = [current]
     for n in range(order - 1, 0, -1):
@@ -130,7 +135,7 @@ def losses(counted: DataFrame, order: int = ORDER, strength: float = STRENGTH) -
         known = rows.select(
             "gram",
             *[
-                ((F.col(k) + strength * lower[k]) / (F.col(f"{k}_total") + strength)).alias(f"{k}_p")
+                ((weight[k] * F.col(k) + strength * lower[k]) / (weight[k] * F.col(f"{k}_total") + strength)).alias(f"{k}_p")
                 for k in kinds
             ],
         )
@@ -170,7 +175,7 @@ def _score_local(docs: DataFrame, table: DataFrame, text_col: str, order: int) -
     found = table.toArrow()
     keys = found.column("gram").to_numpy().astype(np.uint32)
     sort = np.argsort(keys)
-    values = [found.column(f"{k}_loss").to_numpy().astype(np.float32)[sort] for k in ("target", "background")]
+    values = [found.column(f"{k}_loss").to_numpy()[sort] for k in ("target", "background")]
     shared = docs.sparkSession.sparkContext.broadcast((keys[sort], *values))
     source, inner, kept = carried(docs, text_col, NAMES)
     schema = source.select(*inner).schema.add("n_tokens", "long")
@@ -185,9 +190,11 @@ def _score_local(docs: DataFrame, table: DataFrame, text_col: str, order: int) -
             for first, last in chunks(offsets, 1 << 20):
                 own = offsets[first : last + 1] - offsets[first]
                 at = np.searchsorted(known, grams(data[offsets[first] : offsets[last]], own, order))
+                some = own[1:] > own[:-1]
+                if not some.any():
+                    continue
                 for k, loss in enumerate((target_loss, background_loss)):
-                    running = np.concatenate([[0.0], np.cumsum(loss[at], dtype=np.float64)])
-                    sums[k, first:last] = running[own[1:]] - running[own[:-1]]
+                    sums[k, first:last][some] = np.add.reduceat(loss[at], own[:-1][some])
             n = np.diff(offsets)
             means = sums / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays(

@@ -144,11 +144,14 @@ def gram_losses(docs: list[tuple[str | None, bool]], order: int = 4, strength: f
             for gram, c in counts[n][k].items():
                 totals[n][k][gram[:-1]] += c
 
+    sizes = [sum(counts[order][k].values()) for k in (0, 1)]
+    weights = [min(sizes) / size if min(sizes) else 1.0 for size in sizes]
+
     def probability(gram: bytes, k: int) -> float:
         p = 1 / 256
         for n in range(1, order + 1):
             end = gram[order - n :]
-            p = (counts[n][k][end] + strength * p) / (totals[n][k][end[:-1]] + strength)
+            p = (weights[k] * counts[n][k][end] + strength * p) / (weights[k] * totals[n][k][end[:-1]] + strength)
         return p
 
     def loss(text: str | None) -> tuple[float, float]:

@@ -209,7 +209,27 @@ def test_language_models(spark, limit):
         n = len((r["text"] or "").encode())
         t, b = loss(r["text"])
         assert r["n_tokens"] == n
-        assert r["score"] == pytest.approx((t - b) / n if n else 0, abs=1e-5)
+        assert r["score"] == pytest.approx((t - b) / n if n else 0, abs=1e-12)
+        assert r["target_loss"] == pytest.approx(t / n if n else 0, abs=1e-12)
+
+
+def test_both_forms_of_scoring_agree_to_the_last_digits(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    target = docs.where("doc_id % 4 = 0")
+    one, two = (
+        {r["doc_id"]: r for r in ngram_lm.score_documents(docs, target, broadcast_rows=limit).collect()} for limit in (1 << 23, 0)
+    )
+    assert len(one) == len(two)
+    for name in ngram_lm.NAMES:
+        assert all(one[d][name] == pytest.approx(two[d][name], abs=1e-12) for d in one)
+
+
+def test_models_are_matched_in_size(spark):
+    """A corpus and half of it, alike in all else, are told apart by next to nothing."""
+    rows = [(i, "the same few words again and again in every text") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = ngram_lm.score_documents(docs, docs.where("doc_id < 4")).collect()
+    assert all(abs(r["score"]) < 1e-12 for r in out)
 
 
 @pytest.mark.parametrize(
