@@ -16,7 +16,8 @@ words of the corpus any further look; its false alarms are undone by the join.
 64-bit hashes and only propose; the words themselves decide.
 
 Words are lower-cased in A-Z.  Null texts and items have no words and never hit.  Items of
-equal text each count.  Repeated rows give a row each; rows are told apart by content, so
+equal text each count, an id that several items share once.  An item without an id hits like any
+other but stands in no list of items.  Repeated rows give a row each; rows are told apart by content, so
 two rows of equal text get equal results.  An empty benchmark contaminates nothing.
 """
 

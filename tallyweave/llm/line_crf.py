@@ -10,7 +10,9 @@ Training takes a bounded sample of labelled texts (``CrfLimits``): all lines of
 count as content, all lines of a bad one as boilerplate.  Scoring needs no shuffle.
 
 Nulls are empty texts: no words, so the base rules fail and they are not kept.  Without
-labels of both classes every line is content and the base rules alone decide.
+labels of both classes every line is content and the base rules alone decide.  Equal rows are
+judged alike, each in a row of its own; of two label sequences equally likely the one that keeps
+more is taken, and a share of exactly ``share`` is kept.
 """
 
 from __future__ import annotations

@@ -278,6 +278,7 @@ def near_duplicates(
     """(id, n_shingles, component_id, kept) of every row; kept rows are named like their component.
 
     Texts are read twice and never shuffled.  ``block`` bounds the sets a task compares at once.
+    Components that have not settled after the rounds of ``components`` end the run with an error.
     """
     spark = docs.sparkSession
     modest_batches(spark)
