@@ -87,11 +87,11 @@ def function_score(
 ) -> DataFrame:
     """(userKey, query): the whole search query of each user as JSON.
 
-    All inputs are grouped by user already, so the joins reuse that partitioning.
-    Clause lists that are null are left out of the JSON.
+    All inputs are grouped by user already, so the joins reuse that partitioning; a user
+    named several times has one query.  Clause lists that are null are left out of the JSON.
     """
     joined = (
-        users.select("userKey")
+        users.select("userKey").distinct()
         .join(clauses, "userKey", "left")
         .join(persona_functions, "userKey", "left")
         .join(cost_functions, "userKey", "left")

@@ -47,9 +47,14 @@ def build_session(app: str = "tallyweave", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    A session that names none has its warehouse, which driver and executors share as well.
+    A session that names none has its warehouse.  On a cluster a warehouse in a local folder is
+    refused, as each machine would write to a disk of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/steps"
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/steps"
+        if root.startswith(("file:", "/")) and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
     path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     for scope in _SCOPES:
         scope.append(path)

@@ -154,3 +154,31 @@ def test_query_rows_of_two_categories_are_two_rows(spark, rows):
     tables = {"user_query": spark.createDataFrame([], table_schema("user_query"))}
     out = load_entities(entities, flat, tables, conf, "user")["user_query"]
     assert rows(out, "userKey", "category", "field") == [("u1", "must", "economy"), ("u1", "should", "economy")]
+
+
+def test_steps_need_a_shared_folder_on_a_cluster():
+    from tallyweave.session import shared_folder
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("__", "."): v for k, v in conf.items()}
+
+    local = {"spark__sql__warehouse__dir": "file:/work/spark-warehouse"}
+    assert shared_folder(Session(**local, spark__master="local[2]"), "x").startswith("file:/work/spark-warehouse/steps/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(**local, spark__master="yarn"), "x")
+    shared = Session(**local, spark__master="yarn", spark__checkpoint__dir="hdfs:/steps")
+    assert shared_folder(shared, "x").startswith("hdfs:/steps/x-")
+    warehouse = Session(spark__sql__warehouse__dir="hdfs:/warehouse", spark__master="yarn")
+    assert shared_folder(warehouse, "x").startswith("hdfs:/warehouse/steps/x-")
+
+
+def test_a_user_named_twice_has_one_query(spark):
+    from tallyweave.operators import filters
+
+    t = Tables(spark, SF_DIR)
+    users = t["user_filter"].where("userKey IN ('1', '2')")
+    out = filters.function_score(
+        users.union(users), filters.bool_clauses(t["user_query"]), filters.persona_decay(persona.best_persona(t["user_persona"]), t["mod_persona"]), filters.cost_decay(t["user_evaluation"])
+    )
+    assert sorted(r["userKey"] for r in out.collect()) == ["1", "2"]
