@@ -8,8 +8,8 @@ Jaccard similarity of their sets is at least ``percent``; a component is what li
    pairs.  Links of ``percent`` agree in ``least_matches(percent)`` coordinates, but for one in 10^7.
    Two classes that agree in m coordinates share one of their COORDINATES - m + 1 rarest pairs
    (the prefix), so only those are posted, pairs no other class has are skipped, and sets of too
-   different sizes never meet (bands).  Texts that share less than that, such as a common
-   passage, have enough pairs of their own for their prefix and are not posted at all.
+   different sizes never meet (bands).  Texts that share much less than that, such as a common
+   passage, mostly have enough pairs of their own for their prefix and are not posted at all.
    Posted classes count the coordinates they share; those below the match threshold are dropped.
 3. What collides forms groups; a spanning forest of each posting list is all that is kept of its
    pairs, and classes that a list has connected already are skipped when it is merged on.
