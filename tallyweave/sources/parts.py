@@ -42,8 +42,7 @@ def rewrite_parts(rows: DataFrame, path: str, by: list[str]) -> None:
 
     ``rows`` may read the table itself: they are written beside it first.
     """
-    beside = _beside(path)
-    rows.hint("rebalance", *by).write.mode("overwrite").parquet(beside)
+    rows.write.mode("overwrite").parquet(_beside(path))
     _replace(rows.sparkSession, path, by)
 
 
