@@ -71,6 +71,11 @@ def run_name(as_of: datetime.datetime) -> str:
     return as_of.strftime("%Y%m%dT%H%M%S")
 
 
+def _moment(at: datetime.datetime) -> Column:
+    """A moment as the session's time zone reads it, like those of the tables."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def settle_days(
     spark: SparkSession, root: str, items: DataFrame, cutoff: datetime.datetime, as_of: datetime.datetime
 ) -> DataFrame:
@@ -84,7 +89,7 @@ def settle_days(
     clearing_path = f"{root}/clearing"
     finish_rewrite(spark, clearing_path, CLEARING_BY)
     finish_rewrite(spark, f"{root}/settlements", SETTLEMENTS_BY)
-    now, run = F.lit(as_of).cast("timestamp"), run_name(as_of)
+    now, run, until = _moment(as_of), run_name(as_of), _moment(cutoff)
     clearing = read_clearing(spark, root)
     begun = F.col("status_settle") == "settling"
     other = clearing.where(begun & (F.col("update_date") != now)).select("update_date").first()
@@ -92,18 +97,18 @@ def settle_days(
         raise RuntimeError(f"the run of {other['update_date']} has not ended: run it again first")
 
     before = F.col("day") <= F.lit(cutoff.date())
-    payable = (F.col("status_clear") == "cleared") & (F.col("create_date") < F.lit(cutoff).cast("timestamp"))
+    payable = (F.col("status_clear") == "cleared") & (F.col("create_date") < until)
     open_ = clearing.where(before & payable & F.col("status_settle").isin("pending", "settling"))
     days = _days(open_)
     if not days:
         return unsettled_groups(settlement_summary(clearing.where(F.lit(False)), items, None))
 
-    pending = settlement_summary(clearing.where(_on(days)), items, F.lit(cutoff).cast("timestamp"))
+    pending = settlement_summary(clearing.where(_on(days)), items, until)
     pending = stage(pending, "settlement-groups")
     touched = [d for d in days if d in {r["date"] for r in pending.where("type IS NOT NULL").select("date").distinct().collect()}]
     if touched:
         rows = clearing.where(_on(touched))
-        rewrite_parts(mark_settling(rows, pending, items, F.lit(cutoff).cast("timestamp"), now), clearing_path, CLEARING_BY)
+        rewrite_parts(mark_settling(rows, pending, items, until, now), clearing_path, CLEARING_BY)
 
     settling = read_clearing(spark, root).where(_on(days) & begun)
     groups = settlement_summary(settling.withColumn("status_settle", F.lit("pending")), items, None)
