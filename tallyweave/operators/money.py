@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import blank, digest
+from tallyweave.operators.pairing import LEAST_SALTS
 from tallyweave.operators.upsert import one_row_per_key
 from tallyweave.schemas import MONEY, SHARE
 
@@ -106,8 +107,8 @@ def clear_orders(
 ) -> DataFrame:
     """One clearing row per order and share rule of its platform.
 
-    The rules are joined first (they are few); each order meets the broker table
-    once.  Ids are digests of the order and rule, so a rerun gives the same ids.
+    Each order meets the broker table once.  Ids are digests of the order and rule, so a rerun
+    gives the same ids.
     """
     lines = broker_lines(ancestors, counts).withColumnRenamed("broker", "broker_id")
     placed = attributed_orders(orders).join(lines, "broker_id", "left").select(
@@ -117,7 +118,22 @@ def clear_orders(
         F.coalesce("parent_able", F.lit(False)).alias("__parent_able"),
         F.coalesce("grandpa_able", F.lit(False)).alias("__grandpa_able"),
     )
-    return share_out(placed.join(rules, "platform"), as_of)
+    return share_out(with_rules(placed, rules), as_of)
+
+
+def with_rules(placed: DataFrame, rules: DataFrame, platforms: DataFrame | None = None) -> DataFrame:
+    """Each order with the rules of its platform.
+
+    Platforms are few and hold all orders, so a join on them alone would be that many tasks.
+    Orders are dealt out by their id within a platform, and the rules of ``platforms`` (all where none are
+    named) are repeated for each share: few rows that Spark broadcasts, or shuffles as wide as the orders.
+    """
+    salts = max(LEAST_SALTS, int(rules.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if platforms is not None:
+        rules = rules.join(platforms.select("platform").distinct(), "platform", "left_semi")
+    copies = rules.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = placed.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    return dealt.join(copies, ["platform", "__salt"]).drop("__salt")
 
 
 def share_out(shares: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ from tallyweave.operators.money import (
     share_out,
     unsettled_groups,
     voucher_numbers,
+    with_rules,
 )
 from tallyweave.operators.upsert import insert_ignore
 from tallyweave.sources.tables import stage
@@ -57,7 +58,7 @@ def clear_pending_orders(
     placed = taken.join(
         attributed_orders(owners).withColumnRenamed("code", "trace_code"), ["trace_code", "platform"]
     )
-    return share_out(placed.join(profit_rules(schemes, items), "platform"), as_of)
+    return share_out(with_rules(placed, profit_rules(schemes, items), trace), as_of)
 
 
 def settle_cleared(

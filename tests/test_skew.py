@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyweave.operators import money
 from tallyweave.plans.money import clear_pending_orders
 
 SETTINGS = {
@@ -11,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.shuffle.partitions": "16",
 }
 ORDERS, CODES = 600_000, 200_000
@@ -56,3 +58,16 @@ def test_the_hot_code_is_split_and_no_row_is_lost(spark, small_limits):
     assert got == {"i1": (ORDERS, ORDERS * 60), "i2": (ORDERS, ORDERS * 10)}
     final = totals._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "skew=true" in final
+
+
+def test_orders_of_one_platform_meet_its_rules_in_many_tasks(spark, small_limits):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    orders = spark.range(2000).selectExpr("cast(id as string) id", "'p1' platform", "'b' broker_id")
+    rules = spark.range(3).selectExpr("'p1' platform", "cast(id as string) scheme_item_id")
+    met = money.with_rules(orders, rules, spark.sql("SELECT 'p1' platform"))
+    assert met.columns == ["platform", "id", "broker_id", "scheme_item_id"]
+    tasks = met.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r["n"] for r in tasks) == 6000
+    assert max(r["n"] for r in tasks) < 3000
