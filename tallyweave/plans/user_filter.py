@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyweave.operators.filters import bool_clauses, cost_decay, function_score, persona_decay
 from tallyweave.operators.persona import best_persona, score_personas
@@ -36,15 +37,18 @@ def user_filters(
     property_: DataFrame,
     evaluation: DataFrame,
     conf: dict[str, DataFrame],
+    every: bool = False,
 ) -> DataFrame:
     """The search query of each of ``users``, from scored personas on.
 
-    Everything is cut to the users at hand before it is grouped.
+    Everything is cut to the users at hand before it is grouped.  Where ``users`` are stated to be
+    ``every`` user of the tables, there is nothing to cut: rows are then grouped as they are read, and
+    reach the shuffle as one per user.
     """
     asked = users.select("userKey").distinct()
 
     def of_users(rows: DataFrame) -> DataFrame:
-        return rows.join(asked, "userKey", "left_semi")
+        return rows.where(F.col("userKey").isNotNull()) if every else rows.join(asked, "userKey", "left_semi")
 
     evaluated = of_users(evaluation)
     personas = best_persona(matched_personas(of_users(user_persona), of_users(property_), evaluated, conf))
@@ -65,27 +69,36 @@ def user_digests(tables: dict[str, DataFrame], conf: dict[str, DataFrame]) -> Da
     sums, so a user with any number of rows is one row per input task.
     """
     settings = [
-        rows.agg(F.count(F.lit(1)), *_sums(name, rows.columns)).select(F.struct("*").alias("s")).first()["s"]
+        rows.agg(F.count(F.lit(1)), *_sums(*_hashes(name, rows))).select(F.struct("*").alias("s")).first()["s"]
         for name, rows in sorted(conf.items())
     ]
-    rows = [t.select("userKey", *_hashes(name, t.columns)) for name, t in sorted(tables.items())]
-    digest = F.struct(F.count(F.lit(1)).alias("rows"), F.sum("one").alias("one"), F.bit_xor("two").alias("two"))
+    rows = [t.select("userKey", *_hashes(name, t)) for name, t in sorted(tables.items())]
+    digest = F.struct(F.count(F.lit(1)).alias("rows"), *_sums(F.col("one"), F.col("two")))
     every = reduce(DataFrame.unionByName, rows).groupBy("userKey").agg(digest.alias("rows"))
     return every.select("userKey", F.md5(F.concat_ws("|", F.to_json("rows"), F.lit(str(settings)))).alias("digest"))
 
 
-def _hashes(name: str, columns: list[str]) -> list[Column]:
+def _hashes(name: str, rows: DataFrame) -> list[Column]:
     # two hashes that have nothing to do with one another; nulls and absent values differ by their place
-    whole = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
-    return [
-        F.xxhash64(F.lit(name), whole).cast("decimal(38,0)").alias("one"),
-        F.conv(F.substring(F.md5(F.concat(F.lit(name), whole)), 1, 15), 16, 10).cast("bigint").alias("two"),
-    ]
+    fields = sorted(rows.schema.fields, key=lambda f: f.name)
+    values = [v for f in fields for v in (F.col(f"`{f.name}`").isNull(), _hashed(f))]
+    label = F.lit(" ".join([name, *(f"{f.name}:{f.dataType.simpleString()}" for f in fields)]))
+    two = F.xxhash64(F.hash(label, *values), *reversed(values), label)
+    return [F.xxhash64(label, *values).alias("one"), two.alias("two")]
+
+
+def _hashed(field: T.StructField) -> Column:
+    # what is nested keeps its nulls in JSON; fractions as text tell 0.0 from -0.0
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+    return c.cast("string") if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else c
 
 
-def _sums(name: str, columns: list[str]) -> list[Column]:
-    one, two = _hashes(name, columns)
-    return [F.sum(one), F.bit_xor(two)]
+def _sums(one: Column, two: Column) -> list[Column]:
+    # the halves of a hash are summed as longs, which 2^31 rows do not fill
+    halves = F.sum(F.shiftright(one, 32)).alias("high"), F.sum(one.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")
+    return [*halves, F.bit_xor(two).alias("two")]
 
 
 def changed_users(last: DataFrame | None, now: DataFrame) -> DataFrame:
@@ -114,5 +127,5 @@ def changed_user_filters(
     tables = {"persona": user_persona, "query": user_query, "property": property_, "evaluation": evaluation}
     now = stage(user_digests(tables, conf), "user-digests")
     asked = stage(changed_users(last, now), "changed-users")
-    filters = user_filters(asked, user_persona, user_query, property_, evaluation, conf)
+    filters = user_filters(asked, user_persona, user_query, property_, evaluation, conf, every=last is None)
     return filter_documents(docs, filters), now

@@ -12,7 +12,7 @@ from tallyweave.operators import persona, scoring
 from tallyweave.operators.upsert import absent_from, insert_ignore
 from tallyweave.plans import score_changes
 from tallyweave.plans.load import load_entities
-from tallyweave.plans.user_filter import changed_user_filters, changed_users, user_digests
+from tallyweave.plans.user_filter import changed_user_filters, changed_users, filter_documents, user_digests, user_filters
 from tallyweave.schemas import table_schema
 from tallyweave.sources.parts import add_to_parts
 
@@ -74,6 +74,41 @@ def test_only_changed_users_are_asked_again(spark, rows):
     assert changed_users(last, user_digests(dict(zip(names, now)), other)).count() == last.count()
 
 
+def test_a_first_run_asks_all_users_without_looking_them_up(spark, rows):
+    t = Tables(spark, SF_DIR)
+    conf = t.some("mod_hierarchy", "mod_phase", "mod_persona")
+    nobody = t["user_query"].limit(1).withColumn("userKey", F.lit(None).cast("string"))
+    now = [t["user_persona"], t["user_query"].unionByName(nobody), t["user_property"], t["user_evaluation"]]
+    first, digests = changed_user_filters(t["user_docs"], None, *now, conf)
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan
+    users = digests.select("userKey")
+    looked_up = filter_documents(t["user_docs"], user_filters(users, *now, conf))
+    assert rows(first, *first.columns) == rows(looked_up, *first.columns)
+
+
+def test_digests_tell_values_apart_without_writing_json(spark):
+    layout = "userKey string, a string, b string, d double, l array<string>"
+    kinds = [("x", None, 0.0, ["y", None]), (None, "x", 0.0, ["y", None]), ("", "x", 0.0, ["y", None]), ("x", None, -0.0, ["y", None]),
+             ("x", None, None, ["y", None]), ("x", None, 0.0, ["y"]), ("x", None, 0.0, None), ("x", "x", 0.0, ["y", None])]
+    table = spark.createDataFrame([(str(i), *k) for i, k in enumerate(kinds)], layout)
+    conf = {"c": spark.createDataFrame([("1", 0.5)], "id string, alpha double")}
+
+    def of(rows):
+        # all rows under one user, as the key is part of a row
+        return [user_digests({"t": rows.where(F.col("userKey") == str(i)).withColumn("userKey", F.lit("u"))}, conf).first()["digest"] for i in range(len(kinds))]
+
+    found = of(table)
+    assert len(set(found)) == len(kinds)
+    # a repeated row is seen, the name of a column and of a table too
+    one = table.where("userKey = '0'")
+    twice = {n: user_digests({n: f}, conf).first()["digest"] for n, f in (("t", one.union(one)), ("s", one), ("r", one.withColumnRenamed("a", "z")))}
+    plain = user_digests({"t": one}, conf).first()["digest"]
+    assert len({plain, *twice.values()}) == 4
+    flat = user_digests({"t": table.drop("l")}, conf)._jdf.queryExecution().optimizedPlan().toString()
+    assert flat.count("StructsToJsonEvaluator") == 1, "the sums of a user are JSON, not its rows"
+
+
 @pytest.fixture
 def setting(spark):
     old = {}
