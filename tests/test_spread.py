@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from suite import fixtures
+from suite import fixtures, streams
+from suite.registry import QUERIES
 
 
 def shares(df):
@@ -28,3 +29,23 @@ def test_a_table_in_one_file_is_multiplied_by_many_tasks(spark, tmp_path, table,
     got = shares(fixtures.load(spark, str(tmp_path), view))
     assert sum(got) == 4000 * times
     assert got[0] < sum(got) / 4
+
+
+def test_the_labels_of_three_runs_are_made_once(spark, rows, tmp_path, monkeypatch):
+    varied = PART.replace("'n' AS", "'n' || CAST(id % 30 AS STRING) AS")
+    spark.range(90).selectExpr(*varied.split(", ")).write.parquet(f"{tmp_path}/part.parquet")
+    seen, arriving = [], streams.arriving
+
+    def watched(t, new, folder):
+        seen.append((folder, new.inputFiles()))
+        return arriving(t, new, folder)
+
+    monkeypatch.setattr(streams, "arriving", watched)
+    found = QUERIES["stream_normalize_item"](spark, str(tmp_path))
+    labels = [files for folder, files in seen if "item-labels" in folder]
+    assert len(labels) == 3 and all("item-values" in f for files in labels for f in files)
+    keys = ["category", "property", "value"]
+    ready = fixtures.load(spark, str(tmp_path), "item_value").where("status = 'ready' OR rank IN (3, 5)").select(*keys, "score", "rank")
+    whole = fixtures.load(spark, str(tmp_path), "item_property").drop("score", "rank").join(ready, keys)
+    columns = [*keys, "itemKey", "score", "rank"]
+    assert rows(found, *columns) == rows(whole, *columns) and found.where("status <> 'ready'").isEmpty()
