@@ -130,7 +130,7 @@ def sync_features(docs: DataFrame, evaluation: DataFrame, key: str, nest: str |
         .agg(F.map_from_entries(F.collect_list(F.struct("type", value.alias("value")))).alias("__new"))
         .withColumnRenamed(key, "_key")
     )
-    fields = F.try_parse_json("doc").cast("map<string,variant>")
+    fields = F.col("__v").cast("map<string,variant>")
     added = F.col("__new")
     if nest:
         inner = F.coalesce(
@@ -141,9 +141,11 @@ def sync_features(docs: DataFrame, evaluation: DataFrame, key: str, nest: str |
     kept = F.map_filter(fields, lambda k, _: ~F.map_contains_key(added, k))
     # parsing the merged text once more puts the fields in one order
     text = F.to_json(F.parse_json(F.to_json(F.map_concat(kept, added))))
-    joined = docs.join(results, "_key", "left")
+    # only documents with results are parsed, each once
+    parsed = F.when(F.col("__new").isNotNull(), F.try_parse_json("doc"))
+    joined = docs.join(results, "_key", "left").withColumn("__v", parsed)
     # documents that are no JSON stay as they are
-    hit = F.col("__new").isNotNull() & F.try_parse_json("doc").isNotNull()
+    hit = F.col("__v").isNotNull()
     return joined.select(
         *[
             F.when(hit, text).otherwise(F.col("doc")).alias("doc")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.operators.upsert import one_row_per_key, update_from
+from tallyweave.operators.upsert import meet_by_entity, one_row_per_key, update_from
 from tallyweave.sources.tables import stage
 
 
@@ -31,12 +31,14 @@ def measure_by_property(
     sums = scored.join(rules, by).groupBy(key, "dimension").agg(_sum_of("__w", "score", measure))
     mapped_by = ([key] if key in mapping.columns else []) + ["dimension"]
     leaf = mapping.select(*mapped_by).distinct().withColumn("__hit", F.lit(True))
-    joined = (
-        measure.withColumnRenamed("score", "__old")
-        .join(sums, [key, "dimension"], "left")
-        .join(leaf, mapped_by, "left")
-    )
-    return _scored(measure, joined)
+    return _scored(measure, _with_sums(measure, sums, key, "dimension").join(leaf, mapped_by, "left"))
+
+
+def _with_sums(rows: DataFrame, sums: DataFrame, key: str, node: str) -> DataFrame:
+    """``rows`` with the sum of their entity and node as ``score`` and their own score as ``__old``."""
+    change = sums.select(key, node, F.struct("score").alias("__new"))
+    met = meet_by_entity(rows.withColumnRenamed("score", "__old"), change, key, [key, node])
+    return met.withColumn("score", F.col("__new.score")).drop("__new")
 
 
 def _scored(target: DataFrame, joined: DataFrame) -> DataFrame:
@@ -107,8 +109,7 @@ def roll_up(rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: Dat
         .agg(_sum_of("__w", "score", rows))
     )
     flags = inner.select(F.col("id").alias(node), F.lit(True).alias("__hit"))
-    joined = rows.withColumnRenamed("score", "__old").join(sums, [key, node], "left").join(flags, node, "left")
-    return _scored(rows, joined)
+    return _scored(rows, _with_sums(rows, sums, key, node).join(flags, node, "left"))
 
 
 def roll_up_changes(
@@ -181,4 +182,4 @@ def evaluate_weighted(
         .agg(_sum_of("__w", "score", evaluation))
         .withColumn("status", F.lit("ready"))
     )
-    return update_from(evaluation, sums, [key, "evaluation", "type"], ["score", "status"])
+    return update_from(evaluation, sums, [key, "evaluation", "type"], ["score", "status"], entity=key)

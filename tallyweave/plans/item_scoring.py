@@ -22,9 +22,19 @@ from tallyweave.sources.tables import stage
 KEY = "itemKey"
 
 
+def by_entity(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of the documents with their key, spread by it before they become many rows.
+
+    All steps of an entity then find its rows in one task.  The number of tasks is stated, as Spark would join
+    them by the bytes they have at this point.
+    """
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select(F.col("_key").alias(KEY), *columns).repartition(tasks, KEY)
+
+
 def item_properties(docs: DataFrame, labels: DataFrame, conf: dict[str, DataFrame]) -> DataFrame:
     """Property rows of the documents with ids and label scores."""
-    flat = flatten_documents(docs.withColumnRenamed("_key", KEY), ["category", KEY])
+    flat = flatten_documents(by_entity(docs, "category", "doc"), ["category", KEY])
     rows = flat.distinct().select(
         "*",
         F.lit(None).cast("string").alias("categoryId"),
@@ -41,7 +51,7 @@ def item_properties(docs: DataFrame, labels: DataFrame, conf: dict[str, DataFram
 
 def item_measures(docs: DataFrame, properties: DataFrame, conf: dict[str, DataFrame]) -> DataFrame:
     """Scored measure tree of each item."""
-    items = docs.select(F.col("_key").alias(KEY), "category")
+    items = by_entity(docs, "category")
     mapping = conf["int_item_dimension_measure"].select(
         F.col("dimension_id").alias("dimension"), F.col("measure_id").alias("property"), "weight"
     )
@@ -58,7 +68,7 @@ def item_evaluations(
     docs: DataFrame, properties: DataFrame, measures: DataFrame, conf: dict[str, DataFrame]
 ) -> DataFrame:
     """Evaluations of each item: weighted, tags, scripts, then the tree above them."""
-    items = docs.select(F.col("_key").alias(KEY), "category")
+    items = by_entity(docs, "category")
     evals, eval_dims = conf["mod_item_evaluation"], conf["int_item_evaluation_dimension"]
     tasks = evaluate_tasks(items, evals, KEY, conf["mod_item_category"]).select(
         "*",
