@@ -93,6 +93,20 @@ def tree_paths(tree: DataFrame, leaf_ids: DataFrame) -> tuple[DataFrame, DataFra
     return paths.where(F.col("weight").isNotNull()), inner
 
 
+#: leaves that a plan lists by name
+LISTED = 1000
+
+
+def _listed(paths: DataFrame) -> list | None:
+    """The leaves that add to some node, where they are few enough to be a condition.
+
+    The join with the paths leaves out all others as well, but Spark takes a condition below the joins that gave
+    the rows their scores, and a join not.
+    """
+    found = [r["node"] for r in paths.select("node").distinct().limit(LISTED + 1).collect()]
+    return found if len(found) <= LISTED else None
+
+
 def roll_up(rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: DataFrame) -> DataFrame:
     """Score of the inner nodes: weighted sum over children, deepest level first.
 
@@ -102,7 +116,9 @@ def roll_up(rows: DataFrame, node: str, key: str, tree: DataFrame, leaf_ids: Dat
     """
     paths, inner = tree_paths(tree, leaf_ids)
     carried = paths.select(F.col("node").alias(node), "ancestor", F.col("weight").alias("__w"))
-    scored = rows.where(F.col("score").isNotNull()).select(key, node, "score")
+    below = _listed(paths)
+    scored = rows if below is None else rows.where(F.col(node).isin(below))
+    scored = scored.where(F.col("score").isNotNull()).select(key, node, "score")
     sums = (
         scored.join(carried, node)
         .groupBy(key, F.col("ancestor").alias(node))

@@ -41,6 +41,22 @@ def test_rows_that_lie_by_entity_are_not_moved_again(spark, rows):
     assert got == sorted(wanted, key=repr)
 
 
+def test_only_leaves_below_a_node_are_carried_up(spark, rows, monkeypatch):
+    tree = spark.createDataFrame(
+        [("r", "0", Decimal(1)), ("a", "r", Decimal("0.5")), ("b", "r", Decimal("0.25")), ("top", "0", Decimal(1))], TREE
+    )
+    leaves = spark.createDataFrame([("a",), ("b",), ("top",)], "id string")
+    scores = (("r", Decimal(5)), ("a", Decimal(1)), ("b", None), ("top", Decimal(3)), ("unknown", Decimal(4)), (None, Decimal(6)))
+    own = spark.createDataFrame([("i", n, "t", s, None, "pending") for n, s in scores], EVALUATION)
+    paths, _ = scoring.tree_paths(tree, leaves)
+    assert sorted(scoring._listed(paths)) == ["a", "b"]
+    listed = rows(scoring.roll_up(own, "evaluation", "itemKey", tree, leaves), "evaluation", "score", "status")
+    monkeypatch.setattr(scoring, "LISTED", 1)
+    assert scoring._listed(paths) is None
+    assert rows(scoring.roll_up(own, "evaluation", "itemKey", tree, leaves), "evaluation", "score", "status") == listed
+    assert ("r", Decimal("0.500000"), "ready") in listed and ("top", Decimal("3.000000"), "pending") in listed
+
+
 def test_updates_that_meet_by_entity_are_those_of_the_keys(spark, rows):
     target = spark.createDataFrame(
         [(k, e, t, Decimal(9), None, "pending") for k in ("i", "j", None) for e, t in (("e", "x"), ("e", "x"), ("f", "x"), (None, "x"), ("e", None))],
